@@ -1,0 +1 @@
+"""Streaming entry point (placeholder, see ``incremental``)."""
