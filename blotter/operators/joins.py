@@ -100,9 +100,15 @@ def range_join_le(
     )
     # One row per bin: bounded by ``bins`` whatever the data size.
     bounds = binned.groupBy("_bin").agg(F.max(right_key).alias("_hi"))
-    targets = left.join(F.broadcast(bounds), left[left_key] <= bounds["_hi"], "inner").drop("_hi")
+    targets = (
+        left.alias("_l")
+        .join(F.broadcast(bounds.alias("_b")), F.col(f"_l.{left_key}") <= F.col("_b._hi"), "inner")
+        .drop("_hi")
+    )
     return (
-        targets.join(binned, "_bin", "inner")
-        .filter(targets[left_key] <= binned[right_key])
+        targets.alias("_t")
+        .join(binned.alias("_r"), F.col("_t._bin") == F.col("_r._bin"), "inner")
+        .filter(F.col(f"_t.{left_key}") <= F.col(f"_r.{right_key}"))
+        .select("_t.*", "_r.*")
         .drop("_bin")
     )

@@ -78,7 +78,9 @@ def split_points(
     The sample is a ``fraction`` Bernoulli sample of the rows (the sampling
     operator itself); the quantiles come from ``percentile_approx``, whose
     sketch has bounded memory, so no cap on the sample is needed. Returns one
-    row with the ``n_partitions - 1`` ascending split points.
+    row with the ``n_partitions - 1`` ascending split points (upper bounds:
+    partition ``i`` takes keys up to split ``i``, as in Spark's range
+    partitioner) and the sample size.
     """
     probs = [i / n_partitions for i in range(1, n_partitions)]
     sample = df.select(F.col(key).try_cast("bigint").alias(key)).sample(fraction=fraction, seed=seed)
