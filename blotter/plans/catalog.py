@@ -79,7 +79,7 @@ QUERIES: dict[str, Builder] = {
     "drop_columns": lambda s, sf: TP.drop_columns(s, _incidents(s, sf)),
     "delimited_line_parse": lambda s, sf: TP.delimited_line_parse(s, _incidents(s, sf)),
     "key_value_line_parse": lambda s, sf: TP.key_value_line_parse(s, _clean_counts(s, sf)),
-    "code_normalize": lambda s, sf: C.normalized_codes(_shipped(s, sf)),
+    "code_normalize": lambda s, sf: C.normalized_codes(TP.read_shipped_codes(s, _shipped(s, sf))),
     "dirty_row_filter": lambda s, sf: dirty_row_filter(_facts(s, sf).select("iucr", "district")),
     "delimited_export": lambda s, sf: C.type_count_by_district(_incidents(s, sf), clean=True).select(
         record_line().alias("line")

@@ -156,10 +156,20 @@ def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     return df
 
 
+def _still_there(paths: dict[str, str]) -> bool:
+    """False if a local prepared table was removed (remote paths are trusted)."""
+    for p in paths.values():
+        if p.startswith("file:") and not os.path.exists(p[len("file:"):]):
+            return False
+    return True
+
+
 def prepare(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the incident table and code classes once; return their paths."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), scratch_dir(spark))
     with _LOCK:
+        if key in _PREPARED and not _still_there(_PREPARED[key]):
+            del _PREPARED[key]
         if key not in _PREPARED:
             classes_path = scratch_path(spark, "code-classes")
             derive_code_classes(spark, sf_dir).write.parquet(classes_path)

@@ -1 +1,5 @@
-"""Streaming entry point (placeholder, see ``incremental``)."""
+"""The batch operators applied to a file stream of extract files."""
+
+from blotter.streaming.incremental import incident_stream, start_count
+
+__all__ = ["incident_stream", "start_count"]

@@ -1,0 +1,35 @@
+"""The count job on a file stream."""
+
+from __future__ import annotations
+
+import os
+import shutil
+
+from blotter.session import scratch_path
+from blotter.sources import read_lines
+from blotter.streaming import start_count
+from tests.conftest import local
+
+
+def _result(spark, path):
+    return sorted(r.value for r in read_lines(spark, path).collect())
+
+
+def test_incremental_count_picks_up_new_files(spark, fixture_files, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    shutil.copy(fixture_files["incidents"], inbox / "part-1.csv")
+    out = scratch_path(spark, "stream-out")
+    ckpt = scratch_path(spark, "stream-ckpt")
+
+    q = start_count(spark, str(inbox), out, checkpoint=ckpt)
+    q.awaitTermination(120)
+    first = _result(spark, out)
+    assert "001;FIRST DEGREE MURDER;2" in first and len(first) == 9
+
+    shutil.copy(fixture_files["incidents"], inbox / "part-2.csv")
+    q = start_count(spark, str(inbox), out, checkpoint=ckpt)
+    q.awaitTermination(120)
+    second = _result(spark, out)
+    assert "001;FIRST DEGREE MURDER;4" in second and len(second) == 9
+    assert os.path.isdir(local(ckpt))
