@@ -17,7 +17,6 @@ ordered result. Variants that differ observably are separate, named options:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from blotter.functions import normalize_code, strip_whitespace, to_bigint
 from blotter.operators import (
@@ -122,13 +121,3 @@ def arrest_pct_exact(incidents: DataFrame) -> DataFrame:
 def normalized_codes(codes: DataFrame) -> DataFrame:
     """Lookup with whitespace-free, zero-padded codes: ``iucr, description``."""
     return lookup_descriptions(codes).withColumn("iucr", normalize_code("iucr"))
-
-
-def drop_descriptive(incidents: DataFrame) -> DataFrame:
-    """The incident table without its descriptive columns."""
-    return incidents.drop("primary_type", "description")
-
-
-def with_null_district_as_empty(df: DataFrame) -> DataFrame:
-    """Null district -> ``''``, as a text-stage key carries it."""
-    return df.withColumn("district", F.coalesce(F.col("district"), F.lit("")))

@@ -27,8 +27,6 @@ from blotter.sources import (
     split_positional,
 )
 
-_SOURCE_NAME = {v: k for k, v in S.CANONICAL.items()}
-
 
 def as_extract(incidents: DataFrame, with_description: bool = True) -> DataFrame:
     """Canonical incidents laid out as the 22-column extract (or the
@@ -78,11 +76,6 @@ def drop_columns(spark: SparkSession, incidents: DataFrame) -> DataFrame:
     return read_incidents(spark, path, with_description=False).select("iucr", "arrest", "district", "year")
 
 
-def parse_extract_lines(lines: DataFrame, positions: dict[str, int]) -> DataFrame:
-    """Positional parse of extract lines."""
-    return split_positional(lines, positions)
-
-
 def delimited_line_parse(spark: SparkSession, incidents: DataFrame) -> DataFrame:
     """Rate job's reader: year, code and arrest by position; header dropped by
     the year field; year parsed to a number."""

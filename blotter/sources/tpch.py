@@ -139,6 +139,8 @@ def derive_incidents(spark: SparkSession, sf_dir: str, classes: DataFrame | None
     )
 
 
+SPREAD_MAX_FILES = 200
+
 _PREPARED: dict[tuple[str, str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 
@@ -148,11 +150,13 @@ def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
 
     A large input already has at least that many splits and is written as
     it is (no shuffle); only an input read by fewer tasks than there are
-    cores (necessarily small) is hash-redistributed on the code and district.
+    cores (necessarily small) is hash-redistributed on the code and district,
+    into at most ``SPREAD_MAX_FILES`` files so a big cluster does not get
+    thousands of tiny ones.
     """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, "iucr", "district")
+    target = min(spark.sparkContext.defaultParallelism, SPREAD_MAX_FILES)
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, "iucr", "district")
     return df
 
 

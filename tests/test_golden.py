@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from blotter import schema as S
+from blotter.functions import strip_whitespace
+from blotter.operators import (
+    arrest_rate_exact,
+    count_by_type,
+    dirty_row_filter,
+    join_lookup,
+    order_by_district_count,
+)
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
-from blotter.sinks import write_delimited
 from blotter.session import scratch_path
-from blotter.sources import read_codes, read_incidents, read_lines, split_key_value
-from blotter.operators import count_by_type, dirty_row_filter, join_lookup, order_by_district_count
-from blotter.functions import strip_whitespace
-from blotter import schema as S
-from blotter.sources import split_positional
-from blotter.operators import arrest_rate_exact
-
-from pyspark.sql import functions as F
+from blotter.sinks import write_delimited
+from blotter.sources import read_codes, read_incidents, read_lines, split_key_value, split_positional
 
 
 def rows(df):

@@ -5,9 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from blotter import schema as S
 from blotter.functions import normalize_code, pad_code, strip_whitespace
 from blotter.session import STRICT_MALFORMED_CONF, scratch_path
 from blotter.sinks import record_line, write_delimited, write_lines

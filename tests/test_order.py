@@ -5,10 +5,8 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from blotter.operators import hash_partition, range_sort, secondary_sort, split_points
-from blotter.plans import compose as C
+from blotter.operators import hash_partition, range_sort, split_points
 from blotter.plans.catalog import QUERIES
 from blotter.sinks import export_single_file
 from blotter.session import scratch_path
