@@ -65,3 +65,43 @@ def test_exact_rate_matches_python(spark, rows):
     assert got.keys() == want.keys()
     for k in want:
         assert abs(got[k] - want[k]) < 1e-9
+
+
+LOOKUP = st.lists(
+    st.tuples(st.sampled_from(["0110", "0460", "486", " 0820", "0820 "]), st.sampled_from(["X", "Y", None])),
+    min_size=0,
+    max_size=6,
+    unique_by=lambda t: t[0],
+)
+
+
+def _norm_full(code):
+    s = "".join(code.split())
+    return s.rjust(4, "0") if len(s) < 4 else s
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, lookup=LOOKUP)
+def test_join_variants_match_python(spark, rows, lookup):
+    df = spark.createDataFrame(rows, SCHEMA)
+    codes = spark.createDataFrame(
+        [(c, "P", d) for c, d in lookup],
+        "iucr string, primary_description string, secondary_description string",
+    )
+    counts = Counter((r[0], r[3]) for r in rows)
+    for normalize, fix in ((None, lambda c: c), ("full", _norm_full)):
+        lk = {}
+        for c, d in lookup:
+            lk.setdefault(fix(c), []).append(d)
+        want_left, want_inner = Counter(), Counter()
+        for (code, district), n in counts.items():
+            matches = lk.get(fix(code))
+            for d in matches or [None]:
+                want_left[(district, d, n)] += 1
+            for d in matches or []:
+                want_inner[(district, d, n)] += 1
+        for how, want in (("left", want_left), ("inner", want_inner)):
+            got = Counter(
+                tuple(r) for r in C.type_count_with_lookup(df, codes, how=how, normalize=normalize).collect()
+            )
+            assert got == want, (how, normalize)
