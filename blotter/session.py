@@ -50,13 +50,20 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """Shared directory for intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when the session has
-    none (local tests) is a private temporary directory registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a local-mode session
+    without one (tests) gets a private temporary directory; on a cluster a
+    machine-local folder would not be shared by the executors, so a missing
+    setting is an error there.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if base is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured is None and not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared directory (HDFS, object store) "
+                "for intermediate tables"
+            )
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="blotter-ckpt-"))
         base = sc.getCheckpointDir()
     return base.rstrip("/")
