@@ -39,8 +39,9 @@ def _shipped(spark: SparkSession, sf: str) -> DataFrame:
     return tpch.shipped_codes(spark, sf)
 
 
-def _clean_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return C.code_counts(_facts(spark, sf), clean=True)
+def _line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean counts per (code, district) from the raw extract lines."""
+    return TP.line_code_counts(spark, _facts(spark, sf))
 
 
 QUERIES: dict[str, Builder] = {
@@ -64,7 +65,7 @@ QUERIES: dict[str, Builder] = {
     "type_count_inner_join": lambda s, sf: C.type_count_with_lookup(
         _facts(s, sf), _shipped(s, sf), how="inner", clean=True, normalize="whitespace"
     ),
-    "tagged_cogroup_join": lambda s, sf: TP.tagged_cogroup_join(s, _clean_counts(s, sf), _shipped(s, sf)),
+    "tagged_cogroup_join": lambda s, sf: TP.tagged_cogroup_join(s, _line_counts(s, sf), _shipped(s, sf)),
     "code_range_join": lambda s, sf: C.code_range_join(_facts(s, sf), tpch.codes(s, sf)),
     # Arrest rates.
     "arrest_pct": lambda s, sf: C.arrest_pct(_incidents(s, sf)),
@@ -73,12 +74,13 @@ QUERIES: dict[str, Builder] = {
     "arrest_pct_range_sorted": lambda s, sf: range_sort(
         C.arrest_pct_exact(_facts(s, sf)), RANGE_SORT_PARTITIONS, ("year", "iucr")
     ),
+    "arrest_pct_lines": lambda s, sf: TP.arrest_rate_lines(s, _incidents(s, sf), RANGE_SORT_PARTITIONS),
     "split_points": lambda s, sf: split_points(_facts(s, sf), "year", RANGE_SORT_PARTITIONS),
     # Sources, sinks and scalar functions.
     "csv_roundtrip": lambda s, sf: TP.csv_roundtrip(s, _incidents(s, sf)),
     "drop_columns": lambda s, sf: TP.drop_columns(s, _incidents(s, sf)),
     "delimited_line_parse": lambda s, sf: TP.delimited_line_parse(s, _incidents(s, sf)),
-    "key_value_line_parse": lambda s, sf: TP.key_value_line_parse(s, _clean_counts(s, sf)),
+    "key_value_line_parse": lambda s, sf: TP.key_value_line_parse(s, _line_counts(s, sf)),
     "code_normalize": lambda s, sf: C.normalized_codes(TP.read_shipped_codes(s, _shipped(s, sf))),
     "dirty_row_filter": lambda s, sf: dirty_row_filter(_facts(s, sf).select("iucr", "district")),
     "delimited_export": lambda s, sf: C.type_count_by_district(_incidents(s, sf), clean=True).select(

@@ -111,6 +111,10 @@ FROM crimes GROUP BY year, iucr""",
     "arrest_pct_range_sorted": """
 SELECT TRY_CAST(year AS BIGINT) AS year, iucr,
        CAST(sum(CASE WHEN lower(arrest) = 'true' THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*) AS pct
+FROM crimes GROUP BY year, iucr""",
+    "arrest_pct_lines": """
+SELECT TRY_CAST(year AS BIGINT) AS year, iucr,
+       CAST(sum(CASE WHEN lower(arrest) = 'true' THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*) AS pct
 FROM crimes GROUP BY year, iucr""",
     "csv_roundtrip": """
 SELECT iucr, primary_type, description, arrest, district, year FROM crimes""",

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from blotter import schema as S
 from blotter.functions import line_field, null_to_empty, strip_whitespace, to_bigint
-from blotter.operators import dirty_row_filter, count_by_type, order_by_district_count
+from blotter.operators import (
+    arrest_rate_exact,
+    count_by_type,
+    dirty_row_filter,
+    order_by_district_count,
+    range_sort,
+)
 from blotter.session import scratch_path
 from blotter.sinks import write_delimited, write_lines
 from blotter.sources import (
@@ -101,6 +107,29 @@ def type_count_lines_clean(spark: SparkSession, incidents: DataFrame) -> DataFra
     ).select("district", "description", "cnt")
 
 
+def line_code_counts(spark: SparkSession, incidents: DataFrame) -> DataFrame:
+    """First stage of the line join job: counts per ``(code, district)`` from
+    the raw lines of the extract without descriptions (district at field 9),
+    dirty districts and the header removed."""
+    lines = read_lines(spark, write_extract(spark, incidents, with_description=False))
+    pos = S.INCIDENT_NO_DESCRIPTION_POSITIONS
+    parsed = split_positional(lines, {"iucr": pos["iucr"], "district": pos["district"]})
+    return count_by_type(dirty_row_filter(parsed), with_description=False)
+
+
+def arrest_rate_lines(spark: SparkSession, incidents: DataFrame, partitions: int) -> DataFrame:
+    """The rate job's line form: year, code and arrest by position, header
+    dropped by the year field, any-case unrounded rate per ``(year, code)``,
+    year parsed to a number, total order over ``partitions`` range
+    partitions."""
+    lines = read_lines(spark, write_extract(spark, incidents))
+    pos = S.INCIDENT_POSITIONS
+    parsed = split_positional(lines, {"year": pos["year"], "iucr": pos["iucr"], "arrest": pos["arrest"]})
+    rates = arrest_rate_exact(drop_header(parsed, "year", "Year"))
+    out = rates.select(to_bigint("year").alias("year"), "iucr", "pct")
+    return range_sort(out, partitions, ("year", "iucr"))
+
+
 def count_lines(counts: DataFrame) -> DataFrame:
     """Counts per ``(code, district)`` as text records ``district;code__<TAB>cnt``."""
     return counts.select(
