@@ -1,6 +1,6 @@
 """Line-oriented sources: one record per text line, parsed by position.
 
-These reproduce the text-record path of the MapReduce jobs: a line is split
+These reproduce the text-record path of the line-oriented jobs: a line is split
 on a literal separator and fields are taken by index. A short line yields
 null fields rather than failing the task, and numeric fields are parsed with
 ``try_cast``. The header line is removed by testing a parsed field, exactly
