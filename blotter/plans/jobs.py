@@ -25,25 +25,20 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter import schema as S
 from blotter.functions import normalize_code
-from blotter.operators import (
-    count_by_type,
-    dirty_row_filter,
-    order_by_district_count,
-    range_sort,
-)
+from blotter.operators import range_sort
 from blotter.plans import compose as C
-from blotter.plans.textpath import as_extract
+from blotter.plans import textpath as TP
 from blotter.session import build_session
-from blotter.sinks import export_single_file, record_line, write_delimited, write_lines
-from blotter.sources import (
-    MissingInputError,
-    read_codes,
-    read_incidents,
-    read_lines,
-    split_positional,
+from blotter.sinks import (
+    as_extract,
+    export_single_file,
+    record_line,
+    write_codes,
+    write_delimited,
+    write_lines,
 )
+from blotter.sources import MissingInputError, read_codes, read_incidents
 
 
 def _is_parquet(path: str) -> bool:
@@ -74,14 +69,8 @@ def count(spark: SparkSession, src: str, dst: str, clean: bool = False, lines: b
         result = C.type_count_by_district(load_incidents(spark, src), clean=clean)
         write_delimited(result, dst)
         return
-    pos = S.INCIDENT_POSITIONS
-    parsed = split_positional(
-        read_lines(spark, src),
-        {"iucr": pos["iucr"], "district": pos["district"], "description": pos["description"]},
-    )
-    counted = count_by_type(dirty_row_filter(parsed, description="description"))
-    ordered = order_by_district_count(counted, case_insensitive=True, tiebreak=("iucr", "description"))
-    write_lines(ordered.select(record_line().alias("value")), dst)
+    counted = TP.type_count_lines_clean(spark, src)
+    write_lines(counted.select(record_line().alias("value")), dst)
 
 
 def count_join(
@@ -149,9 +138,7 @@ def drop_columns(spark: SparkSession, src: str, dst: str, single_file: bool = Fa
 def normalize_codes(spark: SparkSession, codes_path: str, dst: str) -> None:
     """The lookup with whitespace-free, zero-padded codes, with a header."""
     codes = read_codes(spark, codes_path)
-    fixed = codes.withColumn("iucr", normalize_code("iucr"))
-    out = fixed.select([fixed[c].alias(h) for c, h in zip(fixed.columns, S.CODE_HEADER)])
-    write_delimited(out, dst, header=True)
+    write_codes(codes.withColumn("iucr", normalize_code("iucr")), dst)
 
 
 def main(argv: list[str] | None = None) -> int:

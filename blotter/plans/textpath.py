@@ -23,10 +23,10 @@ from blotter.operators import (
     range_sort,
 )
 from blotter.session import scratch_path
-from blotter.sinks import write_delimited, write_lines
+from blotter.sinks import as_extract, write_codes, write_delimited, write_lines
+from blotter.sinks import write_extract as write_extract_file
 from blotter.sources import (
     drop_header,
-    read_codes,
     read_incidents,
     read_lines,
     split_key_value,
@@ -34,35 +34,17 @@ from blotter.sources import (
 )
 
 
-def as_extract(incidents: DataFrame, with_description: bool = True) -> DataFrame:
-    """Canonical incidents laid out as the 22-column extract (or the
-    20-column one without descriptive columns); unknown columns are empty."""
-    header = S.INCIDENT_SCHEMA.names if with_description else S.INCIDENT_NO_DESCRIPTION_SCHEMA.names
-    known = set(incidents.columns)
-    cols = []
-    for name in header:
-        canon = S.CANONICAL.get(name)
-        src = F.col(canon) if canon in known else F.lit(None).cast("string")
-        cols.append(src.alias(name))
-    return incidents.select(*cols)
-
-
 def write_extract(spark: SparkSession, incidents: DataFrame, with_description: bool = True) -> str:
     """Write the extract (header, ';') to a fresh scratch path; return it."""
     path = scratch_path(spark, "extract")
-    write_delimited(as_extract(incidents, with_description), path, header=True)
+    write_extract_file(incidents, path, with_description)
     return path
 
 
 def write_codes_file(spark: SparkSession, codes: DataFrame) -> str:
     """Write a lookup as the shipped ';' file with header; return its path."""
     path = scratch_path(spark, "codes")
-    out = codes.select(
-        F.col("iucr").alias("IUCR"),
-        F.col("primary_description").alias("Primary Description"),
-        F.col("secondary_description").alias("Secondary Description"),
-    )
-    write_delimited(out, path, header=True)
+    write_codes(codes, path)
     return path
 
 
@@ -92,11 +74,12 @@ def delimited_line_parse(spark: SparkSession, incidents: DataFrame) -> DataFrame
     return parsed.select(to_bigint("year").alias("year"), "iucr", "arrest")
 
 
-def type_count_lines_clean(spark: SparkSession, incidents: DataFrame) -> DataFrame:
-    """Count job on raw lines: positional fields, dirty-row filters (which
-    also remove the header, whose district field reads ``District``), counts
-    per ``(district, description, code)``, case-insensitive order."""
-    lines = read_lines(spark, write_extract(spark, incidents))
+def type_count_lines_clean(spark: SparkSession, extract_path: str) -> DataFrame:
+    """Count job on raw lines of the extract: positional fields, dirty-row
+    filters (which also remove the header, whose district field reads
+    ``District``), counts per ``(district, description, code)``,
+    case-insensitive order."""
+    lines = read_lines(spark, extract_path)
     pos = S.INCIDENT_POSITIONS
     parsed = split_positional(
         lines, {"iucr": pos["iucr"], "district": pos["district"], "description": pos["description"]}
@@ -107,22 +90,22 @@ def type_count_lines_clean(spark: SparkSession, incidents: DataFrame) -> DataFra
     ).select("district", "description", "cnt")
 
 
-def line_code_counts(spark: SparkSession, incidents: DataFrame) -> DataFrame:
+def line_code_counts(spark: SparkSession, extract_nodesc_path: str) -> DataFrame:
     """First stage of the line join job: counts per ``(code, district)`` from
     the raw lines of the extract without descriptions (district at field 9),
     dirty districts and the header removed."""
-    lines = read_lines(spark, write_extract(spark, incidents, with_description=False))
+    lines = read_lines(spark, extract_nodesc_path)
     pos = S.INCIDENT_NO_DESCRIPTION_POSITIONS
     parsed = split_positional(lines, {"iucr": pos["iucr"], "district": pos["district"]})
     return count_by_type(dirty_row_filter(parsed), with_description=False)
 
 
-def arrest_rate_lines(spark: SparkSession, incidents: DataFrame, partitions: int) -> DataFrame:
+def arrest_rate_lines(spark: SparkSession, extract_path: str, partitions: int) -> DataFrame:
     """The rate job's line form: year, code and arrest by position, header
     dropped by the year field, any-case unrounded rate per ``(year, code)``,
     year parsed to a number, total order over ``partitions`` range
     partitions."""
-    lines = read_lines(spark, write_extract(spark, incidents))
+    lines = read_lines(spark, extract_path)
     pos = S.INCIDENT_POSITIONS
     parsed = split_positional(lines, {"year": pos["year"], "iucr": pos["iucr"], "arrest": pos["arrest"]})
     rates = arrest_rate_exact(drop_header(parsed, "year", "Year"))
@@ -171,26 +154,19 @@ def parse_code_records(kv: DataFrame) -> DataFrame:
     return drop_header(parsed, "_raw_key", "IUCR", how="equals").drop("_raw_key")
 
 
-def tagged_cogroup_join(spark: SparkSession, counts: DataFrame, codes: DataFrame) -> DataFrame:
+def tagged_cogroup_join(spark: SparkSession, counts: DataFrame, codes_path: str) -> DataFrame:
     """Join of two text inputs, each with its own parser, on the code.
 
-    The inputs are the count records and the lookup file. The line job tags
-    each record with its origin, groups both by code and pairs the two lists;
-    here each parsed input keeps its own schema (the origin is the frame) and
-    the pairing is a reduce-side sort-merge join: both sides are
-    hash-partitioned on the code and merged per key, with nothing buffered
-    per key and no broadcast.
+    The inputs are the count records (written by this job's first stage) and
+    the lookup file. The line job tags each record with its origin, groups
+    both by code and pairs the two lists; here each parsed input keeps its
+    own schema (the origin is the frame) and the pairing is a reduce-side
+    sort-merge join: both sides are hash-partitioned on the code and merged
+    per key, with nothing buffered per key and no broadcast.
     """
     facts = parse_count_records(key_value_line_parse(spark, counts))
-    lookup = parse_code_records(
-        split_key_value(read_lines(spark, write_codes_file(spark, codes)))
-    )
+    lookup = parse_code_records(split_key_value(read_lines(spark, codes_path)))
     joined = facts.join(lookup.hint("merge"), "iucr", "inner")
     return order_by_district_count(joined, case_insensitive=True, tiebreak=("iucr",)).select(
         "district", "description", "cnt"
     )
-
-
-def read_shipped_codes(spark: SparkSession, codes: DataFrame) -> DataFrame:
-    """Round-trip a lookup through its file form."""
-    return read_codes(spark, write_codes_file(spark, codes))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blotter import schema as S
 from blotter.functions import null_to_empty
 
 # Largest result that may be funnelled into one output file (one task).
@@ -66,3 +67,27 @@ def export_single_file(
     if n > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it as parallel files")
     write_delimited(df.coalesce(1), path, header=header, sep=sep)
+
+
+def as_extract(incidents: DataFrame, with_description: bool = True) -> DataFrame:
+    """Canonical incidents laid out as the 22-column extract (or the
+    20-column one without descriptive columns); unknown columns are empty."""
+    header = S.INCIDENT_SCHEMA.names if with_description else S.INCIDENT_NO_DESCRIPTION_SCHEMA.names
+    known = set(incidents.columns)
+    cols = []
+    for name in header:
+        canon = S.CANONICAL.get(name)
+        src = F.col(canon) if canon in known else F.lit(None).cast("string")
+        cols.append(src.alias(name))
+    return incidents.select(*cols)
+
+
+def write_extract(incidents: DataFrame, path: str, with_description: bool = True) -> None:
+    """The incident extract: header line, ';'-separated, parallel part files."""
+    write_delimited(as_extract(incidents, with_description), path, header=True)
+
+
+def write_codes(codes: DataFrame, path: str) -> None:
+    """The code lookup file: header line, ';'-separated."""
+    out = codes.select([F.col(S.CANONICAL[h]).alias(h) for h in S.CODE_HEADER])
+    write_delimited(out, path, header=True)

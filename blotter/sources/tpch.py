@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.session import scratch_dir, scratch_path
+from blotter.sinks import write_codes, write_extract
 
 # Fixed values of the mapping (chosen for this library, not taken from the
 # reference): code and district domains and the dirty-row periods.
@@ -142,7 +143,7 @@ def derive_incidents(spark: SparkSession, sf_dir: str, classes: DataFrame | None
 SPREAD_MAX_FILES = 200
 
 _PREPARED: dict[tuple[str, str, str], dict[str, str]] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
@@ -194,3 +195,29 @@ def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents without the descriptive columns (the 20-column extract's
     content); the Parquet scan reads only these columns."""
     return incidents(spark, sf_dir).select("iucr", "arrest", "district", "year")
+
+
+_TEXT_FILES: dict[tuple[str, str, str], dict[str, str]] = {}
+
+
+def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the text inputs of the line-form jobs once per session: the
+    22-column extract, the 20-column extract without descriptions and the
+    lookup file as shipped (all ';'-separated with a header). Returns their
+    paths (keys ``extract``, ``extract_nodesc``, ``codes``)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), scratch_dir(spark))
+    with _LOCK:
+        if key in _TEXT_FILES and not _still_there(_TEXT_FILES[key]):
+            del _TEXT_FILES[key]
+        if key not in _TEXT_FILES:
+            table = incidents(spark, sf_dir)
+            paths = {
+                "extract": scratch_path(spark, "extract"),
+                "extract_nodesc": scratch_path(spark, "extract-nodesc"),
+                "codes": scratch_path(spark, "codes"),
+            }
+            write_extract(table, paths["extract"])
+            write_extract(table, paths["extract_nodesc"], with_description=False)
+            write_codes(shipped_codes(spark, sf_dir), paths["codes"])
+            _TEXT_FILES[key] = paths
+        return _TEXT_FILES[key]

@@ -16,7 +16,7 @@ from blotter.operators import (
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
 from blotter.session import scratch_path
-from blotter.sinks import write_delimited
+from blotter.sinks import as_extract, write_delimited
 from blotter.sources import read_codes, read_incidents, read_lines, split_key_value, split_positional
 
 
@@ -135,7 +135,7 @@ def test_line_path_inner_join_on_prepared_extract(spark, fixture_files):
     full = read_incidents(spark, fixture_files["incidents"])
     slim_path = scratch_path(spark, "test-slim")
     write_delimited(
-        TP.as_extract(full.drop("primary_type", "description"), with_description=False),
+        as_extract(full.drop("primary_type", "description"), with_description=False),
         slim_path,
         header=True,
     )
