@@ -1,7 +1,7 @@
 """Time the headline query variants and print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``),
-``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 3).
+``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 5).
 
 Timed: the DataFrame-form variants (``HEADLINE``) and the line-form jobs
 (``LINE_FORMS``; their runs include writing their text inputs and
@@ -35,7 +35,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         f"local[{cpus}]",
         app_name="blotter-bench",
