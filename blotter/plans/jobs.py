@@ -7,7 +7,7 @@ previous output. Command line::
     python -m blotter.plans.jobs count       IN OUT [--clean] [--lines]
     python -m blotter.plans.jobs count-join  IN CODES OUT [--how left|inner]
                                              [--strategy auto|broadcast|merge]
-                                             [--clean] [--normalize whitespace|full]
+                                             [--clean] [--normalize whitespace|full] [--lines]
     python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N] [--text]
     python -m blotter.plans.jobs drop-columns IN OUT [--single-file]
     python -m blotter.plans.jobs normalize-codes CODES OUT
@@ -82,9 +82,20 @@ def count_join(
     strategy: str = "auto",
     clean: bool = False,
     normalize: str | None = None,
+    lines: bool = False,
 ) -> None:
     """Count on the code (input without descriptions), join the lookup's
-    description, sort after the join, write ``district;description;count``."""
+    description, sort after the join, write ``district;description;count``.
+
+    ``lines=True``: the line form -- counts from the raw lines of the
+    extract (dirty rows removed), written as count records and joined to the
+    lookup file's lines on whitespace-free codes (inner, reduce-side); output
+    records ``district;<TAB>description;count``.
+    """
+    if lines:
+        joined = TP.tagged_cogroup_join(spark, TP.line_code_counts(spark, src), codes_path)
+        write_lines(joined.select(record_line().alias("value")), dst)
+        return
     facts = load_incidents(spark, src, with_description=False)
     codes = read_codes(spark, codes_path)
     result = C.type_count_with_lookup(
@@ -153,6 +164,7 @@ def main(argv: list[str] | None = None) -> int:
     j.add_argument("--strategy", default="auto", choices=["auto", "broadcast", "merge"])
     j.add_argument("--clean", action="store_true")
     j.add_argument("--normalize", default=None, choices=["whitespace", "full"])
+    j.add_argument("--lines", action="store_true")
     a = sub.add_parser("arrest-rate")
     a.add_argument("src"), a.add_argument("dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
@@ -170,7 +182,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.job == "count":
             count(spark, args.src, args.dst, clean=args.clean, lines=args.lines)
         elif args.job == "count-join":
-            count_join(spark, args.src, args.codes, args.dst, args.how, args.strategy, args.clean, args.normalize)
+            count_join(
+                spark, args.src, args.codes, args.dst, args.how, args.strategy, args.clean, args.normalize, args.lines
+            )
         elif args.job == "arrest-rate":
             arrest_rate(spark, args.src, args.dst, args.exact, args.partitions, args.text)
         elif args.job == "drop-columns":

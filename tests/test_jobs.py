@@ -57,6 +57,20 @@ def test_prepare_then_join_jobs(spark, fixture_files):
     assert lines[2] == "001;SIMPLE;3"
 
 
+def test_count_join_line_form(spark, fixture_files):
+    slim = scratch_path(spark, "job-slim-lines")
+    jobs.drop_columns(spark, fixture_files["incidents"], slim)
+    out = scratch_path(spark, "job-join-lines")
+    jobs.count_join(spark, slim, fixture_files["codes"], out, lines=True)
+    assert _text(out).splitlines() == [
+        ";\t$500 AND UNDER;1",
+        "001;\tSIMPLE;3",
+        "001;\tFIRST DEGREE MURDER;2",
+        "001;\t$500 AND UNDER;1",
+        "002;\tSIMPLE;1",
+    ]
+
+
 def test_arrest_rate_jobs(spark, fixture_files):
     out = scratch_path(spark, "job-rate")
     jobs.arrest_rate(spark, fixture_files["incidents"], out)
