@@ -26,9 +26,11 @@ def split_positional(
     """Select fields by 0-based position from ``sep``-separated lines.
 
     The split is naive (no quote handling), matching the line jobs: a quoted
-    separator shifts the following fields.
+    separator shifts the following fields. The line is split only up to the
+    field after the last one needed (the rest stays in one trailing element),
+    which gives the same fields with fewer string copies.
     """
-    fields = F.split(F.col(col), sep, -1)
+    fields = F.split(F.col(col), sep, max(positions.values()) + 2)
     return lines.select([line_field(fields, i).alias(name) for name, i in positions.items()])
 
 

@@ -39,6 +39,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter import schema as S
 from blotter.session import scratch_dir, scratch_path
 from blotter.sinks import write_codes, write_extract
 
@@ -72,8 +73,13 @@ def derive_code_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Schemas of the prepared tables, passed to the reader so no schema
+# inference job runs per query.
+CODE_CLASSES_SCHEMA = "r bigint, primary_description string, secondary_description string"
+
+
 def _code_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(prepare(spark, sf_dir)["code_classes"])
+    return spark.read.schema(CODE_CLASSES_SCHEMA).parquet(prepare(spark, sf_dir)["code_classes"])
 
 
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +194,7 @@ def prepare(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical incident table: ``iucr, primary_type, description, arrest,
     district, year`` (prepared Parquet)."""
-    return spark.read.parquet(prepare(spark, sf_dir)["incidents"])
+    return spark.read.schema(S.CANONICAL_INCIDENT_SCHEMA).parquet(prepare(spark, sf_dir)["incidents"])
 
 
 def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

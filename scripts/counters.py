@@ -58,8 +58,13 @@ def main() -> None:
             kind = ev.get("Event")
             if kind == "SparkListenerJobStart":
                 group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                stats[group]["jobs"] += 1
                 for sid in ev.get("Stage IDs", []):
                     stage_group[sid] = group
+            elif kind == "SparkListenerStageCompleted":
+                group = stage_group.get((ev.get("Stage Info") or {}).get("Stage ID"))
+                if group is not None:
+                    stats[group]["stages"] += 1
             elif kind == "SparkListenerTaskEnd":
                 group = stage_group.get(ev.get("Stage ID"))
                 if group is None:
@@ -72,11 +77,12 @@ def main() -> None:
                 s["shuffle_bytes"] += sw.get("Shuffle Bytes Written", 0)
                 s["tasks"] += 1
     print(f"event log: {log}")
-    print(f"{'query':30s} {'scan records':>13s} {'shuffle recs':>13s} {'shuffle bytes':>14s} {'result rows':>12s}")
+    print(f"{'query':30s} {'jobs':>4s} {'stages':>6s} {'scan records':>13s} {'shuffle recs':>13s} "
+          f"{'shuffle bytes':>14s} {'result rows':>12s}")
     for name in HEADLINE:
         s = stats[name]
-        print(f"{name:30s} {s['input_records']:>13,d} {s['shuffle_records']:>13,d} "
-              f"{s['shuffle_bytes']:>14,d} {rows[name]:>12,d}")
+        print(f"{name:30s} {s['jobs']:>4d} {s['stages']:>6d} {s['input_records']:>13,d} "
+              f"{s['shuffle_records']:>13,d} {s['shuffle_bytes']:>14,d} {rows[name]:>12,d}")
 
 
 if __name__ == "__main__":
