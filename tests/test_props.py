@@ -105,3 +105,26 @@ def test_join_variants_match_python(spark, rows, lookup):
                 tuple(r) for r in C.type_count_with_lookup(df, codes, how=how, normalize=normalize).collect()
             )
             assert got == want, (how, normalize)
+
+
+CODE_TEXT = st.text(alphabet="0123 ", min_size=0, max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(st.tuples(st.one_of(st.none(), CODE_TEXT), st.integers(0, 5)), max_size=25),
+    right=st.lists(st.tuples(st.one_of(st.none(), CODE_TEXT), st.sampled_from(["X", "Y"])), max_size=25),
+)
+def test_range_join_both_paths_match_nested_loop(spark, left, right):
+    from blotter.operators import range_join_le
+
+    l_df = spark.createDataFrame(left, "k string, n int")
+    r_df = spark.createDataFrame(right, "rk string, d string")
+    want = Counter(
+        (k, n, rk, d) for k, n in left for rk, d in right if k is not None and rk is not None and k <= rk
+    )
+    broadcast = range_join_le(l_df, r_df, "k", "rk")
+    binned = range_join_le(l_df, r_df, "k", "rk", max_broadcast_rows=0, bins=3)
+    for df in (broadcast, binned):
+        got = Counter(tuple(r) for r in df.select("k", "n", "rk", "d").collect())
+        assert got == want
