@@ -8,7 +8,7 @@ previous output. Command line::
     python -m blotter.plans.jobs count-join  IN CODES OUT [--how left|inner]
                                              [--strategy auto|broadcast|merge]
                                              [--clean] [--normalize whitespace|full] [--lines]
-    python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N] [--text]
+    python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N] [--text] [--lines]
     python -m blotter.plans.jobs drop-columns IN OUT [--single-file]
     python -m blotter.plans.jobs normalize-codes CODES OUT
     python -m blotter.plans.jobs to-parquet  IN OUT
@@ -25,7 +25,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.functions import normalize_code
+from blotter.functions import normalize_code, null_to_empty
 from blotter.operators import range_sort
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
@@ -111,6 +111,7 @@ def arrest_rate(
     exact: bool = False,
     partitions: int | None = None,
     text: bool = False,
+    lines: bool = False,
 ) -> None:
     """Arrest percentage per year and type.
 
@@ -118,16 +119,25 @@ def arrest_rate(
     ``year;description;pct`` in year order. ``exact``: unrounded, any-case,
     per ``(year, code)``; with ``partitions`` the output is a total order over
     that many range partitions. ``text`` writes ``year<TAB>code <TAB>pct``.
+    ``lines`` (implies ``exact``) reads raw lines by position instead of the
+    quote-aware reader, as the line job does.
     """
-    incidents = load_incidents(spark, src)
-    if not exact:
-        write_delimited(C.arrest_pct(incidents), dst)
+    if lines:
+        result = TP.arrest_rate_lines(spark, src, partitions or 1)
+    elif not exact:
+        write_delimited(C.arrest_pct(load_incidents(spark, src)), dst)
         return
-    result = C.arrest_pct_exact(incidents)
-    if partitions:
-        result = range_sort(result, partitions, ("year", "iucr"))
+    else:
+        result = C.arrest_pct_exact(load_incidents(spark, src))
+        if partitions:
+            result = range_sort(result, partitions, ("year", "iucr"))
     if text:
-        line = F.format_string("%s\t%s \t%s", F.col("year"), F.col("iucr"), F.col("pct").cast("string"))
+        line = F.format_string(
+            "%s\t%s \t%s",
+            null_to_empty(F.col("year").cast("string")),
+            null_to_empty("iucr"),
+            null_to_empty(F.col("pct").cast("string")),
+        )
         write_lines(result.select(line.alias("value")), dst)
     else:
         write_delimited(result, dst)
@@ -168,7 +178,7 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("arrest-rate")
     a.add_argument("src"), a.add_argument("dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
-    a.add_argument("--text", action="store_true")
+    a.add_argument("--text", action="store_true"), a.add_argument("--lines", action="store_true")
     d = sub.add_parser("drop-columns")
     d.add_argument("src"), d.add_argument("dst"), d.add_argument("--single-file", action="store_true")
     n = sub.add_parser("normalize-codes")
@@ -186,7 +196,7 @@ def main(argv: list[str] | None = None) -> int:
                 spark, args.src, args.codes, args.dst, args.how, args.strategy, args.clean, args.normalize, args.lines
             )
         elif args.job == "arrest-rate":
-            arrest_rate(spark, args.src, args.dst, args.exact, args.partitions, args.text)
+            arrest_rate(spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines)
         elif args.job == "drop-columns":
             drop_columns(spark, args.src, args.dst, args.single_file)
         elif args.job == "normalize-codes":

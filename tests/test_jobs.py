@@ -79,6 +79,10 @@ def test_arrest_rate_jobs(spark, fixture_files):
     exact = scratch_path(spark, "job-rate-exact")
     jobs.arrest_rate(spark, fixture_files["incidents"], exact, exact=True, partitions=3, text=True)
     assert "2002\t0460 \t66.66666666666667" in _lines(spark, exact)
+    raw = scratch_path(spark, "job-rate-lines")
+    jobs.arrest_rate(spark, fixture_files["incidents"], raw, partitions=3, text=True, lines=True)
+    got = _lines(spark, raw)
+    assert "\t0486 \t0.0" in got and "2002\t0460 \t66.66666666666667" in got and len(got) == 7
 
 
 def test_parquet_copy_gives_same_counts(spark, fixture_files):
