@@ -128,3 +128,23 @@ def test_range_join_both_paths_match_nested_loop(spark, left, right):
     for df in (broadcast, binned):
         got = Counter(tuple(r) for r in df.select("k", "n", "rk", "d").collect())
         assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    lines=st.lists(st.text(alphabet="ab; ", max_size=14), min_size=1, max_size=20),
+    positions=st.lists(st.integers(0, 6), min_size=1, max_size=3, unique=True),
+)
+def test_positional_split_matches_python(spark, lines, positions):
+    from blotter.sources import split_key_value, split_positional
+
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    pos = {f"f{i}": i for i in positions}
+    got = [tuple(r) for r in split_positional(df, pos).collect()]
+    want = []
+    for x in lines:
+        fields = x.split(";")
+        want.append(tuple(fields[i] if i < len(fields) else None for i in positions))
+    assert got == want
+    kv = [tuple(r) for r in split_key_value(df).collect()]
+    assert kv == [tuple(x.split(";", 1)) if ";" in x else (x, "") for x in lines]
