@@ -77,6 +77,13 @@ SELECT coalesce(district, '') AS district, coalesce(description, '') AS descript
 FROM clean_full GROUP BY iucr, coalesce(district, ''), coalesce(description, '')""",
     "type_count_left_join": """
 SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
+    "type_count_left_join_csv": """
+SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
+    "type_count_by_district_csv": """
+SELECT district, description, count(*) AS cnt FROM crimes GROUP BY iucr, district, description""",
+    "arrest_pct_csv": """
+SELECT year, description, round(avg(CASE WHEN arrest = 'true' THEN 1 ELSE 0 END * 100)) AS pct
+FROM crimes GROUP BY year, iucr, description""",
     "type_count_broadcast_join": """
 SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
     "type_count_padded_join": f"""
