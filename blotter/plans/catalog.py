@@ -1,9 +1,12 @@
 """Registered queries over the driver's tables.
 
-Each entry builds a lazy DataFrame from ``(spark, sf_dir)``; the text-path
-entries first write their intermediate files (an action) to the session's
-scratch directory and return a frame that reads them back. Every query reads
-the whole ``lineitem`` and ``part`` tables.
+Each entry builds a lazy DataFrame from ``(spark, sf_dir)``. Every query
+reads data derived from the whole ``lineitem`` and ``part`` tables: the
+incident table and lookup prepared once per session as Parquet
+(``tpch.prepare``) or as ';' text files (``tpch.prepare_text``), both in the
+session's shared scratch directory. The text-path entries also write their
+own intermediate files there (an action while the frame is built) and
+return a frame that reads them back.
 """
 
 from __future__ import annotations
