@@ -12,4 +12,3 @@ aggregate it. Sub-packages:
 * ``sinks``     -- delimited and text writers
 """
 
-__all__ = ["session"]
