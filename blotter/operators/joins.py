@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 # Largest lookup broadcast on request. A lookup of codes is a few hundred
-# rows; this bound keeps a mistaken large input from being shipped to every
+# rows; 100,000 short rows is about Spark's own 10 MB broadcast threshold.
+# The bound keeps a mistaken large input from being shipped to every
 # executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
