@@ -77,14 +77,15 @@ def range_join_le(
     left_key: str,
     right_key: str,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    bins: int = 64,
+    bins: int | None = None,
 ) -> DataFrame:
     """Inner theta join ``left[left_key] <= right[right_key]``.
 
     The output is every qualifying pair, about half of ``|left| x |right|``,
     so a nested loop over a broadcast right side costs at most twice the
     output. When the right side is too large to broadcast it is range
-    partitioned into ``bins`` sorted bins (materialised with ``checkpoint``
+    partitioned into ``bins`` sorted bins (default: the session's shuffle
+    partitions) (materialised with ``checkpoint``
     so the bin assignment is stable across retries); each left row is sent to
     the bins whose upper bound reaches its key and matched by an equi-join on
     the bin id. Both paths are exact and never form a cartesian product of
@@ -94,6 +95,10 @@ def range_join_le(
     if ok:
         return left.join(small, left[left_key] <= small[right_key], "inner")
 
+    # As many bins as the session's shuffle partitions, so the bin join
+    # spreads over the cluster.
+    bins = bins or int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     binned = (
         right.repartitionByRange(bins, F.col(right_key))
         .withColumn("_bin", F.spark_partition_id())
