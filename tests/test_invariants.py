@@ -78,10 +78,11 @@ def test_clean_set_domains(spark):
     assert not any(d and (" " in d or d in ("true", "false", "District")) for d in districts)
 
 
-def test_range_join_binned_path_equals_broadcast_path(spark):
+@pytest.mark.parametrize("bins", [7, None])
+def test_range_join_binned_path_equals_broadcast_path(spark, bins):
     facts, codes = tpch.incident_facts(spark, SMOKE_DIR), tpch.codes(spark, SMOKE_DIR)
     broadcast = C.code_range_join(facts, codes)
-    binned = C.code_range_join(facts, codes, max_broadcast_rows=10, bins=7)
+    binned = C.code_range_join(facts, codes, max_broadcast_rows=10, bins=bins)
     assert binned.count() == broadcast.count()
     assert _multiset(binned.groupBy("district").agg(F.sum("cnt"), F.count("*"))) == _multiset(
         broadcast.groupBy("district").agg(F.sum("cnt"), F.count("*"))
