@@ -4,11 +4,13 @@ Each job reads delimited input (the incident extract, the code lookup) or a
 Parquet copy of it, runs one lazy plan and writes the result, replacing any
 previous output. Command line::
 
-    python -m blotter.plans.jobs count       IN OUT [--clean] [--lines]
+    python -m blotter.plans.jobs count       IN OUT [--clean] [--lines] [--single-file]
     python -m blotter.plans.jobs count-join  IN CODES OUT [--how left|inner]
                                              [--strategy auto|broadcast|merge]
                                              [--clean] [--normalize whitespace|full] [--lines]
+                                             [--single-file]
     python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N] [--text] [--lines]
+                                             [--single-file]
     python -m blotter.plans.jobs drop-columns IN OUT [--single-file]
     python -m blotter.plans.jobs normalize-codes CODES OUT
     python -m blotter.plans.jobs to-parquet  IN OUT
@@ -41,6 +43,15 @@ from blotter.sinks import (
 from blotter.sources import MissingInputError, read_codes, read_incidents
 
 
+def _write_result(df: DataFrame, dst: str, single_file: bool) -> None:
+    """A ';' result without header: parallel part files, or one file for a
+    small aggregated result (refused above the single-file row bound)."""
+    if single_file:
+        export_single_file(df, dst)
+    else:
+        write_delimited(df, dst)
+
+
 def _is_parquet(path: str) -> bool:
     return path.rstrip("/").endswith(".parquet")
 
@@ -58,7 +69,14 @@ def to_parquet(spark: SparkSession, src: str, dst: str) -> None:
     read_incidents(spark, src).write.mode("overwrite").parquet(dst)
 
 
-def count(spark: SparkSession, src: str, dst: str, clean: bool = False, lines: bool = False) -> None:
+def count(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    clean: bool = False,
+    lines: bool = False,
+    single_file: bool = False,
+) -> None:
     """Incidents per district and type.
 
     ``lines=False``: quote-aware read, optional dirty-row filters, ';' output.
@@ -67,7 +85,7 @@ def count(spark: SparkSession, src: str, dst: str, clean: bool = False, lines: b
     """
     if not lines:
         result = C.type_count_by_district(load_incidents(spark, src), clean=clean)
-        write_delimited(result, dst)
+        _write_result(result, dst, single_file)
         return
     counted = TP.type_count_lines_clean(spark, src)
     write_lines(counted.select(record_line().alias("value")), dst)
@@ -83,6 +101,7 @@ def count_join(
     clean: bool = False,
     normalize: str | None = None,
     lines: bool = False,
+    single_file: bool = False,
 ) -> None:
     """Count on the code (input without descriptions), join the lookup's
     description, sort after the join, write ``district;description;count``.
@@ -101,7 +120,7 @@ def count_join(
     result = C.type_count_with_lookup(
         facts, codes, how=how, strategy=strategy, clean=clean, normalize=normalize
     )
-    write_delimited(result, dst)
+    _write_result(result, dst, single_file)
 
 
 def arrest_rate(
@@ -112,6 +131,7 @@ def arrest_rate(
     partitions: int | None = None,
     text: bool = False,
     lines: bool = False,
+    single_file: bool = False,
 ) -> None:
     """Arrest percentage per year and type.
 
@@ -125,7 +145,7 @@ def arrest_rate(
     if lines:
         result = TP.arrest_rate_lines(spark, src, partitions or 1)
     elif not exact:
-        write_delimited(C.arrest_pct(load_incidents(spark, src)), dst)
+        _write_result(C.arrest_pct(load_incidents(spark, src)), dst, single_file)
         return
     else:
         result = C.arrest_pct_exact(load_incidents(spark, src))
@@ -140,7 +160,7 @@ def arrest_rate(
         )
         write_lines(result.select(line.alias("value")), dst)
     else:
-        write_delimited(result, dst)
+        _write_result(result, dst, single_file)
 
 
 def drop_columns(spark: SparkSession, src: str, dst: str, single_file: bool = False) -> None:
@@ -168,17 +188,19 @@ def main(argv: list[str] | None = None) -> int:
     c = sub.add_parser("count")
     c.add_argument("src"), c.add_argument("dst")
     c.add_argument("--clean", action="store_true"), c.add_argument("--lines", action="store_true")
+    c.add_argument("--single-file", action="store_true")
     j = sub.add_parser("count-join")
     j.add_argument("src"), j.add_argument("codes"), j.add_argument("dst")
     j.add_argument("--how", default="left", choices=["left", "inner"])
     j.add_argument("--strategy", default="auto", choices=["auto", "broadcast", "merge"])
     j.add_argument("--clean", action="store_true")
     j.add_argument("--normalize", default=None, choices=["whitespace", "full"])
-    j.add_argument("--lines", action="store_true")
+    j.add_argument("--lines", action="store_true"), j.add_argument("--single-file", action="store_true")
     a = sub.add_parser("arrest-rate")
     a.add_argument("src"), a.add_argument("dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
     a.add_argument("--text", action="store_true"), a.add_argument("--lines", action="store_true")
+    a.add_argument("--single-file", action="store_true")
     d = sub.add_parser("drop-columns")
     d.add_argument("src"), d.add_argument("dst"), d.add_argument("--single-file", action="store_true")
     n = sub.add_parser("normalize-codes")
@@ -190,13 +212,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"blotter-{args.job}")
     try:
         if args.job == "count":
-            count(spark, args.src, args.dst, clean=args.clean, lines=args.lines)
+            count(spark, args.src, args.dst, args.clean, args.lines, args.single_file)
         elif args.job == "count-join":
             count_join(
-                spark, args.src, args.codes, args.dst, args.how, args.strategy, args.clean, args.normalize, args.lines
+                spark, args.src, args.codes, args.dst, args.how, args.strategy,
+                args.clean, args.normalize, args.lines, args.single_file,
             )
         elif args.job == "arrest-rate":
-            arrest_rate(spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines)
+            arrest_rate(
+                spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines, args.single_file
+            )
         elif args.job == "drop-columns":
             drop_columns(spark, args.src, args.dst, args.single_file)
         elif args.job == "normalize-codes":

@@ -29,6 +29,13 @@ def test_count_job_writes_ordered_csv(spark, fixture_files):
     assert '002;"A; B";1' in lines
 
 
+def test_count_job_single_file_for_charts(spark, fixture_files):
+    out = scratch_path(spark, "job-count-single")
+    jobs.count(spark, fixture_files["incidents"], out, single_file=True)
+    assert len([f for f in os.listdir(local(out)) if f.startswith("part-")]) == 1
+    assert _text(out).splitlines()[2] == "001;FIRST DEGREE MURDER;2"
+
+
 def test_count_job_line_form(spark, fixture_files):
     out = scratch_path(spark, "job-count-lines")
     jobs.count(spark, fixture_files["incidents"], out, lines=True)
