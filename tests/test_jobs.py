@@ -101,6 +101,18 @@ def test_parquet_copy_gives_same_counts(spark, fixture_files):
     assert _text(a) == _text(b)
 
 
+def test_parquet_copy_of_the_slim_extract_feeds_the_join(spark, fixture_files):
+    slim = scratch_path(spark, "job-slim-pq-src")
+    jobs.drop_columns(spark, fixture_files["incidents"], slim)
+    pq = scratch_path(spark, "job-slim") + ".parquet"
+    jobs.to_parquet(spark, slim, pq, with_description=False)
+    a, b = scratch_path(spark, "job-join-csv"), scratch_path(spark, "job-join-pq")
+    jobs.count_join(spark, slim, fixture_files["codes"], a)
+    jobs.count_join(spark, pq, fixture_files["codes"], b)
+    assert _text(a) == _text(b)
+    assert "001;SIMPLE;3" in _text(b).splitlines()
+
+
 def test_missing_input_exit_code(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda **kw: _NoStop(spark))
     assert jobs.main(["count", str(tmp_path / "missing.csv"), str(tmp_path / "out")]) == 2
