@@ -30,6 +30,14 @@ def test_no_python_udf_nodes(spark, name):
         assert node not in text
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cartesian_product_and_no_row_cap(spark, name):
+    """Whole results: no cross join of two inputs, no limit on any query."""
+    text = initial_plan(QUERIES[name](spark, SMOKE_DIR))
+    for node in ("CartesianProduct", "GlobalLimit", "CollectLimit", "TakeOrderedAndProject"):
+        assert node not in text
+
+
 @pytest.mark.parametrize("name", ["type_count_by_district", "type_count_left_join", "arrest_pct"])
 def test_partial_aggregation_before_shuffle(spark, name):
     text = initial_plan(QUERIES[name](spark, SMOKE_DIR))
