@@ -207,10 +207,11 @@ _TEXT_FILES: dict[tuple[str, str, str], dict[str, str]] = {}
 
 
 def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the text inputs of the line-form jobs once per session: the
-    22-column extract, the 20-column extract without descriptions and the
-    lookup file as shipped (all ';'-separated with a header). Returns their
-    paths (keys ``extract``, ``extract_nodesc``, ``codes``)."""
+    """Write the text inputs of the CSV-reading and line-form queries once
+    per session: the 22-column extract, the 20-column extract without
+    descriptions and the lookup file as shipped (all ';'-separated with a
+    header), derived from the prepared table. Returns their paths (keys
+    ``extract``, ``extract_nodesc``, ``codes``)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), scratch_dir(spark))
     with _LOCK:
         if key in _TEXT_FILES and not _still_there(_TEXT_FILES[key]):
