@@ -127,3 +127,20 @@ class _NoStop:
 
     def stop(self):
         pass
+
+
+def test_command_line_in_a_fresh_process(spark, fixture_files):
+    import subprocess
+    import sys
+
+    out = scratch_path(spark, "job-cli")
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    proc = subprocess.run(
+        [sys.executable, "-m", "blotter.plans.jobs", "count", fixture_files["incidents"], local(out), "--lines"],
+        env=env,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert _text(out).splitlines()[-1] == 'x10;\t"A;1'
