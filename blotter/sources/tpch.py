@@ -157,13 +157,14 @@ def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
 
     A large input already has at least that many splits and is written as
     it is (no shuffle); only an input read by fewer tasks than there are
-    cores (necessarily small) is hash-redistributed on the code and district,
-    into at most ``SPREAD_MAX_FILES`` files so a big cluster does not get
-    thousands of tiny ones.
+    cores (necessarily small) is redistributed round-robin, into at most
+    ``SPREAD_MAX_FILES`` files so a big cluster does not get thousands of
+    tiny ones. Round-robin keeps the layout neutral to every query key, as
+    the splits of a large input are: no file holds a key's rows together.
     """
     target = min(spark.sparkContext.defaultParallelism, SPREAD_MAX_FILES)
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, "iucr", "district")
+        return df.repartition(target)
     return df
 
 
