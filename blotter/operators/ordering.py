@@ -80,7 +80,10 @@ def split_points(
     sketch has bounded memory, so no cap on the sample is needed. Returns one
     row with the ``n_partitions - 1`` ascending split points (upper bounds:
     partition ``i`` takes keys up to split ``i``, as in Spark's range
-    partitioner) and the sample size.
+    partitioner) and the sample size. A key with fewer distinct values than
+    partitions (seven years for nine partitions) yields repeated points,
+    i.e. empty partitions; ``range_sort`` therefore ranges over the key plus
+    a tie-breaker column.
     """
     probs = [i / n_partitions for i in range(1, n_partitions)]
     sample = df.select(F.col(key).try_cast("bigint").alias(key)).sample(fraction=fraction, seed=seed)
