@@ -206,7 +206,7 @@ def forest(own: np.ndarray, guests: np.ndarray, distance: int) -> tuple[np.ndarr
     return np.concatenate(u), np.concatenate(v)
 
 
-def _links(distance: int, small: int = 256):
+def _links(distance: int, small: int = 64):
     """Maps entries sorted by ``key`` and own first to verified links ``u, v``:
     all of them in groups up to ``small`` entries, a forest in larger ones."""
 
