@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from blotter.session import scratch_path
@@ -100,3 +101,23 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ho
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
     right = lookup.withColumn("_part", F.explode(parts.cast("array<bigint>")))
     return left.withColumn("_part", F.col("_part").cast("bigint")).join(right, [key, "_part"], how).drop("_part")
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``pos``, each row's place from 0 by the columns ``order``
+    (nulls last; they must tell the rows apart).
+
+    A range-partitioned table is numbered part by part; only one count for
+    each part meets in a single place."""
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    by = [F.col(c).asc_nulls_last() for c in order]
+    dealt, _ = saved(df.repartitionByRange(parts, *by).withColumn("_at", F.spark_partition_id()), "numbered")
+    before = (
+        dealt.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(W.orderBy("_at").rowsBetween(W.unboundedPreceding, -1)))
+        .select("_at", F.coalesce("_before", F.lit(0)).alias("_before"))
+    )
+    here = F.row_number().over(W.partitionBy("_at").orderBy(*by)) - 1
+    return dealt.withColumn("_here", here).join(before, "_at").withColumn(
+        "pos", F.col("_before") + F.col("_here")
+    ).drop("_at", "_here", "_before")

@@ -14,10 +14,9 @@ ignored elsewhere.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from blotter.llm.common import saved
+from blotter.llm.common import numbered, saved
 
 #: Fixed values of the contract: weights in turn over the sources in code
 #: point order, and how often a source may be repeated.
@@ -40,28 +39,6 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
-def ranked(sources: DataFrame, name: str) -> DataFrame:
-    """``sources`` with ``pos``, its place from 0 by ``name`` (nulls last).
-
-    A range-partitioned table is numbered part by part; only one count for
-    each part meets in a single place."""
-    spark = sources.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    order = F.col(name).asc_nulls_last()
-    dealt, _ = saved(
-        sources.repartitionByRange(parts, order).withColumn("_at", F.spark_partition_id()), "mix-sources"
-    )
-    before = (
-        dealt.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(W.orderBy("_at").rowsBetween(W.unboundedPreceding, -1)))
-        .select("_at", F.coalesce("_before", F.lit(0)).alias("_before"))
-    )
-    here = F.row_number().over(W.partitionBy("_at").orderBy(order)) - 1
-    return dealt.withColumn("_here", here).join(before, "_at").withColumn(
-        "pos", F.col("_before") + F.col("_here")
-    ).drop("_at", "_here", "_before")
-
-
 def targets(sizes: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
     """``source, source_size, target, rate`` from ``source, size`` rows.
 
@@ -73,7 +50,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE) -> Data
     found = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("pos") % len(weights)).cast("int") + 1)
     table, _ = saved(
-        ranked(found, "source").withColumn("weight", weight).withColumn("bound", F.col("source_size") * max_rate),
+        numbered(found, "source").withColumn("weight", weight).withColumn("bound", F.col("source_size") * max_rate),
         "mix-weights",
     )
     level, fixed = None, -1
