@@ -5,7 +5,7 @@ Each applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
-from blotter.llm import decontaminate, mixing, packing, simhash, toxicity
+from blotter.llm import decontaminate, html, mixing, packing, quality, secrets, simhash, toxicity
 from blotter.llm.common import table
 
 
@@ -13,10 +13,18 @@ def _docs(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality.judged(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op3_toxicity(spark, sf_dir):
     return toxicity.severity(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secrets.scan(_docs(spark, sf_dir))
+
+
 def op5_source_mixing(spark, sf_dir):
     return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -33,12 +41,19 @@ def op9_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(_docs(spark, sf_dir))
 
 
+def op10_html_extraction(spark, sf_dir):
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_toxicity": op3_toxicity,
+    "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op7_token_packing": op7_token_packing,
     "op8_decontamination": op8_decontamination,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
