@@ -12,6 +12,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,3 +124,56 @@ def numbered(df: DataFrame, *order: str) -> DataFrame:
     return dealt.withColumn("_here", here).join(before, "_at").withColumn(
         "pos", F.col("_before") + F.col("_here")
     ).drop("_at", "_here", "_before")
+
+
+def word_blocks(docs: DataFrame, lower: bool = False, block_words: int = 1 << 20) -> DataFrame:
+    """Documents in blocks of about ``block_words`` words, for work on many
+    words at once: ``block`` (number), ``doc_ids``, ``lens`` (words of each
+    document) and ``body`` (all words with a space between, zstandard).
+
+    A block is a run of rows of one input partition; a longer document is a
+    block of its own. Only what the blocks hold is read again later, so their
+    numbers need not come out the same twice."""
+    names = ["block", "doc_ids", "lens", "body"]
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
+        number = TaskContext.get().partitionId() << 33
+        ids, lens, parts, held = [], [], [], 0
+
+        def block():
+            row = [[number], [ids], [lens], [pack(b" ".join(p for p in parts if p))]]
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds)], names)
+
+        for b in slices(batches):
+            for doc, text in zip(b.column("doc_id").to_pylist(), text_bytes(b)):
+                words = (text.lower() if lower else text).split()
+                ids.append(doc), lens.append(len(words)), parts.append(b" ".join(words))
+                held += len(words) + 1
+                if held >= block_words:
+                    yield block()
+                    number += 1
+                    ids, lens, parts, held = [], [], [], 0
+        if ids:
+            yield block()
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "block bigint, doc_ids array<bigint>, lens array<int>, body binary")
+
+
+def block_body(body: bytes) -> list[bytes]:
+    """The words of a block."""
+    return zstandard.ZstdDecompressor().decompress(body).split()
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        out = self[word] = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
+def hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(WordHashes().__getitem__, words), np.uint64, len(words))

@@ -5,7 +5,7 @@ Each applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
-from blotter.llm import decontaminate, html, mixing, packing, quality, secrets, simhash, toxicity
+from blotter.llm import decontaminate, html, mixing, packing, quality, rlz, secrets, simhash, toxicity
 from blotter.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_source_mixing(spark, sf_dir):
     return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_substring_dedup(spark, sf_dir):
+    return rlz.deduplicated(_docs(spark, sf_dir), with_text=False).drop("kept")
+
+
 def op7_token_packing(spark, sf_dir):
     return packing.packed(_docs(spark, sf_dir))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_token_packing": op7_token_packing,
     "op8_decontamination": op8_decontamination,
     "op9_simhash_dedup": op9_simhash_dedup,
