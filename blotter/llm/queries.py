@@ -5,7 +5,7 @@ Each applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
-from blotter.llm import decontaminate, html, mixing, packing, quality, rlz, secrets, simhash, toxicity
+from blotter.llm import decontaminate, html, lm, mixing, packing, quality, rlz, secrets, simhash, toxicity
 from blotter.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judged(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return lm.scores(_docs(spark, sf_dir))
+
+
 def op3_toxicity(spark, sf_dir):
     return toxicity.severity(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def op10_html_extraction(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,

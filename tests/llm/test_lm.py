@@ -1,0 +1,110 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest_llm import rows_of
+
+from blotter.llm import lm
+from blotter.llm.common import table
+from blotter.llm.eliasfano import EliasFano, Trie
+from blotter.llm.queries import QUERIES
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def tokens_of(text):
+    return (text or "").encode().lower().split() + [None]
+
+
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def plain(docs, min_count, mu=lm.MU):
+    """{id: (held, n, known, N, base, score)} from dictionaries."""
+    c, pairs = Counter(), Counter()
+    for d, t in docs:
+        if not held(d):
+            ws = tokens_of(t)
+            c.update(ws)
+            pairs.update(zip([None, *ws], ws))
+    total, types = sum(c.values()), len(c)
+    out = {}
+    for d, t in docs:
+        ws = tokens_of(t)
+        base = score = 0.0
+        for v, w in zip([None, *ws], ws):
+            p = (c[w] + 1) / (total + types + 1)
+            base += math.log10(p)
+            if c[v] >= min_count and c[w] >= min_count:
+                p = (pairs[v, w] + mu * p) / (c[v] + mu)
+            score += math.log10(p)
+        out[d] = (held(d), len(ws), sum(c[w] > 0 for w in ws), total, base, score)
+    return out
+
+
+def check(df, want):
+    rows = df.collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        h, n, known, total, base, score = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (h, n, known, total)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+        # Quantised: half a step of either kind at most for each token.
+        assert abs(r["score"] - score) <= 0.03 * n + 1e-3
+    return rows
+
+
+def test_query_against_dictionaries(spark):
+    docs = [(r["doc_id"], r["text"]) for r in table(spark, MIDDLE, "documents").select("doc_id", "text").collect()]
+    rows = check(QUERIES["op2_lm_scoring"](spark, MIDDLE), plain(docs, lm.MIN_COUNT))
+    apart = [r for r in rows if r["held_out"]]
+    assert apart and sum(r["score"] for r in apart) > sum(r["base_score"] for r in apart)
+
+
+def test_many_shards_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 4000)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 5000)
+    monkeypatch.setattr(lm, "MIN_COUNT", 2)
+    frame = table(spark, "/root/testdata/sf0.001", "documents").repartition(3)
+    docs = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
+    check(lm.scores(frame), plain(docs, 2))
+
+
+def test_elias_fano_round_trip_and_search():
+    rnd = np.random.default_rng(1)
+    for n, top in ((0, 1), (1, 1), (1, 2**60), (50, 10), (1000, 2**40), (3000, 2**63)):
+        values = np.sort(rnd.integers(0, top, n, dtype=np.uint64))
+        ef = EliasFano.of(values)
+        assert (ef[np.arange(n)] == values).all()
+        for x in (values, values + np.uint64(1), rnd.integers(0, top, 500, dtype=np.uint64)):
+            if n:
+                assert (ef.successor(x) == np.searchsorted(values, x)).all()
+            assert ((ef.find(x) >= 0) == np.isin(x, values)).all()
+    few = EliasFano.of(np.sort(rnd.integers(0, 1 << 30, 100_000, dtype=np.uint64)))
+    assert 8 * (few.low.nbytes + few.high.nbytes) < 100_000 * (3 + math.log2((1 << 30) / 100_000))
+
+
+def test_trie_holds_its_bigrams_and_opens_from_a_mapped_file(tmp_path):
+    rnd = np.random.default_rng(2)
+    grams = sorted({(int(a), int(b)) for a, b in zip(rnd.integers(0, 2**63, 40)[rnd.integers(0, 40, 3000)], rnd.integers(0, 500, 3000))})
+    context, word = (np.array(x, np.uint64) for x in zip(*grams))
+    p = -rnd.random(len(grams)) * 6
+    (tmp_path / "trie").write_bytes(Trie.build(context, word, p).to_bytes())
+    trie = Trie.from_buffer(np.memmap(tmp_path / "trie", np.uint8, "r"))
+    assert np.abs(trie.lookup(context, word) - p).max() <= 6 / 255 / 2 + 1e-6
+    assert np.isnan(trie.lookup(context, word + np.uint64(1000))).all()
+    assert np.isnan(trie.lookup(context + np.uint64(1), word)).all()
+    for c in set(context.tolist()):
+        assert sorted(trie.successors(c).tolist()) == [b for a, b in grams if a == c]
+
+
+def test_odd_rows(spark, odd_documents, no_documents):
+    rows = rows_of(lm.scores(odd_documents))
+    assert len(rows) == odd_documents.count()
+    of = {r["doc_id"]: r for r in rows}
+    assert of[2]["n_tokens"] == of[3]["n_tokens"] == 1 and of[5]["n_tokens"] == 30001
+    assert not of[None]["held_out"]
+    assert rows_of(lm.scores(no_documents)) == []
