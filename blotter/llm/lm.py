@@ -53,8 +53,8 @@ MODULUS, HELD = 7, 2
 MU = 300.0
 MIN_COUNT = 50
 HOT_SHARE = 0.001
-SHARD_TOKENS = 4_000_000
-BLOCK_WORDS = 1 << 21
+SHARD_TOKENS = 2_000_000
+BLOCK_WORDS = 1 << 20
 
 END = np.uint64(0x456E64)  # the end token; words are 64-bit hashes
 _NEXT_BITS = 40
