@@ -177,8 +177,11 @@ def _shared_runs(window: int, anchor: int):
                 before = seen.setdefault((int(low[i]), marks[i]), place)
                 if before < place:
                     known_at[i], source[i], source_start[i] = True, *before
+            # A run with a known source only passes through step 4: any key will do.
+            spread = np.arange(len(low), dtype=np.uint64) * _M + np.uint64(row["block"] % (1 << 32))
+            key = np.where(known_at, _signed(spread), low)
             out.append(pa.table({
-                "anchor": low, "block": np.full(len(low), row["block"], np.int64), "doc": doc.astype(np.int32),
+                "anchor": key, "block": np.full(len(low), row["block"], np.int64), "doc": doc.astype(np.int32),
                 "start": start.astype(np.int32), "doc_id": ids,
                 "marks": pa.array([None if k else m for k, m in zip(known_at.tolist(), marks)], pa.binary()),
                 "count": count.astype(np.int32), "source": source, "source_start": source_start,
@@ -202,7 +205,7 @@ def _sources(batches):
     by anchor, id and start, so the first of equal windows is the earliest."""
     for t in whole_groups(batches, "anchor"):
         given = {c: t.column(c).to_numpy() for c in _PIECES}
-        known = given["source_start"] >= 0
+        known = given["source_start"] >= 0  # its key is no anchor
         if known.any():
             yield _batch({c: v[known] for c, v in given.items()})
         if known.all():
