@@ -26,6 +26,7 @@ if any label says so; without labelled texts of both kinds nothing is toxic
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -132,56 +133,61 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: n
     return w, theta
 
 
-def grades(texts: list[set[bytes]], toxic: np.ndarray) -> np.ndarray:
-    """Severity grades from 0; see the module's text."""
-    many, few = {}, {}
-    for words, t in zip(texts, toxic):
-        count = many if t else few
-        for w in words:
-            count[w] = count.get(w, 0) + 1
-    n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    strong = {
-        w for w, c in many.items()
-        if c >= MIN_DOCS and c / n_toxic >= LIFT * (few.get(w, 0) + 0.5) / n_clean
-    }
-    out = np.zeros(len(texts), np.int64)
-    for i, words in enumerate(texts):
-        if toxic[i]:
-            out[i] = 1 + sum(len(words & strong) >= s for s in STEPS)
-    # Grades without a text are closed up.
-    return np.searchsorted(np.unique(out), out)
-
-
-def informative(rows: np.ndarray, cols: np.ndarray, width: int, toxic: np.ndarray) -> np.ndarray:
-    """Features in enough texts whose presence depends on the label."""
-    pair = np.unique(rows.astype(np.int64) * width + cols)
-    row, col = pair // width, pair % width
-    here = np.bincount(col, minlength=width).astype(float)
-    both = np.bincount(col[toxic[row]], minlength=width)
-    n, t = len(toxic), toxic.sum()
-    gap = both * (n - here - t + both) - (here - both) * (t - both)
-    chi2 = n * gap**2 / np.maximum(1.0, here * (n - here) * t * (n - t))
-    return (here >= MIN_DOCS) & (chi2 >= MIN_CHI2)
+class Counts:
+    """In how many toxic and other training texts each word and prefix is.
+
+    Only these counts are held for all features; the rows of the training
+    matrix are made afterwards, for the informative ones alone."""
+
+    def __init__(self, texts: list[bytes], toxic: np.ndarray):
+        self.index: dict[bytes, int] = {}
+        here, both = array("i"), array("i")
+        for text, t in zip(texts, toxic.tolist()):
+            words = distinct_words(text)
+            for f in words.union(map(prefix, words)):
+                i = self.index.setdefault(f, len(here))
+                if i == len(here):
+                    here.append(0), both.append(0)
+                here[i] += 1
+                both[i] += t
+        self.here, self.both = np.array(here, float), np.array(both, float)
+        self.n, self.t = len(toxic), int(toxic.sum())
+
+    def informative(self) -> dict[bytes, int]:
+        """Features in enough texts whose presence depends on the label, numbered."""
+        gap = self.both * (self.n - self.here - self.t + self.both) - (self.here - self.both) * (self.t - self.both)
+        chi2 = self.n * gap**2 / np.maximum(1.0, self.here * (self.n - self.here) * self.t * (self.n - self.t))
+        keep = (self.here >= MIN_DOCS) & (chi2 >= MIN_CHI2)
+        number = np.cumsum(keep) - 1
+        return {f: int(number[i]) for f, i in self.index.items() if keep[i]}
+
+    def strong(self) -> set[bytes]:
+        """Words much more frequent in toxic texts."""
+        lift = (self.both / self.t) / ((self.here - self.both + 0.5) / (self.n - self.t))
+        keep = (self.both >= MIN_DOCS) & (lift >= LIFT)
+        return {f for f, i in self.index.items() if keep[i] and f[:1] != b" "}
 
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     toxic = np.asarray(toxic, bool)
     if not toxic.any() or toxic.all():
         return Model()
-    sets = [distinct_words(t) for t in texts]
-    grade = grades(sets, toxic)
-    index: dict[bytes, int] = {}
-    rows, cols = [], []
-    for i, words in enumerate(sets):
+    counts = Counts(texts, toxic)
+    number, strong = counts.informative(), counts.strong()
+    del counts
+    grade = np.zeros(len(texts), np.int64)
+    rows, cols = array("i"), array("i")
+    for i, text in enumerate(texts):
+        words = distinct_words(text)
+        if toxic[i]:
+            grade[i] = 1 + sum(len(words & strong) >= s for s in STEPS)
         for w in words:
             for f in (w, prefix(w)):
-                rows.append(i), cols.append(index.setdefault(f, len(index)))
-    rows, cols = np.array(rows, np.int32), np.array(cols, np.int32)
-    enough = informative(rows, cols, len(index), toxic)
-    number = np.cumsum(enough) - 1
-    keep = enough[cols]
-    w, theta = fit_ordinal(rows[keep], number[cols[keep]], len(texts), int(enough.sum()), grade)
-    weight = {f: float(w[number[j]]) for f, j in index.items() if enough[j] and w[number[j]]}
+                if f in number:
+                    rows.append(i), cols.append(number[f])
+    grade = np.searchsorted(np.unique(grade), grade)  # grades without a text are closed up
+    w, theta = fit_ordinal(np.array(rows), np.array(cols), len(texts), len(number), grade)
+    weight = {f: float(w[j]) for f, j in number.items() if w[j]}
     return Model(
         {f: v for f, v in weight.items() if f[:1] != b" "}, {f: v for f, v in weight.items() if f[:1] == b" "},
         tuple(float(t) for t in theta),
