@@ -113,29 +113,38 @@ class Block:
 
 
 def _word_counts(batches):
-    """Step 1: ``word, block, n`` (training tokens), a word once a block."""
+    """Step 1: ``word, block, place, n`` (training tokens), a word once a
+    block; ``place`` is its place among the block's words."""
     for b in batches:
         for row in b.to_pylist():
             block = Block(row)
             n = np.bincount(block.token[block.train], minlength=len(block.words))
             for at in range(0, len(n), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                word = block.words[part].view(np.int64)
+                word = block.words[at : at + (1 << 16)].view(np.int64)
+                here = np.full(len(word), row["block"], np.int64)
+                place = np.arange(at, at + len(word), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word), pa.array(np.full(len(word), row["block"], np.int64)), pa.array(n[part].astype(np.int64))],
-                    ["word", "block", "n"],
+                    [pa.array(x) for x in (word, here, place, n[at : at + (1 << 16)].astype(np.int64))],
+                    ["word", "block", "place", "n"],
                 )
 
 
-def _corpus_counts(batches):
-    """``block, word, c, owner``: corpus counts for each block's words;
-    ``owner`` marks one row of each word."""
-    for t in whole_groups(batches, "word"):
-        word, block, n = (t.column(c).to_numpy() for c in ("word", "block", "n"))
-        owner = np.r_[True, word[1:] != word[:-1]]
-        first = np.flatnonzero(owner)
-        c = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(word)]))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, word, c, owner)], ["block", "word", "c", "owner"])
+def _corpus_counts(hot_count: float):
+    """``block, place, c, owner, hot``: corpus counts for each block's words;
+    ``owner`` marks one row of each word, which names it if it is hot."""
+
+    def run(batches):
+        for t in whole_groups(batches, "word"):
+            word, block, place, n = (t.column(c).to_numpy() for c in ("word", "block", "place", "n"))
+            owner = np.r_[True, word[1:] != word[:-1]]
+            first = np.flatnonzero(owner)
+            c = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(word)]))
+            hot = pa.array(word, mask=~(owner & (c > hot_count)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block), pa.array(place), pa.array(c), pa.array(owner), hot], ["block", "place", "c", "owner", "hot"]
+            )
+
+    return run
 
 
 def _hot_pairs(hot):
@@ -187,11 +196,10 @@ def _probes(shared):
 
     def run(key, blocks: pa.Table, counts: pa.Table) -> pa.Table:
         corpus, shard_out, body_out = shared.value, [], []
-        known, order = counts.column("word").to_numpy().view(np.uint64), None
-        order = np.argsort(known)
         for row in blocks.to_pylist():
             block = Block(row)
-            c = counts.column("c").to_numpy()[order][np.searchsorted(known[order], block.words)]
+            c = np.empty(len(block.words), np.int64)
+            c[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
             uni = corpus.unigram(c)
             v, w = block.before, block.token
             c_v = c[v].astype(float)
@@ -243,7 +251,7 @@ def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> by
     follow = (pair % words).astype(np.int64)
     context = context.astype(np.int64)
     assert train.sum() == n_train.sum()
-    name = block.words[follow] & np.uint64((1 << _NEXT_BITS) - 1)
+    name = block.words[follow] >> np.uint64(64 - _NEXT_BITS)
     return to_blob(
         block.words[context], c[context], np.diff(np.append(c_first, len(pair))),
         name & np.uint64(0xFFFFFFFF), name >> np.uint64(32), codes[follow], n_train, np.diff(np.append(first, len(post))), d, n_post,
@@ -262,34 +270,38 @@ def _answers(batches):
         asked = [(r["block"], from_blob(r["body"][1:])) for r in rows if r["body"][:1] == b"P"]
         if not asked:
             continue
-        context = np.concatenate([np.repeat(a[0], a[2]) for _, a in asked])
-        c = np.concatenate([np.repeat(a[1], a[2]) for _, a in asked]).astype(float)
-        word = np.concatenate([a[3].astype(np.uint64) | a[4].astype(np.uint64) << np.uint64(32) for _, a in asked])
-        uni = 10.0 ** (-_UNI_STEP * np.concatenate([a[5] for _, a in asked]))
-        n = np.concatenate([a[6] for _, a in asked]).astype(np.int64)
-        trie = _trie(context, word, c, uni, n)
-        log10p = trie.lookup(context, word)
-        log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
-        at = 0
+        trie = _trie([a for _, a in asked])
         for block, a in asked:
-            here = log10p[at : at + len(a[3])]
-            at += len(a[3])
-            sums = np.bincount(a[8], weights=np.repeat(here, a[7]) * a[9])
+            context, c, word, uni = _pairs(a)
+            log10p = trie.lookup(context, word)
+            log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
+            sums = np.bincount(a[8], weights=np.repeat(log10p, a[7]) * a[9])
             docs = np.unique(a[8])
             body = b"S" + to_blob(docs, sums[docs].astype(np.float32))
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([body], pa.binary())], names)
 
 
-def _trie(context, word, c, uni, n) -> Trie:
+def _pairs(a: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Context, its count, next word and unigram probability of each pair."""
+    word = a[3].astype(np.uint64) | a[4].astype(np.uint64) << np.uint64(32)
+    return np.repeat(a[0], a[2]).astype(np.uint64), np.repeat(a[1], a[2]), word, 10.0 ** (-_UNI_STEP * a[5])
+
+
+def _trie(asked: list[list[np.ndarray]]) -> Trie:
     """The shard's trie: its bigrams with a training count."""
+    context, word, n, p = [], [], [], []
+    for a in asked:
+        seen = a[6] > 0
+        v, c, w, uni = _pairs(a)
+        context.append(v[seen]), word.append(w[seen]), n.append(a[6][seen].astype(np.int64))
+        p.append(np.stack([MU * uni[seen], c[seen] + MU]).astype(np.float32))
+    context, word, n, p = np.concatenate(context), np.concatenate(word), np.concatenate(n), np.concatenate(p, axis=1)
     order = np.lexsort((word, context))
     context, word = context[order], word[order]
-    first = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
-    total = np.add.reduceat(n[order], first)
-    first, total = first[total > 0], total[total > 0]
-    row = order[first]
-    built = Trie.build(context[first], word[first], np.log10((total + MU * uni[row]) / (c[row] + MU)))
-    return Trie.from_buffer(built.to_bytes())
+    first = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])][: len(order)])
+    total = np.add.reduceat(n[order], first) if len(first) else n
+    p = p[:, order[first]]
+    return Trie.from_buffer(Trie.build(context[first], word[first], np.log10((total + p[0]) / p[1])).to_bytes())
 
 
 _RESULT = (
@@ -327,24 +339,24 @@ def scores(docs: DataFrame) -> DataFrame:
     pairs = blocks.select(F.explode(F.arrays_zip("doc_ids", "lens")).alias("d")).select("d.doc_ids", "d.lens")
     held = F.coalesce(F.crc32(F.col("doc_ids").cast("string").cast("binary")) % MODULUS == HELD, F.lit(False))
     tokens = pairs.where(~held).agg(F.sum(F.col("lens") + 1)).first()[0] or 0
-    words = blocks.select("block", "doc_ids", "lens", "body").mapInArrow(_word_counts, "word bigint, block bigint, n bigint")
+    words = blocks.mapInArrow(_word_counts, "word bigint, block bigint, place int, n bigint")
+    # Fewer than 1 / HOT_SHARE words can have more than that share of tokens.
     counts, _ = saved(
-        words.repartition("word").sortWithinPartitions("word")
-        .mapInArrow(_corpus_counts, "block bigint, word bigint, c bigint, owner boolean"),
+        words.repartition("word").sortWithinPartitions("word").mapInArrow(
+            _corpus_counts(max(tokens * HOT_SHARE, MIN_COUNT)), "block bigint, place int, c bigint, owner boolean, hot bigint"
+        ),
         "lm-counts",
     )
-    owned = counts.where("owner and c > 0")
-    types = owned.count()
-    # Fewer than 1 / HOT_SHARE words can have more than that share of tokens.
-    hot = owned.where(F.col("c") > F.lit(max(tokens * HOT_SHARE, MIN_COUNT))).select("word").collect()
-    hot = np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
+    types = counts.where("owner and c > 0").count()
+    hot = [r["hot"] for r in counts.where("hot is not null").select("hot").collect()]
+    hot = np.sort(np.array(hot, np.int64).view(np.uint64))
     hot_counts = np.zeros(len(hot) ** 2, np.int64)
     if len(hot):
         found = blocks.mapInArrow(_hot_pairs(hot), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
         for r in found.toLocalIterator():
             hot_counts[r["pair"]] = r["n"]
     shared = spark.sparkContext.broadcast(Corpus(tokens, types, hot, hot_counts))
-    probes = blocks.groupBy("block").cogroup(counts.select("block", "word", "c").groupBy("block")).applyInArrow(
+    probes = blocks.groupBy("block").cogroup(counts.select("block", "place", "c").groupBy("block")).applyInArrow(
         _probes(shared), "shard bigint, block bigint, body binary"
     )
     answers = probes.repartition("shard").sortWithinPartitions("shard").mapInArrow(_answers, "block bigint, body binary")
