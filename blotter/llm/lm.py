@@ -99,17 +99,17 @@ class Block:
         body[self.ends] = False
         tokens[body] = words
         self.ids = row["doc_ids"]
-        self.doc = np.repeat(np.arange(len(lens)), lens + 1)
+        self.doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens + 1)
         self.n_tokens = lens + 1
         self.held = np.array([is_held(d) for d in self.ids], bool)
-        self.words, self.token = np.unique(tokens, return_inverse=True)
-        end = int(np.searchsorted(self.words, END))
-        self.before = np.r_[end, self.token[:-1]]
-        self.before[self.starts] = end
+        self.words, token = np.unique(tokens, return_inverse=True)
+        self.token = token.astype(np.int32)
+        self.before = np.roll(self.token, 1)
+        self.before[self.starts] = np.searchsorted(self.words, END)
         self.train = ~self.held[self.doc]
 
-    def by_doc(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.doc, weights=weights, minlength=len(self.ids))
+    def by_doc(self, weights: np.ndarray, at=slice(None)) -> np.ndarray:
+        return np.bincount(self.doc[at], weights=weights, minlength=len(self.ids))
 
 
 def _word_counts(batches):
@@ -201,27 +201,28 @@ def _probes(shared):
             c = np.empty(len(block.words), np.int64)
             c[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
             uni = corpus.unigram(c)
+            log_uni = np.log10(uni)
             v, w = block.before, block.token
-            c_v = c[v].astype(float)
-            common = c >= MIN_COUNT
-            base = block.by_doc(np.log10(c[w] + 1.0)) - block.n_tokens * np.log10(corpus.tokens + corpus.types + 1.0)
+            base = block.by_doc(log_uni[w])
+            score = base.copy()
             hot = _places(corpus.hot, block.words)
-            both_hot = (hot[v] >= 0) & (hot[w] >= 0)
-            pair = np.where(both_hot, hot[v] * len(corpus.hot) + hot[w], 0)
-            n_pair = np.where(both_hot, corpus.pairs[pair] if len(corpus.pairs) else 0, 0)
-            here = np.where(common[v] & common[w], (n_pair + MU * uni[w]) / (c_v + MU), uni[w])
-            asked = common[v] & common[w] & ~both_hot
-            score = block.by_doc(np.where(asked, 0.0, np.log10(here)))
+            is_hot = hot >= 0
+            both_hot = is_hot[v] & is_hot[w]
+            at = np.flatnonzero(both_hot)
+            n_pair = corpus.pairs[hot[v[at]] * len(corpus.hot) + hot[w[at]]]
+            score += block.by_doc(np.log10((n_pair + MU * uni[w[at]]) / (c[v[at]] + MU)) - log_uni[w[at]], at)
+            common = c >= MIN_COUNT
+            at = np.flatnonzero(common[v] & common[w] & ~both_hot)
+            score -= block.by_doc(log_uni[w[at]], at)
             shard_out.append(row["block"] % corpus.shards)
             body_out.append(b"B" + to_blob(
                 np.array([0 if d is None else d + (1 << 62) for d in block.ids], np.uint64), block.held.astype(np.uint8),
-                block.n_tokens, block.by_doc((c[w] > 0).astype(float)).astype(np.int64), base, score,
+                block.n_tokens, block.by_doc((c > 0)[w].astype(float)).astype(np.int64), base, score,
             ))
-            at = np.flatnonzero(asked)
             to = corpus.shard(block.words[v[at]], c[v[at]], block.words[w[at]])
             at = at[np.argsort(to.astype(np.uint16 if corpus.shards < 1 << 16 else np.uint32), kind="stable")]
             edge = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=corpus.shards))])
-            codes = np.rint(-np.log10(uni) / _UNI_STEP).astype(np.int64)
+            codes = np.rint(-log_uni / _UNI_STEP).astype(np.int64)
             for s in np.flatnonzero(np.diff(edge)).tolist():
                 shard_out.append(s)
                 body_out.append(b"P" + _asked(block, at[edge[s] : edge[s + 1]], c, codes))
@@ -258,27 +259,23 @@ def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> by
     )
 
 
-def _answers(batches):
-    """Step 4: a trie for each shard, and each block's sums by document."""
-    names = ["block", "body"]
-    for t in whole_groups(batches, "shard"):
-        rows = t.select(names).to_pylist()
-        yield from (
-            pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int64()), pa.array([r["body"]], pa.binary())], names)
-            for r in rows if r["body"][:1] == b"B"
-        )
-        asked = [(r["block"], from_blob(r["body"][1:])) for r in rows if r["body"][:1] == b"P"]
-        if not asked:
-            continue
-        trie = _trie([a for _, a in asked])
-        for block, a in asked:
-            context, c, word, uni = _pairs(a)
-            log10p = trie.lookup(context, word)
-            log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
-            sums = np.bincount(a[8], weights=np.repeat(log10p, a[7]) * a[9])
-            docs = np.unique(a[8])
-            body = b"S" + to_blob(docs, sums[docs].astype(np.float32))
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([body], pa.binary())], names)
+def _answers(shard: pa.Table) -> pa.Table:
+    """Step 4: the shard's trie, and each block's sums by document."""
+    blocks, bodies, asked = [], [], []
+    for block, body in zip(shard.column("block").to_pylist(), shard.column("body").to_pylist()):
+        if body[:1] == b"B":
+            blocks.append(block), bodies.append(body)
+        else:
+            asked.append((block, from_blob(body[1:])))
+    trie = _trie([a for _, a in asked]) if asked else None
+    for block, a in asked:
+        context, c, word, uni = _pairs(a)
+        log10p = trie.lookup(context, word)
+        log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
+        sums = np.bincount(a[8], weights=np.repeat(log10p, a[7]) * a[9])
+        docs = np.unique(a[8])
+        blocks.append(block), bodies.append(b"S" + to_blob(docs, sums[docs].astype(np.float32)))
+    return pa.table({"block": pa.array(blocks, pa.int64()), "body": pa.array(bodies, pa.binary())})
 
 
 def _pairs(a: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -359,5 +356,5 @@ def scores(docs: DataFrame) -> DataFrame:
     probes = blocks.groupBy("block").cogroup(counts.select("block", "place", "c").groupBy("block")).applyInArrow(
         _probes(shared), "shard bigint, block bigint, body binary"
     )
-    answers = probes.repartition("shard").sortWithinPartitions("shard").mapInArrow(_answers, "block bigint, body binary")
+    answers = probes.groupBy("shard").applyInArrow(_answers, "block bigint, body binary")
     return answers.groupBy("block").applyInArrow(_sums(tokens), _RESULT)
