@@ -193,15 +193,16 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_
         yield block
 
 
-_BUILT: dict[int, Automaton] = {}
+_BUILT: dict[tuple[int, int], Automaton] = {}
 
 
 def _automaton(block, number: int, window: int) -> Automaton:
-    """The block's automaton, built once in each worker process."""
-    if number not in _BUILT:
+    """The block's automaton, built once in each worker process. ``number`` is
+    the broadcast's own, so no other query's automaton is taken for it."""
+    if (number, window) not in _BUILT:
         _BUILT.clear()
-        _BUILT[number] = Automaton(block.value, window)
-    return _BUILT[number]
+        _BUILT[number, window] = Automaton(block.value, window)
+    return _BUILT[number, window]
 
 
 _FOUND = "_dc_words bigint, _dc_spans array<struct<a:int,b:int>>, _dc_items array<string>"
@@ -239,12 +240,12 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_w
     passes after the first read what the one before has written."""
     sc = docs.sparkSession.sparkContext
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    out, number = None, 0
+    out = None
     for block in blocks(benchmark, window, block_words):
         if out is not None:
             out, _ = saved(out, "decontaminate")
-        number += 1
-        out = _pass(docs if out is None else out, sc.broadcast(block), number, window)
+        shared = sc.broadcast(block)
+        out = _pass(docs if out is None else out, shared, shared._jbroadcast.id(), window)
     return _pass(docs, None, 0, window) if out is None else out
 
 
