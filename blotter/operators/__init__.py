@@ -2,12 +2,7 @@
 
 from blotter.operators.clean import clean_description, clean_district, dirty_row_filter
 from blotter.operators.counts import count_by, count_by_type
-from blotter.operators.joins import (
-    broadcast_checked,
-    join_lookup,
-    lookup_descriptions,
-    range_join_le,
-)
+from blotter.operators.joins import join_lookup, lookup_descriptions
 from blotter.operators.ordering import (
     hash_partition,
     order_by_district_count,
@@ -28,10 +23,8 @@ __all__ = [
     "dirty_row_filter",
     "count_by",
     "count_by_type",
-    "broadcast_checked",
     "join_lookup",
     "lookup_descriptions",
-    "range_join_le",
     "hash_partition",
     "order_by_district_count",
     "order_by_year",

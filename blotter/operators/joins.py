@@ -6,11 +6,10 @@ aggregate under a join by itself), so the join sees one row per
 
 Strategies:
 
-* ``auto``      -- Catalyst/AQE choose by size (broadcast under the
-  threshold, sort-merge otherwise, re-planned at run time).
-* ``broadcast`` -- map-side join; the lookup is counted first and only
-  broadcast when it is within ``max_rows``, otherwise the plan falls back to
-  a shuffle join.
+* ``auto``, ``broadcast`` -- Catalyst and AQE choose by measured bytes: a
+  lookup under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger
+  one is joined by shuffle. The two names ask for the same plan: a lookup
+  is never forced on every executor whatever its size.
 * ``merge``     -- reduce-side join: both inputs hash-partitioned on the code,
   sorted, merged per key (what a tagged union plus co-group does by hand,
   without buffering per-key lists).
@@ -18,32 +17,9 @@ Strategies:
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
-# Largest lookup broadcast on request. A lookup of codes is a few hundred
-# rows; 100,000 short rows is about Spark's own 10 MB broadcast threshold.
-# The bound keeps a mistaken large input from being shipped to every
-# executor.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``). Returns
-    the (possibly hinted) frame and whether the hint was applied.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    log.warning("lookup has more than %d rows; using a shuffle join", max_rows)
-    return df, False
-
 
 def lookup_descriptions(
     codes: DataFrame, description: str = "secondary_description", key: str = "iucr"
@@ -58,63 +34,11 @@ def join_lookup(
     how: str = "left",
     strategy: str = "auto",
     key: str = "iucr",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Equi-join ``counts`` with ``lookup`` on ``key``; ``how`` is ``left`` or
     ``inner``. The lookup is the build side in every strategy."""
-    if strategy == "broadcast":
-        lookup, _ = broadcast_checked(lookup, max_broadcast_rows)
-    elif strategy == "merge":
+    if strategy == "merge":
         lookup = lookup.hint("merge")
-    elif strategy != "auto":
+    elif strategy not in ("auto", "broadcast"):
         raise ValueError(f"unknown join strategy: {strategy}")
     return counts.join(lookup, key, how)
-
-
-def range_join_le(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    bins: int | None = None,
-) -> DataFrame:
-    """Inner theta join ``left[left_key] <= right[right_key]``.
-
-    The output is every qualifying pair, about half of ``|left| x |right|``,
-    so a nested loop over a broadcast right side costs at most twice the
-    output. When the right side is too large to broadcast it is range
-    partitioned into ``bins`` sorted bins (default: the session's shuffle
-    partitions) (materialised with ``checkpoint``
-    so the bin assignment is stable across retries); each left row is sent to
-    the bins whose upper bound reaches its key and matched by an equi-join on
-    the bin id. Both paths are exact and never form a cartesian product of
-    the two inputs.
-    """
-    small, ok = broadcast_checked(right, max_broadcast_rows)
-    if ok:
-        return left.join(small, left[left_key] <= small[right_key], "inner")
-
-    # As many bins as the session's shuffle partitions, so the bin join
-    # spreads over the cluster.
-    bins = bins or int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    binned = (
-        right.repartitionByRange(bins, F.col(right_key))
-        .withColumn("_bin", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    # One row per bin: bounded by ``bins`` whatever the data size.
-    bounds = binned.groupBy("_bin").agg(F.max(right_key).alias("_hi"))
-    targets = (
-        left.alias("_l")
-        .join(F.broadcast(bounds.alias("_b")), F.col(f"_l.{left_key}") <= F.col("_b._hi"), "inner")
-        .drop("_hi")
-    )
-    return (
-        targets.alias("_t")
-        .join(binned.alias("_r"), F.col("_t._bin") == F.col("_r._bin"), "inner")
-        .filter(F.col(f"_t.{left_key}") <= F.col(f"_r.{right_key}"))
-        .select("_t.*", "_r.*")
-        .drop("_bin")
-    )

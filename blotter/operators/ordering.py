@@ -71,23 +71,24 @@ def range_sort(df: DataFrame, n: int, keys: tuple[str, ...]) -> DataFrame:
 
 
 def split_points(
-    df: DataFrame, key: str, n_partitions: int, fraction: float = 0.01, seed: int = 7
+    df: DataFrame, key: str, n_partitions: int, row_key: str, fraction: float = 0.01
 ) -> DataFrame:
-    """Range split points for ``n_partitions`` from a random sample of ``key``.
-
-    The sample is a ``fraction`` Bernoulli sample of the rows (the sampling
-    operator itself); the quantiles come from ``percentile_approx``, whose
-    sketch has bounded memory, so no cap on the sample is needed. Returns one
-    row with the ``n_partitions - 1`` ascending split points (upper bounds:
-    partition ``i`` takes keys up to split ``i``, as in Spark's range
-    partitioner) and the sample size. A key with fewer distinct values than
-    partitions (seven years for nine partitions) yields repeated points,
-    i.e. empty partitions; ``range_sort`` therefore ranges over the key plus
-    a tie-breaker column.
+    """Range split points for ``n_partitions`` from a sample of ``key``.
+
+    A row is in the sample if the hash of ``row_key``, which names it, falls
+    into the first ``fraction`` of all hashes, so the sample is the same in
+    every run and layout (the sampling operator itself). The quantiles come
+    from ``percentile_approx``, whose sketch has bounded memory and is exact
+    below its accuracy. Returns one row: the ``n_partitions - 1`` ascending
+    points, comma-joined (partition ``i`` takes keys up to point ``i``), and
+    the sample size. A key with fewer distinct values than partitions yields
+    repeated points, i.e. empty partitions; ``range_sort`` therefore ranges
+    over the key plus a tie-breaker column.
     """
     probs = [i / n_partitions for i in range(1, n_partitions)]
-    sample = df.select(F.col(key).try_cast("bigint").alias(key)).sample(fraction=fraction, seed=seed)
+    place = F.conv(F.substring(F.md5(F.col(row_key)), 1, 8), 16, 10).cast("bigint")
+    sample = df.where(place < F.lit(int(fraction * 16**8))).select(F.col(key).try_cast("bigint").alias(key))
     return sample.agg(
-        F.percentile_approx(key, probs).alias("split_points"),
+        F.concat_ws(",", F.percentile_approx(key, probs).cast("array<string>")).alias("split_points"),
         F.count(F.lit(1)).alias("sampled_rows"),
     )

@@ -17,6 +17,7 @@ ordered result. Variants that differ observably are separate, named options:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from blotter.functions import normalize_code, strip_whitespace, to_bigint
 from blotter.operators import (
@@ -29,7 +30,6 @@ from blotter.operators import (
     lookup_descriptions,
     order_by_district_count,
     order_by_year,
-    range_join_le,
 )
 
 COUNT_COLUMNS = ("district", "description", "cnt")
@@ -74,8 +74,10 @@ def type_count_with_lookup(
 
     ``normalize``: ``None`` joins codes as they are, ``'whitespace'`` strips
     whitespace on both sides, ``'full'`` also pads short codes with zeros.
-    Normalisation is applied after the count (to aggregated rows only). The
-    sort runs after the join.
+    Normalisation is applied after the count (to aggregated rows only); codes
+    that become equal by padding are one code, so their counts are added up and
+    the lookup keeps one description (the least) for each. The sort runs after
+    the join.
     """
     counts = code_counts(incidents, clean=clean)
     lookup = lookup_descriptions(codes)
@@ -83,20 +85,15 @@ def type_count_with_lookup(
     if fix is not None:
         counts = counts.withColumn("iucr", fix("iucr"))
         lookup = lookup.withColumn("iucr", fix("iucr"))
+    if normalize == "full":
+        counts = counts.groupBy("iucr", "district").agg(F.sum("cnt").alias("cnt"))
+        lookup = lookup.groupBy("iucr").agg(F.min("description").alias("description"))
     joined = join_lookup(counts, lookup, how=how, strategy=strategy)
     return order_by_district_count(joined, case_insensitive=clean, tiebreak=("iucr",)).select(
         *COUNT_COLUMNS
     )
 
 
-def code_range_join(incidents: DataFrame, codes: DataFrame, **kwargs) -> DataFrame:
-    """Counts per ``(code, district)`` paired with every lookup entry whose
-    code is at least the count's code (theta join ``<=``)."""
-    counts = code_counts(incidents)
-    lookup = lookup_descriptions(codes).withColumnRenamed("iucr", "lookup_iucr")
-    return range_join_le(counts, lookup, "iucr", "lookup_iucr", **kwargs).select(*COUNT_COLUMNS)
-
-
 def arrest_pct(incidents: DataFrame) -> DataFrame:
     """Rounded percentage of exact-``'true'`` arrests per
     ``(year, code, description)``; output ``year, description, pct`` by year."""

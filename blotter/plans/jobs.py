@@ -15,8 +15,11 @@ previous output. Command line::
     python -m blotter.plans.jobs normalize-codes CODES OUT
     python -m blotter.plans.jobs to-parquet  IN OUT [--no-description]
 
-``IN`` may be a file or a directory of part files; a path ending in
-``.parquet`` (or produced by ``to-parquet``) is read as Parquet.
+``IN`` may be a file or a directory of part files. A folder with Parquet
+files (as ``to-parquet`` writes) is read as Parquet, whatever its name;
+``--format`` says otherwise. ``--strict`` checks every column of a delimited
+row, so rows with too few or too many fields are dropped. An option that the
+chosen form of a job does not use is an error.
 """
 
 from __future__ import annotations
@@ -33,33 +36,50 @@ from blotter.plans import compose as C
 from blotter.plans import textpath as TP
 from blotter.session import build_session
 from blotter.sinks import (
-    as_extract,
     export_single_file,
     record_line,
+    without_descriptions,
     write_codes,
     write_delimited,
     write_lines,
 )
-from blotter.sources import MissingInputError, read_codes, read_incidents
+from blotter.sources import (
+    MissingColumnError,
+    MissingInputError,
+    checked_read,
+    read_codes,
+    read_extract,
+    read_incidents,
+)
+
+# The line rate job's reducer count.
+RATE_PARTITIONS = 9
 
 
 def _write_result(df: DataFrame, dst: str, single_file: bool) -> None:
-    """A ';' result without header: parallel part files, or one file for a
-    small aggregated result (refused above the single-file row bound)."""
+    """A ';' result without header: parallel part files, or one file."""
     if single_file:
         export_single_file(df, dst)
     else:
         write_delimited(df, dst)
 
 
-def _is_parquet(path: str) -> bool:
-    return path.rstrip("/").endswith(".parquet")
+def is_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a Parquet file or a folder that holds some."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise MissingInputError(f"Invalid input path: {path}")
+    return any(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(p))
 
 
-def load_incidents(spark: SparkSession, path: str, with_description: bool = True) -> DataFrame:
-    """Canonical incidents from the ';' extract or its Parquet copy."""
-    if _is_parquet(path):
-        return spark.read.parquet(path)
+def load_incidents(
+    spark: SparkSession, path: str, with_description: bool = True, fmt: str | None = None
+) -> DataFrame:
+    """Canonical incidents from the ';' extract or its Parquet copy; ``fmt``
+    (``csv`` or ``parquet``) overrides what the files say."""
+    if fmt == "parquet" or fmt is None and is_parquet(spark, path):
+        return checked_read(path, spark.read.parquet)
     return read_incidents(spark, path, with_description=with_description)
 
 
@@ -77,6 +97,7 @@ def count(
     clean: bool = False,
     lines: bool = False,
     single_file: bool = False,
+    fmt: str | None = None,
 ) -> None:
     """Incidents per district and type.
 
@@ -85,7 +106,7 @@ def count(
     filters (which also drop the header), records ``district;<TAB>text;count``.
     """
     if not lines:
-        result = C.type_count_by_district(load_incidents(spark, src), clean=clean)
+        result = C.type_count_by_district(load_incidents(spark, src, fmt=fmt), clean=clean)
         _write_result(result, dst, single_file)
         return
     counted = TP.type_count_lines_clean(spark, src)
@@ -103,20 +124,21 @@ def count_join(
     normalize: str | None = None,
     lines: bool = False,
     single_file: bool = False,
+    fmt: str | None = None,
 ) -> None:
     """Count on the code (input without descriptions), join the lookup's
     description, sort after the join, write ``district;description;count``.
 
     ``lines=True``: the line form -- counts from the raw lines of the
-    extract (dirty rows removed), written as count records and joined to the
-    lookup file's lines on whitespace-free codes (inner, reduce-side); output
+    extract (dirty rows removed), joined to the lookup file's lines on
+    whitespace-free codes (inner, reduce-side); output
     records ``district;<TAB>description;count``.
     """
     if lines:
         joined = TP.tagged_cogroup_join(spark, TP.line_code_counts(spark, src), codes_path)
         write_lines(joined.select(record_line().alias("value")), dst)
         return
-    facts = load_incidents(spark, src, with_description=False)
+    facts = load_incidents(spark, src, with_description=False, fmt=fmt)
     codes = read_codes(spark, codes_path)
     result = C.type_count_with_lookup(
         facts, codes, how=how, strategy=strategy, clean=clean, normalize=normalize
@@ -133,6 +155,7 @@ def arrest_rate(
     text: bool = False,
     lines: bool = False,
     single_file: bool = False,
+    fmt: str | None = None,
 ) -> None:
     """Arrest percentage per year and type.
 
@@ -141,15 +164,16 @@ def arrest_rate(
     per ``(year, code)``; with ``partitions`` the output is a total order over
     that many range partitions. ``text`` writes ``year<TAB>code <TAB>pct``.
     ``lines`` (implies ``exact``) reads raw lines by position instead of the
-    quote-aware reader, as the line job does.
+    quote-aware reader, as the line job does, into nine range partitions
+    unless ``partitions`` says otherwise.
     """
     if lines:
-        result = TP.arrest_rate_lines(spark, src, partitions or 1)
+        result = TP.arrest_rate_lines(spark, src, partitions or RATE_PARTITIONS)
     elif not exact:
-        _write_result(C.arrest_pct(load_incidents(spark, src)), dst, single_file)
+        _write_result(C.arrest_pct(load_incidents(spark, src, fmt=fmt)), dst, single_file)
         return
     else:
-        result = C.arrest_pct_exact(load_incidents(spark, src))
+        result = C.arrest_pct_exact(load_incidents(spark, src, with_description=False, fmt=fmt))
         if partitions:
             result = range_sort(result, partitions, ("year", "iucr"))
     if text:
@@ -165,12 +189,9 @@ def arrest_rate(
 
 
 def drop_columns(spark: SparkSession, src: str, dst: str, single_file: bool = False) -> None:
-    """Write the extract without its descriptive columns, with a header.
-
-    Parallel part files by default; ``single_file`` is refused for inputs
-    above the single-file row bound.
-    """
-    slim = as_extract(load_incidents(spark, src).drop("primary_type", "description"), with_description=False)
+    """Write the extract without its descriptive columns, with a header: all
+    other columns of the input, in its order."""
+    slim = without_descriptions(read_extract(spark, src))
     if single_file:
         export_single_file(slim, dst, header=True)
     else:
@@ -183,45 +204,76 @@ def normalize_codes(spark: SparkSession, codes_path: str, dst: str) -> None:
     write_codes(codes.withColumn("iucr", normalize_code("iucr")), dst)
 
 
-def main(argv: list[str] | None = None) -> int:
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="blotter.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
-    c = sub.add_parser("count")
-    c.add_argument("src"), c.add_argument("dst")
+
+    def job(name: str, *paths: str, single_file: bool = True) -> argparse.ArgumentParser:
+        one = sub.add_parser(name)
+        for path in paths:
+            one.add_argument(path)
+        one.add_argument("--strict", action="store_true")
+        if single_file:
+            one.add_argument("--single-file", action="store_true")
+        return one
+
+    c = job("count", "src", "dst")
     c.add_argument("--clean", action="store_true"), c.add_argument("--lines", action="store_true")
-    c.add_argument("--single-file", action="store_true")
-    j = sub.add_parser("count-join")
-    j.add_argument("src"), j.add_argument("codes"), j.add_argument("dst")
-    j.add_argument("--how", default="left", choices=["left", "inner"])
-    j.add_argument("--strategy", default="auto", choices=["auto", "broadcast", "merge"])
+    j = job("count-join", "src", "codes", "dst")
+    j.add_argument("--how", choices=["left", "inner"])
+    j.add_argument("--strategy", choices=["auto", "broadcast", "merge"])
     j.add_argument("--clean", action="store_true")
-    j.add_argument("--normalize", default=None, choices=["whitespace", "full"])
-    j.add_argument("--lines", action="store_true"), j.add_argument("--single-file", action="store_true")
-    a = sub.add_parser("arrest-rate")
-    a.add_argument("src"), a.add_argument("dst")
+    j.add_argument("--normalize", choices=["whitespace", "full"])
+    j.add_argument("--lines", action="store_true")
+    a = job("arrest-rate", "src", "dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
     a.add_argument("--text", action="store_true"), a.add_argument("--lines", action="store_true")
-    a.add_argument("--single-file", action="store_true")
-    d = sub.add_parser("drop-columns")
-    d.add_argument("src"), d.add_argument("dst"), d.add_argument("--single-file", action="store_true")
-    n = sub.add_parser("normalize-codes")
-    n.add_argument("codes"), n.add_argument("dst")
-    t = sub.add_parser("to-parquet")
-    t.add_argument("src"), t.add_argument("dst"), t.add_argument("--no-description", action="store_true")
+    for one in (c, j, a):
+        one.add_argument("--format", choices=["csv", "parquet"])
+    job("drop-columns", "src", "dst")
+    job("normalize-codes", "codes", "dst", single_file=False)
+    t = job("to-parquet", "src", "dst", single_file=False)
+    t.add_argument("--no-description", action="store_true")
+    return p
+
+
+#: Options that a form of a job does not use: (job, when given, unused then).
+_UNUSED = (
+    ("count", "lines", ("clean", "single_file", "format", "strict")),
+    ("count-join", "lines", ("how", "strategy", "clean", "normalize", "single_file", "format", "strict")),
+    ("arrest-rate", "lines", ("exact", "format", "strict")),
+    ("arrest-rate", "text", ("single_file",)),
+)
+
+
+def _check(p: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    """Reject options that would be ignored."""
+    for job, given, unused in _UNUSED:
+        if args.job == job and getattr(args, given):
+            for name in unused:
+                if getattr(args, name):
+                    p.error(f"--{name.replace('_', '-')} has no effect with --{given}")
+    if args.job == "arrest-rate" and not (args.exact or args.lines) and (args.text or args.partitions):
+        p.error("--text and --partitions need --exact or --lines")
+
+
+def main(argv: list[str] | None = None) -> int:
+    p = _parser()
     args = p.parse_args(argv)
+    _check(p, args)
 
-    spark = build_session(app_name=f"blotter-{args.job}")
+    spark = build_session(app_name=f"blotter-{args.job}", strict_malformed=args.strict)
     try:
         if args.job == "count":
-            count(spark, args.src, args.dst, args.clean, args.lines, args.single_file)
+            count(spark, args.src, args.dst, args.clean, args.lines, args.single_file, args.format)
         elif args.job == "count-join":
             count_join(
-                spark, args.src, args.codes, args.dst, args.how, args.strategy,
-                args.clean, args.normalize, args.lines, args.single_file,
+                spark, args.src, args.codes, args.dst, args.how or "left", args.strategy or "auto",
+                args.clean, args.normalize, args.lines, args.single_file, args.format,
             )
         elif args.job == "arrest-rate":
             arrest_rate(
-                spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines, args.single_file
+                spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines, args.single_file, args.format
             )
         elif args.job == "drop-columns":
             drop_columns(spark, args.src, args.dst, args.single_file)
@@ -229,7 +281,7 @@ def main(argv: list[str] | None = None) -> int:
             normalize_codes(spark, args.codes, args.dst)
         elif args.job == "to-parquet":
             to_parquet(spark, args.src, args.dst, with_description=not args.no_description)
-    except MissingInputError as exc:
+    except (MissingInputError, MissingColumnError) as exc:
         print(exc, file=sys.stderr)
         return 2
     finally:

@@ -20,32 +20,36 @@ def _full(c: str) -> str:
     return f"CASE WHEN length({s}) < {M.CODE_WIDTH} THEN lpad({s}, {M.CODE_WIDTH}, '0') ELSE {s} END"
 
 
+def _code(c: str) -> str:
+    s = f"CAST({c} AS VARCHAR)"
+    return f"CASE WHEN length({s}) < {M.CODE_WIDTH} THEN lpad({s}, {M.CODE_WIDTH}, '0') ELSE {s} END"
+
+
 PREFIX = f"""
-WITH code_classes AS (
-  SELECT p_partkey % {M.N_CODES} AS r,
-         min_by(p_type, p_partkey) AS primary_description,
-         min_by(p_name, p_partkey) AS secondary_description
-  FROM part GROUP BY p_partkey % {M.N_CODES}
-),
-codes AS (
-  SELECT lpad(CAST(r AS VARCHAR), {M.CODE_WIDTH}, '0') AS iucr, primary_description, secondary_description
-  FROM code_classes
+WITH lookup AS (
+  SELECT p_partkey AS k, p_type AS primary_description,
+         CASE p_partkey % 50 WHEN {M.DAMAGED_TEXT_CLASS} THEN '{M.DAMAGED_TEXT}' || p_name
+              WHEN {M.SEPARATOR_TEXT_CLASS} THEN p_name || '{M.SEPARATOR_TEXT}' ELSE p_name END AS secondary_description
+  FROM part
 ),
+codes AS (SELECT {_code('k')} AS iucr, primary_description, secondary_description FROM lookup),
 shipped_codes AS (
-  SELECT CASE WHEN r % 20 = {M.UNPADDED_CODE_CLASS} THEN CAST(r AS VARCHAR)
-              WHEN r % 20 = {M.SPACED_CODE_CLASS} THEN lpad(CAST(r AS VARCHAR), {M.CODE_WIDTH}, '0') || ' '
-              ELSE lpad(CAST(r AS VARCHAR), {M.CODE_WIDTH}, '0') END AS iucr,
+  SELECT CASE WHEN k % 20 = {M.UNPADDED_CODE_CLASS} THEN CAST(k AS VARCHAR)
+              WHEN k % 20 = {M.SPACED_CODE_CLASS} THEN {_code('k')} || ' '
+              ELSE {_code('k')} END AS iucr,
          primary_description, secondary_description
-  FROM code_classes
+  FROM lookup
 ),
 facts AS (
-  SELECT lpad(CAST(l_partkey % {M.N_CODES} AS VARCHAR), {M.CODE_WIDTH}, '0') AS iucr,
-         CASE l_returnflag WHEN 'R' THEN 'true' WHEN 'A' THEN 'false' ELSE 'True' END AS arrest,
+  SELECT {_code('l_partkey')} AS iucr,
+         CASE WHEN l_orderkey % {M.NULL_ARREST_PERIOD} = 0 THEN NULL
+              WHEN l_returnflag = 'R' THEN 'true' WHEN l_returnflag = 'A' THEN 'false' ELSE 'True' END AS arrest,
          CASE WHEN l_orderkey % {M.TRUE_DISTRICT_PERIOD} = 0 THEN 'true'
               WHEN l_orderkey % {M.SPACED_DISTRICT_PERIOD} = 0 THEN ' 01'
               WHEN l_orderkey % {M.NULL_DISTRICT_PERIOD} = 0 THEN NULL
               ELSE lpad(CAST(l_suppkey % {M.N_DISTRICTS} AS VARCHAR), {M.DISTRICT_WIDTH}, '0') END AS district,
-         CAST(year(l_shipdate) AS VARCHAR) AS year
+         CASE WHEN l_orderkey % {M.BAD_YEAR_PERIOD} = 0 THEN 'n/a' ELSE CAST(year(l_shipdate) AS VARCHAR) END AS year,
+         l_orderkey || ':' || l_linenumber AS row_key
   FROM lineitem
 ),
 crimes AS (
@@ -60,6 +64,22 @@ clean AS (
 clean_full AS (
   SELECT * FROM clean WHERE description IS NULL OR NOT contains(description, '"THEFT BY LESSEE')
 ),
+-- What a naive split of the extract's lines sees: empty fields are empty
+-- strings, and a quoted separator moves every later field by one, so district,
+-- arrest and year come from the empty fields before them.
+line_crimes AS (
+  SELECT iucr,
+         CASE WHEN contains(description, ';') THEN '"' || split_part(description, ';', 1) ELSE coalesce(description, '') END AS description,
+         CASE WHEN contains(description, ';') THEN '' ELSE coalesce(arrest, '') END AS arrest,
+         CASE WHEN contains(description, ';') THEN '' ELSE coalesce(district, '') END AS district,
+         CASE WHEN contains(description, ';') THEN '' ELSE year END AS year
+  FROM crimes
+),
+line_clean AS (
+  SELECT * FROM line_crimes
+  WHERE district NOT IN ('true', 'false', 'District') AND NOT contains(district, ' ')
+    AND NOT contains(description, '"THEFT BY LESSEE')
+),
 cnt AS (SELECT iucr, district, count(*) AS cnt FROM crimes GROUP BY iucr, district),
 clean_cnt AS (SELECT iucr, district, count(*) AS cnt FROM clean GROUP BY iucr, district),
 shipped_lk AS (SELECT iucr, secondary_description AS description FROM shipped_codes)
@@ -73,8 +93,7 @@ SELECT district, description, count(*) AS cnt FROM clean_full GROUP BY iucr, dis
     "type_count_secondary_sort": """
 SELECT district, description, count(*) AS cnt FROM clean_full GROUP BY iucr, district, description""",
     "type_count_lines_clean": """
-SELECT coalesce(district, '') AS district, coalesce(description, '') AS description, count(*) AS cnt
-FROM clean_full GROUP BY iucr, coalesce(district, ''), coalesce(description, '')""",
+SELECT district, description, count(*) AS cnt FROM line_clean GROUP BY iucr, district, description""",
     "type_count_left_join": """
 SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
     "type_count_left_join_csv": """
@@ -86,21 +105,42 @@ SELECT year, description, round(avg(CASE WHEN arrest = 'true' THEN 1 ELSE 0 END
 FROM crimes GROUP BY year, iucr, description""",
     "type_count_broadcast_join": """
 SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
+    "type_count_left_join_full_csv": """
+SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
+    "type_count_broadcast_join_csv": """
+SELECT c.district, l.description, c.cnt FROM cnt c LEFT JOIN shipped_lk l ON c.iucr = l.iucr""",
+    "arrest_pct_two_aggregates_csv": """
+SELECT t.year, t.description, round(CAST(coalesce(a.k, 0) * 100 AS DOUBLE) / t.n) AS pct
+FROM (SELECT year, iucr, description, count(*) AS n FROM crimes GROUP BY year, iucr, description) t
+LEFT JOIN (SELECT year, iucr, description, count(*) AS k FROM crimes WHERE arrest = 'true'
+           GROUP BY year, iucr, description) a
+  ON t.year IS NOT DISTINCT FROM a.year AND t.iucr IS NOT DISTINCT FROM a.iucr
+ AND t.description IS NOT DISTINCT FROM a.description""",
+    "split_points": """
+SELECT string_agg(CAST(year AS VARCHAR), ',' ORDER BY i) AS split_points, any_value(n) AS sampled_rows
+FROM (SELECT i, s.year, s.n
+      FROM range(1, 9) p(i) JOIN (
+        SELECT TRY_CAST(year AS BIGINT) AS year, row_number() OVER (ORDER BY TRY_CAST(year AS BIGINT)) AS rn,
+               count(*) OVER () AS n, count(TRY_CAST(year AS BIGINT)) OVER () AS known
+        FROM facts
+        WHERE CAST('0x' || substr(md5(row_key), 1, 8) AS BIGINT) < CAST(floor(0.01 * 4294967296) AS BIGINT)) s
+      ON s.rn = ceil(p.i / 9.0 * s.known))""",
     "type_count_padded_join": f"""
 SELECT c.district, l.description, c.cnt
-FROM (SELECT {_full('iucr')} AS iucr, district, cnt FROM cnt) c
-LEFT JOIN (SELECT {_full('iucr')} AS iucr, description FROM shipped_lk) l ON c.iucr = l.iucr""",
+FROM (SELECT {_full('iucr')} AS iucr, district, CAST(sum(cnt) AS BIGINT) AS cnt FROM cnt GROUP BY {_full('iucr')}, district) c
+LEFT JOIN (SELECT {_full('iucr')} AS iucr, min(description) AS description FROM shipped_lk
+           GROUP BY {_full('iucr')}) l ON c.iucr = l.iucr""",
     "type_count_inner_join": f"""
 SELECT c.district, l.description, c.cnt
 FROM (SELECT {_ws('iucr')} AS iucr, district, cnt FROM clean_cnt) c
 JOIN (SELECT {_ws('iucr')} AS iucr, description FROM shipped_lk) l ON c.iucr = l.iucr""",
     "tagged_cogroup_join": f"""
-SELECT coalesce(c.district, '') AS district, l.description, c.cnt
+SELECT coalesce(c.district, '') AS district,
+       CASE WHEN contains(l.description, ';') THEN '"' || split_part(l.description, ';', 1)
+            WHEN contains(l.description, '"') THEN '"' || replace(l.description, '"', chr(92) || '"') || '"'
+            ELSE l.description END AS description, c.cnt
 FROM (SELECT {_ws('iucr')} AS iucr, district, cnt FROM clean_cnt) c
 JOIN (SELECT {_ws('iucr')} AS iucr, description FROM shipped_lk) l ON c.iucr = l.iucr""",
-    "code_range_join": """
-SELECT c.district, l.secondary_description AS description, c.cnt
-FROM cnt c JOIN codes l ON c.iucr <= l.iucr""",
     "arrest_pct": """
 SELECT year, description, round(avg(CASE WHEN arrest = 'true' THEN 1 ELSE 0 END * 100)) AS pct
 FROM crimes GROUP BY year, iucr, description""",
@@ -122,13 +162,13 @@ FROM crimes GROUP BY year, iucr""",
     "arrest_pct_lines": """
 SELECT TRY_CAST(year AS BIGINT) AS year, iucr,
        CAST(sum(CASE WHEN lower(arrest) = 'true' THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*) AS pct
-FROM crimes GROUP BY year, iucr""",
+FROM line_crimes GROUP BY year, iucr""",
     "csv_roundtrip": """
 SELECT iucr, primary_type, description, arrest, district, year FROM crimes""",
     "drop_columns": """
 SELECT iucr, arrest, district, year FROM crimes""",
     "delimited_line_parse": """
-SELECT TRY_CAST(year AS BIGINT) AS year, iucr, arrest FROM crimes""",
+SELECT TRY_CAST(year AS BIGINT) AS year, iucr, arrest FROM line_crimes""",
     "key_value_line_parse": """
 SELECT coalesce(district, '') AS k, iucr || '__' || chr(9) || CAST(cnt AS VARCHAR) AS v FROM clean_cnt""",
     "code_normalize": """

@@ -1,9 +1,8 @@
 """The text-record path: files written by one stage and parsed by the next.
 
 These reproduce the line jobs' data flow on Spark: the incident extract is a
-';'-delimited file with a header, intermediate counts are text lines
-``district;code__<TAB>count``, and each reader parses its own input by
-position. Every write goes to a fresh path under the session's shared
+';'-delimited file with a header, and each reader parses its own input by
+position. What a stage hands to the next stays a typed frame. Every write goes to a fresh path under the session's shared
 scratch directory (``spark.checkpoint.dir``), so a lost executor only
 re-runs tasks and the re-read never depends on a machine-local folder.
 """
@@ -23,10 +22,11 @@ from blotter.operators import (
     range_sort,
 )
 from blotter.session import scratch_path
-from blotter.sinks import as_extract, write_codes, write_delimited, write_lines
+from blotter.sinks import without_descriptions, write_delimited
 from blotter.sinks import write_extract as write_extract_file
 from blotter.sources import (
     drop_header,
+    read_extract,
     read_incidents,
     read_lines,
     split_key_value,
@@ -41,33 +41,24 @@ def write_extract(spark: SparkSession, incidents: DataFrame, with_description: b
     return path
 
 
-def write_codes_file(spark: SparkSession, codes: DataFrame) -> str:
-    """Write a lookup as the shipped ';' file with header; return its path."""
-    path = scratch_path(spark, "codes")
-    write_codes(codes, path)
-    return path
-
-
 def csv_roundtrip(spark: SparkSession, incidents: DataFrame) -> DataFrame:
     """Write the extract and read it back with the fixed schema."""
     path = write_extract(spark, incidents)
     return read_incidents(spark, path).select(*S.CANONICAL_INCIDENT_COLUMNS)
 
 
-def drop_columns(spark: SparkSession, incidents: DataFrame) -> DataFrame:
+def drop_columns(spark: SparkSession, extract_path: str) -> DataFrame:
     """Preparation job: read the extract, drop the descriptive columns, write
     the 20-column extract with header; return it read back."""
-    full = read_incidents(spark, write_extract(spark, incidents))
     path = scratch_path(spark, "extract-nodesc")
-    slim = as_extract(full.drop("primary_type", "description"), with_description=False)
-    write_delimited(slim, path, header=True)
+    write_delimited(without_descriptions(read_extract(spark, extract_path)), path, header=True)
     return read_incidents(spark, path, with_description=False).select("iucr", "arrest", "district", "year")
 
 
-def delimited_line_parse(spark: SparkSession, incidents: DataFrame) -> DataFrame:
+def delimited_line_parse(spark: SparkSession, extract_path: str) -> DataFrame:
     """Rate job's reader: year, code and arrest by position; header dropped by
     the year field; year parsed to a number."""
-    lines = read_lines(spark, write_extract(spark, incidents))
+    lines = read_lines(spark, extract_path)
     pos = S.INCIDENT_POSITIONS
     parsed = split_positional(lines, {"year": pos["year"], "iucr": pos["iucr"], "arrest": pos["arrest"]})
     parsed = drop_header(parsed, "year", "Year")
@@ -116,27 +107,21 @@ def arrest_rate_lines(spark: SparkSession, extract_path: str, partitions: int) -
 def count_lines(counts: DataFrame) -> DataFrame:
     """Counts per ``(code, district)`` as text records ``district;code__<TAB>cnt``."""
     return counts.select(
-        F.format_string("%s;%s__\t%d", null_to_empty("district"), F.col("iucr"), F.col("cnt")).alias("value")
+        F.format_string("%s;%s__\t%d", null_to_empty("district"), null_to_empty("iucr"), F.col("cnt")).alias("value")
     )
 
 
-def write_count_lines(spark: SparkSession, counts: DataFrame) -> str:
-    path = scratch_path(spark, "count-lines")
-    write_lines(count_lines(counts), path)
-    return path
-
-
-def key_value_line_parse(spark: SparkSession, counts: DataFrame) -> DataFrame:
-    """Read count records as key/value lines split at the first ';'."""
-    return split_key_value(read_lines(spark, write_count_lines(spark, counts)))
+def key_value_line_parse(counts: DataFrame) -> DataFrame:
+    """Count records as key/value lines split at the first ';'."""
+    return split_key_value(count_lines(counts))
 
 
 def parse_count_records(kv: DataFrame) -> DataFrame:
     """``k = district``, ``v = code__<TAB>cnt`` -> ``district, iucr, cnt``
-    (whitespace stripped from code and count)."""
+    (whitespace stripped from each)."""
     parts = F.split(F.col("v"), "__", -1)
     return kv.select(
-        F.col("k").alias("district"),
+        strip_whitespace("k").alias("district"),
         strip_whitespace(line_field(parts, 0)).alias("iucr"),
         to_bigint(strip_whitespace(line_field(parts, 1))).alias("cnt"),
     )
@@ -155,16 +140,17 @@ def parse_code_records(kv: DataFrame) -> DataFrame:
 
 
 def tagged_cogroup_join(spark: SparkSession, counts: DataFrame, codes_path: str) -> DataFrame:
-    """Join of two text inputs, each with its own parser, on the code.
-
-    The inputs are the count records (written by this job's first stage) and
-    the lookup file. The line job tags each record with its origin, groups
-    both by code and pairs the two lists; here each parsed input keeps its
-    own schema (the origin is the frame) and the pairing is a reduce-side
-    sort-merge join: both sides are hash-partitioned on the code and merged
-    per key, with nothing buffered per key and no broadcast.
+    """Join of the counts and the lookup lines, on the code.
+
+    The line job writes its counts as text records, tags each record with its
+    origin, groups both by code and pairs the two lists. Here the counts keep
+    their types (code and district free of whitespace, as the record reader
+    leaves them), the origin is the frame, and the pairing is a reduce-side
+    sort-merge join with nothing buffered per key.
     """
-    facts = parse_count_records(key_value_line_parse(spark, counts))
+    facts = counts.select(
+        strip_whitespace(null_to_empty("district")).alias("district"), strip_whitespace("iucr").alias("iucr"), "cnt"
+    )
     lookup = parse_code_records(split_key_value(read_lines(spark, codes_path)))
     joined = facts.join(lookup.hint("merge"), "iucr", "inner")
     return order_by_district_count(joined, case_insensitive=True, tiebreak=("iucr",)).select(

@@ -3,8 +3,7 @@
 Every writer overwrites its target (a rerun replaces the previous output)
 and keeps surrounding whitespace (Spark's CSV writer trims it by default,
 which would turn ``' 03'`` into ``'03'``). Output stays in parallel part
-files; a single file is only produced for small aggregated results, behind
-a row-count check.
+files; a single file is the caller's explicit choice, written by one task.
 """
 
 from __future__ import annotations
@@ -15,9 +14,6 @@ from pyspark.sql import functions as F
 from blotter import schema as S
 from blotter.functions import null_to_empty
 
-# Largest result that may be funnelled into one output file (one task).
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
 
 def write_delimited(
     df: DataFrame, path: str, header: bool = False, sep: str = ";", mode: str = "overwrite"
@@ -50,22 +46,12 @@ def record_line(district: str = "district", text: str = "description", cnt: str
     return F.format_string("%s;\t%s;%d", null_to_empty(district), null_to_empty(text), F.col(cnt))
 
 
-def export_single_file(
-    df: DataFrame,
-    path: str,
-    header: bool = False,
-    sep: str = ";",
-    max_rows: int = SINGLE_FILE_MAX_ROWS,
-) -> None:
-    """Write a small result as exactly one part file (for charting tools).
+def export_single_file(df: DataFrame, path: str, header: bool = False, sep: str = ";") -> None:
+    """Write exactly one part file, through one task, at the caller's choice.
 
-    ``coalesce(1)`` routes all rows through one task, so the row count is
-    checked first; a result above ``max_rows`` is refused rather than
-    funnelled.
+    The rows stream through that task in their order; only its disk bounds
+    them. Everything before the last exchange stays parallel.
     """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it as parallel files")
     write_delimited(df.coalesce(1), path, header=header, sep=sep)
 
 
@@ -87,6 +73,11 @@ def write_extract(incidents: DataFrame, path: str, with_description: bool = True
     write_delimited(as_extract(incidents, with_description), path, header=True)
 
 
+def without_descriptions(extract: DataFrame) -> DataFrame:
+    """The extract, as read with its own header, without descriptive columns."""
+    return extract.drop(*S.DESCRIPTIVE_COLUMNS)
+
+
 def write_codes(codes: DataFrame, path: str) -> None:
     """The code lookup file: header line, ';'-separated."""
     out = codes.select([F.col(S.CANONICAL[h]).alias(h) for h in S.CODE_HEADER])

@@ -1,19 +1,25 @@
 """Readers: delimited files, text lines and the driver-table incident view."""
 
 from blotter.sources.delimited import (
+    MissingColumnError,
     MissingInputError,
     canonical,
+    checked_read,
     read_codes,
     read_delimited,
+    read_extract,
     read_incidents,
 )
 from blotter.sources.lines import drop_header, read_lines, split_key_value, split_positional
 
 __all__ = [
+    "MissingColumnError",
     "MissingInputError",
     "canonical",
+    "checked_read",
     "read_codes",
     "read_delimited",
+    "read_extract",
     "read_incidents",
     "drop_header",
     "read_lines",

@@ -1,17 +1,19 @@
 """Delimited-file readers for the incident extract and the code lookup.
 
-The readers always pass an explicit all-string schema (no inference), read a
-single file or a whole directory of part files, and honour a malformed-row
-policy. Which rows ``DROPMALFORMED`` drops depends on the session setting
+Columns are bound by the names in the file's header, never by position, so an
+extract with more columns or in another order gives the same rows; a needed
+column that is absent is an error. All columns are strings (no inference),
+and the input may be a file or a directory of part files with one header.
+
+Which rows ``DROPMALFORMED`` drops depends on the session setting
 ``spark.sql.csv.parser.columnPruning.enabled``: with pruning on (Spark's
 default) only selected columns are checked; ``session.STRICT_MALFORMED_CONF``
-turns it off so every row is checked against the full schema.
+turns it off so every row is checked against the full header.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from blotter import schema as S
@@ -21,33 +23,44 @@ class MissingInputError(FileNotFoundError):
     """The input path does not exist."""
 
 
+class MissingColumnError(ValueError):
+    """The input's header lacks a column that the job needs."""
+
+
+def checked_read(path: str | list[str], read):
+    """``read(path)``, with a clear error where the path does not exist."""
+    try:
+        return read(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise MissingInputError(f"Invalid input path: {path}") from exc
+        raise
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType,
+    columns: tuple[str, ...],
     sep: str = ";",
-    header: bool = True,
     mode: str = "DROPMALFORMED",
 ) -> DataFrame:
-    """Quote-aware ``sep``-delimited scan with a fixed schema.
+    """Quote-aware ``sep``-delimited scan of the header's ``columns``.
 
     Leading and trailing whitespace is kept (codes such as ``' 03'`` must
     survive unchanged); cleaning is an explicit later step.
     """
     reader = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", header)
+        spark.read.option("sep", sep)
+        .option("header", True)
         .option("mode", mode)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
-    try:
-        return reader.csv(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise MissingInputError(f"Invalid input path: {path}") from exc
-        raise
+    df = checked_read(path, reader.csv)
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise MissingColumnError(f"{path}: no column {', '.join(absent)} in the header {sep.join(df.columns)}")
+    return df.select(*[df[f"`{c}`"] for c in columns])
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -61,12 +74,24 @@ def read_incidents(
     with_description: bool = True,
     mode: str = "DROPMALFORMED",
 ) -> DataFrame:
-    """The incident extract (22 columns), or its 20-column form without the
-    descriptive columns, with canonical column names."""
-    sch = S.INCIDENT_SCHEMA if with_description else S.INCIDENT_NO_DESCRIPTION_SCHEMA
-    return canonical(read_delimited(spark, path, sch, mode=mode))
+    """The extract's columns that the questions use, under canonical names:
+    ``iucr, primary_type, description, arrest, district, year``, the two
+    descriptive ones only ``with_description``."""
+    names = [h for h in S.INCIDENT_HEADER if h in S.CANONICAL]
+    if not with_description:
+        names = [h for h in names if h not in S.DESCRIPTIVE_COLUMNS]
+    return canonical(read_delimited(spark, path, tuple(names), mode=mode))
+
+
+def read_extract(spark: SparkSession, path: str | list[str], mode: str = "DROPMALFORMED") -> DataFrame:
+    """Every column of the extract, as named in its header, for preparation."""
+    reader = (
+        spark.read.option("sep", ";").option("header", True).option("mode", mode)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    )
+    return checked_read(path, reader.csv)
 
 
 def read_codes(spark: SparkSession, path: str | list[str], mode: str = "DROPMALFORMED") -> DataFrame:
     """The code lookup: ``iucr, primary_description, secondary_description``."""
-    return canonical(read_delimited(spark, path, S.CODE_SCHEMA, mode=mode))
+    return canonical(read_delimited(spark, path, S.CODE_HEADER, mode=mode))

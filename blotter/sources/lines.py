@@ -1,27 +1,30 @@
 """Line-oriented sources: one record per text line, parsed by position.
 
 These reproduce the text-record path of the line-oriented jobs: a line is split
-on a literal separator and fields are taken by index. A short line yields
-null fields rather than failing the task, and numeric fields are parsed with
+on a literal separator and fields are taken by index. A short line is dropped
+(or, by option, yields null fields) rather than failing the task, and numeric fields are parsed with
 ``try_cast``. The header line is removed by testing a parsed field, exactly
 as the line jobs do.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions import line_field
+from blotter.sources.delimited import checked_read
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text source: a single ``value`` column, one row per line."""
-    return spark.read.text(path)
+    return checked_read(path, spark.read.text)
 
 
 def split_positional(
-    lines: DataFrame, positions: dict[str, int], sep: str = ";", col: str = "value"
+    lines: DataFrame, positions: dict[str, int], sep: str = ";", col: str = "value", keep_short: bool = False
 ) -> DataFrame:
     """Select fields by 0-based position from ``sep``-separated lines.
 
@@ -29,8 +32,14 @@ def split_positional(
     separator shifts the following fields. The line is split only up to the
     field after the last one needed (the rest stays in one trailing element),
     which gives the same fields with fewer string copies.
+
+    A line that ends before a needed field (a blank or damaged one) is no
+    record and is dropped, unless ``keep_short``: then the fields it lacks
+    are null.
     """
-    fields = F.split(F.col(col), sep, max(positions.values()) + 2)
+    fields = F.split(F.col(col), re.escape(sep), max(positions.values()) + 2)
+    if not keep_short:
+        lines = lines.where(F.size(fields) > max(positions.values()))
     return lines.select([line_field(fields, i).alias(name) for name, i in positions.items()])
 
 
@@ -42,7 +51,7 @@ def split_key_value(
     A line without the separator gets the whole line as key and an empty
     value.
     """
-    parts = F.split(F.col(col), sep, 2)
+    parts = F.split(F.col(col), re.escape(sep), 2)
     return lines.select(
         line_field(parts, 0).alias(key),
         F.coalesce(line_field(parts, 1), F.lit("")).alias(value),

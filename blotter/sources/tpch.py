@@ -1,231 +1,164 @@
 """The incident view over the driver's TPC-H-style tables.
 
 The driver ships no crime extract, so the incident table and the code lookup
-are derived from ``lineitem`` and ``part`` by Spark itself; every query reads
-these whole tables and its work grows with them.
+are derived from ``lineitem`` and ``part`` by Spark itself, lazily in every
+query: a changed input gives changed results, and the work grows with the
+tables.
 
 Fact rows: one incident per ``lineitem`` row.
 
-* ``iucr``     -- ``l_partkey mod 400`` as a four-character code with zeros
+* ``iucr``     -- ``l_partkey`` as a code of four characters or more
 * ``district`` -- ``l_suppkey mod 25`` as three characters; dirty values are
   injected like those of the real extract: ``'true'`` (a shifted boolean
   field), ``' 01'`` (leading space) and null (empty field)
 * ``arrest``   -- from ``l_returnflag``: ``'true'``, ``'false'`` or ``'True'``
-  (the last separates exact-case from any-case tests)
-* ``year``     -- year of ``l_shipdate`` as text
+  (the last separates exact-case from any-case tests); null in some rows
+* ``year``     -- year of ``l_shipdate`` as text; ``'n/a'`` in some rows
 * ``primary_type``, ``description`` -- the lookup entry of the code
 
-Code lookup: one entry per ``p_partkey mod 400`` class, described by the
-class's smallest part key. The lookup "as shipped" keeps two defects the
-real file had: some codes lack their leading zeros and some carry trailing
-whitespace, so joins without normalisation leave codes unmatched.
+Code lookup: one entry for every ``part`` row. Some descriptions hold the
+damaged quoted fragment that the line jobs filter, some a separator inside
+quotes. The lookup "as shipped" keeps two defects the real file had: some
+codes lack their leading zeros and some carry trailing whitespace, so joins
+without normalisation leave codes unmatched.
 
-Size bound: the lookup has at most ``N_CODES`` rows whatever the scale, so
-broadcasting it is safe by construction.
-
-Preparation: like the reference's jobs, which start from an extract file
-already on the cluster, the queries read a prepared table. ``prepare``
-derives the incident table and the code classes once per session and
-``sf_dir`` and writes them as Parquet under the shared scratch directory
-(``spark.checkpoint.dir``); ``incidents``/``incident_facts`` then scan it with
-column pruning. ``derive_incidents`` is the same table as a lazy plan.
+Text files (:func:`prepare_text`) are written only for the queries whose
+feature is reading a file. They are kept for a session as long as the input
+files have the same names, sizes and times, and :func:`release` removes them.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter import schema as S
+from blotter.functions import pad_code
 from blotter.session import scratch_dir, scratch_path
 from blotter.sinks import write_codes, write_extract
 
 # Fixed values of the mapping (chosen for this library, not taken from the
-# reference): code and district domains and the dirty-row periods.
-N_CODES = 400
+# reference): district domain and the periods of dirty rows.
 N_DISTRICTS = 25
 CODE_WIDTH = 4
 DISTRICT_WIDTH = 3
 TRUE_DISTRICT_PERIOD = 101      # l_orderkey multiple -> district 'true'
 SPACED_DISTRICT_PERIOD = 103    # -> district ' 01'
 NULL_DISTRICT_PERIOD = 107      # -> district null
-UNPADDED_CODE_CLASS = 7         # code class mod 20 -> shipped without zeros
-SPACED_CODE_CLASS = 13          # code class mod 20 -> shipped with a trailing space
+NULL_ARREST_PERIOD = 109        # -> arrest null
+BAD_YEAR_PERIOD = 113           # -> year 'n/a'
+UNPADDED_CODE_CLASS = 7         # p_partkey mod 20 -> shipped without zeros
+SPACED_CODE_CLASS = 13          # p_partkey mod 20 -> shipped with a trailing space
+DAMAGED_TEXT_CLASS = 17         # p_partkey mod 50 -> damaged description
+SEPARATOR_TEXT_CLASS = 23       # p_partkey mod 50 -> separator in the description
+DAMAGED_TEXT = '"THEFT BY LESSEE, '
+SEPARATOR_TEXT = "; OTHER"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _padded(c, width: int):
-    return F.lpad(c.cast("string"), width, "0")
+def _code(c):
+    return pad_code(c.cast("string"), CODE_WIDTH)
 
 
-def derive_code_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per code class ``r`` with its primary and secondary text."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    return part.groupBy((F.col("p_partkey") % N_CODES).alias("r")).agg(
-        F.min_by("p_type", "p_partkey").alias("primary_description"),
-        F.min_by("p_name", "p_partkey").alias("secondary_description"),
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    text = (
+        F.when(k % 50 == DAMAGED_TEXT_CLASS, F.concat(F.lit(DAMAGED_TEXT), "p_name"))
+        .when(k % 50 == SEPARATOR_TEXT_CLASS, F.concat("p_name", F.lit(SEPARATOR_TEXT)))
+        .otherwise(F.col("p_name"))
+    )
+    return _table(spark, sf_dir, "part").select(
+        k.alias("k"), F.col("p_type").alias("primary_description"), text.alias("secondary_description")
     )
-
-
-# Schemas of the prepared tables, passed to the reader so no schema
-# inference job runs per query.
-CODE_CLASSES_SCHEMA = "r bigint, primary_description string, secondary_description string"
-
-
-def _code_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(CODE_CLASSES_SCHEMA).parquet(prepare(spark, sf_dir)["code_classes"])
 
 
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean lookup: ``iucr, primary_description, secondary_description``."""
-    return _code_classes(spark, sf_dir).select(
-        _padded(F.col("r"), CODE_WIDTH).alias("iucr"),
-        "primary_description",
-        "secondary_description",
-    )
+    return _lookup(spark, sf_dir).select(_code(F.col("k")).alias("iucr"), "primary_description", "secondary_description")
 
 
 def shipped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup as shipped, with unpadded and whitespace-damaged codes."""
-    r = F.col("r")
+    k = F.col("k")
     code = (
-        F.when(r % 20 == UNPADDED_CODE_CLASS, r.cast("string"))
-        .when(r % 20 == SPACED_CODE_CLASS, F.concat(_padded(r, CODE_WIDTH), F.lit(" ")))
-        .otherwise(_padded(r, CODE_WIDTH))
-    )
-    return _code_classes(spark, sf_dir).select(
-        code.alias("iucr"), "primary_description", "secondary_description"
+        F.when(k % 20 == UNPADDED_CODE_CLASS, k.cast("string"))
+        .when(k % 20 == SPACED_CODE_CLASS, F.concat(_code(k), F.lit(" ")))
+        .otherwise(_code(k))
     )
+    return _lookup(spark, sf_dir).select(code.alias("iucr"), "primary_description", "secondary_description")
 
 
-def derive_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact columns derived from ``lineitem`` (lazy plan)."""
-    li = _table(spark, sf_dir, "lineitem")
+def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents without the descriptive columns (the 20-column extract's
+    content), and ``row_key``, which names the row."""
     ok = F.col("l_orderkey")
     district = (
         F.when(ok % TRUE_DISTRICT_PERIOD == 0, F.lit("true"))
         .when(ok % SPACED_DISTRICT_PERIOD == 0, F.lit(" 01"))
         .when(ok % NULL_DISTRICT_PERIOD == 0, F.lit(None).cast("string"))
-        .otherwise(_padded(F.col("l_suppkey") % N_DISTRICTS, DISTRICT_WIDTH))
+        .otherwise(F.lpad((F.col("l_suppkey") % N_DISTRICTS).cast("string"), DISTRICT_WIDTH, "0"))
     )
     arrest = (
-        F.when(F.col("l_returnflag") == "R", F.lit("true"))
+        F.when(ok % NULL_ARREST_PERIOD == 0, F.lit(None).cast("string"))
+        .when(F.col("l_returnflag") == "R", F.lit("true"))
         .when(F.col("l_returnflag") == "A", F.lit("false"))
         .otherwise(F.lit("True"))
     )
-    return li.select(
-        _padded(F.col("l_partkey") % N_CODES, CODE_WIDTH).alias("iucr"),
-        arrest.alias("arrest"),
-        district.alias("district"),
-        F.year("l_shipdate").cast("string").alias("year"),
+    year = F.when(ok % BAD_YEAR_PERIOD == 0, F.lit("n/a")).otherwise(F.year("l_shipdate").cast("string"))
+    return _table(spark, sf_dir, "lineitem").select(
+        _code(F.col("l_partkey")).alias("iucr"), arrest.alias("arrest"), district.alias("district"), year.alias("year"),
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_key"),
     )
 
 
-def derive_incidents(spark: SparkSession, sf_dir: str, classes: DataFrame | None = None) -> DataFrame:
-    """Canonical incident table as a lazy plan over the raw tables.
-
-    The description is attached with a broadcast hash join against the
-    lookup, whose size is bounded by ``N_CODES``; the fact side is never
-    shuffled for it.
-    """
-    classes = classes if classes is not None else derive_code_classes(spark, sf_dir)
-    lookup = classes.select(
-        _padded(F.col("r"), CODE_WIDTH).alias("iucr"),
-        F.col("primary_description").alias("primary_type"),
-        F.col("secondary_description").alias("description"),
-    )
-    facts = derive_facts(spark, sf_dir)
-    return facts.join(F.broadcast(lookup), "iucr", "left").select(
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical incident table: ``iucr, primary_type, description, arrest,
+    district, year``. The description comes by an equi-join on the code;
+    Catalyst broadcasts the lookup by its measured size or shuffles."""
+    lookup = codes(spark, sf_dir).toDF("iucr", "primary_type", "description")
+    return incident_facts(spark, sf_dir).join(lookup, "iucr", "left").select(
         "iucr", "primary_type", "description", "arrest", "district", "year"
     )
 
 
-SPREAD_MAX_FILES = 200
-
-_PREPARED: dict[tuple[str, str, str], dict[str, str]] = {}
+_TEXT_FILES: dict[tuple, dict[str, str]] = {}
 _LOCK = threading.RLock()
 
 
-def _spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Spread a small input over the cluster's cores before writing.
-
-    A large input already has at least that many splits and is written as
-    it is (no shuffle); only an input read by fewer tasks than there are
-    cores (necessarily small) is redistributed round-robin, into at most
-    ``SPREAD_MAX_FILES`` files so a big cluster does not get thousands of
-    tiny ones. Round-robin keeps the layout neutral to every query key, as
-    the splits of a large input are: no file holds a key's rows together.
-    """
-    target = min(spark.sparkContext.defaultParallelism, SPREAD_MAX_FILES)
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-def _still_there(paths: dict[str, str]) -> bool:
-    """False if a local prepared table was removed (remote paths are trusted)."""
-    for p in paths.values():
-        if p.startswith("file:") and not os.path.exists(p[len("file:"):]):
-            return False
-    return True
-
-
-def prepare(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the incident table and code classes once; return their paths."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), scratch_dir(spark))
-    with _LOCK:
-        if key in _PREPARED and not _still_there(_PREPARED[key]):
-            del _PREPARED[key]
-        if key not in _PREPARED:
-            classes_path = scratch_path(spark, "code-classes")
-            derive_code_classes(spark, sf_dir).write.parquet(classes_path)
-            incidents_path = scratch_path(spark, "incidents")
-            table = derive_incidents(spark, sf_dir, spark.read.parquet(classes_path))
-            _spread(table, spark).write.parquet(incidents_path)
-            _PREPARED[key] = {"code_classes": classes_path, "incidents": incidents_path}
-        return _PREPARED[key]
-
-
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical incident table: ``iucr, primary_type, description, arrest,
-    district, year`` (prepared Parquet)."""
-    return spark.read.schema(S.CANONICAL_INCIDENT_SCHEMA).parquet(prepare(spark, sf_dir)["incidents"])
-
-
-def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents without the descriptive columns (the 20-column extract's
-    content); the Parquet scan reads only these columns."""
-    return incidents(spark, sf_dir).select("iucr", "arrest", "district", "year")
-
-
-_TEXT_FILES: dict[tuple[str, str, str], dict[str, str]] = {}
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
 
 
 def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the text inputs of the CSV-reading and line-form queries once
-    per session: the 22-column extract, the 20-column extract without
-    descriptions and the lookup file as shipped (all ';'-separated with a
-    header), derived from the prepared table. Returns their paths (keys
-    ``extract``, ``extract_nodesc``, ``codes``)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), scratch_dir(spark))
+    """Paths of the text inputs of the file-reading queries: the 22-column
+    extract, the 20-column extract without descriptions and the lookup file
+    as shipped (all ';'-separated with a header; keys ``extract``,
+    ``extract_nodesc``, ``codes``)."""
+    base = sf_dir.rstrip("/")
+    inputs = tuple(_files(spark, f"{base}/{t}.parquet") for t in ("lineitem", "part"))
+    key = (spark.sparkContext.applicationId, scratch_dir(spark), inputs)
     with _LOCK:
-        if key in _TEXT_FILES and not _still_there(_TEXT_FILES[key]):
-            del _TEXT_FILES[key]
         if key not in _TEXT_FILES:
+            paths = {k: scratch_path(spark, k) for k in ("extract", "extract_nodesc", "codes")}
             table = incidents(spark, sf_dir)
-            paths = {
-                "extract": scratch_path(spark, "extract"),
-                "extract_nodesc": scratch_path(spark, "extract-nodesc"),
-                "codes": scratch_path(spark, "codes"),
-            }
             write_extract(table, paths["extract"])
             write_extract(table, paths["extract_nodesc"], with_description=False)
             write_codes(shipped_codes(spark, sf_dir), paths["codes"])
             _TEXT_FILES[key] = paths
         return _TEXT_FILES[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the text files that this session's queries have written."""
+    with _LOCK:
+        for key in [k for k in _TEXT_FILES if k[0] == spark.sparkContext.applicationId]:
+            for path in _TEXT_FILES.pop(key).values():
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -39,7 +39,6 @@ def main() -> None:
             "spark.eventLog.compress": "false",
         },
     )
-    tpch.prepare(spark, sf_dir)
     rows = {}
     for name in HEADLINE:
         spark.sparkContext.setJobGroup(name, name)  # jobs run while building the plan

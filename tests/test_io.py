@@ -10,6 +10,7 @@ from blotter.functions import normalize_code, pad_code, strip_whitespace
 from blotter.session import STRICT_MALFORMED_CONF, scratch_path
 from blotter.sinks import record_line, write_delimited, write_lines
 from blotter.sources import (
+    MissingColumnError,
     MissingInputError,
     read_codes,
     read_delimited,
@@ -18,11 +19,9 @@ from blotter.sources import (
     split_key_value,
     split_positional,
 )
-from pyspark.sql import types as T
-
 from tests.conftest import local
 
-FIVE = T.StructType([T.StructField(c, T.StringType()) for c in "abcde"])
+FIVE = tuple("abcde")
 MALFORMED = "a;b;c;d;e\n1;2;3;4;5\n1;2\n1;2;3;4;5;6\n;;;;\n"
 
 
@@ -47,7 +46,7 @@ def test_missing_input_is_a_clear_error(spark, tmp_path):
 
 def test_quote_aware_reader_keeps_whitespace(spark, fixture_files):
     inc = read_incidents(spark, fixture_files["incidents"])
-    assert inc.columns[4] == "iucr" and "district" in inc.columns
+    assert inc.columns == ["iucr", "primary_type", "description", "arrest", "district", "year"]
     districts = {r.district for r in inc.select("district").collect()}
     assert " 03" in districts and None in districts
     descs = {r.description for r in inc.select("description").collect()}
@@ -59,7 +58,7 @@ def test_directory_scan_reads_all_part_files(spark, fixture_files):
     out = scratch_path(spark, "dir-scan")
     write_delimited(inc.repartition(3), out, header=True)
     assert len([f for f in os.listdir(local(out)) if f.startswith("part-")]) >= 2
-    assert read_delimited(spark, out, inc.schema).count() == 11
+    assert read_delimited(spark, out, tuple(inc.columns)).count() == 11
 
 
 def test_csv_sink_without_header_keeps_whitespace_and_nulls(spark):
@@ -87,8 +86,32 @@ def test_text_sink_record_format(spark):
 
 def test_positional_split_short_line_gives_null(spark):
     df = spark.createDataFrame([("a;b",), ("a;b;c;d",), ("a;b;;",)], "value string")
-    got = [tuple(r) for r in split_positional(df, {"first": 0, "third": 2, "fourth": 3}).collect()]
+    fields = {"first": 0, "third": 2, "fourth": 3}
+    got = [tuple(r) for r in split_positional(df, fields, keep_short=True).collect()]
     assert got == [("a", None, None), ("a", "c", "d"), ("a", "", "")]
+    assert [tuple(r) for r in split_positional(df, fields).collect()] == got[1:]
+
+
+def test_separators_are_literal(spark):
+    df = spark.createDataFrame([("a|b|c",)], "value string")
+    assert tuple(split_positional(df, {"x": 0, "y": 1}, sep="|").first()) == ("a", "b")
+    assert tuple(split_key_value(df, sep="|").first()) == ("a", "b|c")
+
+
+def test_columns_are_bound_by_header_name(spark, tmp_path):
+    rows = [("District", "ID", "Arrest", "Year", "Extra", "IUCR", "Description", "Primary Type"),
+            ("001", "1", "true", "2001", "x", "0110", "SIMPLE", "P"), ("002", "2", "false", "2002", "y", "486", "B;C", "P")]
+    path = tmp_path / "moved.csv"
+    path.write_text("".join(";".join(f'"{v}"' if ";" in v else v for v in r) + "\n" for r in rows))
+    got = sorted(tuple(r) for r in read_incidents(spark, str(path)).collect())
+    assert got == [("0110", "P", "SIMPLE", "true", "001", "2001"), ("486", "P", "B;C", "false", "002", "2002")]
+    slim = read_incidents(spark, str(path), with_description=False)
+    assert slim.columns == ["iucr", "arrest", "district", "year"] and slim.count() == 2
+    (tmp_path / "short.csv").write_text("ID;IUCR;Arrest;Year\n1;0110;true;2001\n")
+    with pytest.raises(MissingColumnError, match="District"):
+        read_incidents(spark, str(tmp_path / "short.csv"), with_description=False)
+    with pytest.raises(MissingInputError):
+        read_lines(spark, str(tmp_path / "nope.txt"))
 
 
 def test_key_value_split_at_first_separator(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from blotter.plans import jobs
 from blotter.session import scratch_path
 from blotter.sources import read_lines
@@ -144,3 +146,55 @@ def test_command_line_in_a_fresh_process(spark, fixture_files):
     )
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert _text(out).splitlines()[-1] == 'x10;\t"A;1'
+
+
+def test_full_slim_and_shuffled_extract_give_the_same_rows(spark, fixture_files, tmp_path):
+    import random
+
+    lines = [ln.split(";") for ln in open(fixture_files["incidents"]).read().splitlines() if '"' not in ln]
+    order = random.Random(1).sample(range(len(lines[0])), len(lines[0]))
+    full, moved = tmp_path / "full.csv", tmp_path / "moved.csv"
+    full.write_text("".join(";".join(f) + "\n" for f in lines))
+    moved.write_text("".join(";".join(f[i] for i in order) + "\n" for f in lines))
+    slim = str(tmp_path / "slim")
+    jobs.drop_columns(spark, str(full), slim)
+    for run in (
+        lambda src, out: jobs.count_join(spark, src, fixture_files["codes"], out),
+        lambda src, out: jobs.count(spark, src, out) if src != slim else None,
+        lambda src, out: jobs.arrest_rate(spark, src, out, exact=True),
+    ):
+        seen = set()
+        for i, src in enumerate((str(full), str(moved), slim)):
+            out = str(tmp_path / f"out-{id(run)}-{i}")
+            run(src, out)
+            if os.path.isdir(out):
+                seen.add(tuple(sorted(r.value for r in spark.read.text(out).collect())))
+        assert len(seen) == 1 and all(seen)
+
+
+def test_a_parquet_copy_is_known_by_its_files(spark, fixture_files, tmp_path):
+    copy, a, b = str(tmp_path / "x"), str(tmp_path / "a"), str(tmp_path / "b")
+    jobs.to_parquet(spark, fixture_files["incidents"], copy)
+    jobs.count(spark, copy, a)
+    jobs.count(spark, fixture_files["incidents"], b)
+    assert sorted(spark.read.text(a).collect()) == sorted(spark.read.text(b).collect())
+
+
+@pytest.mark.parametrize("argv", [
+    ["count", "a", "b", "--lines", "--clean"], ["count", "a", "b", "--lines", "--single-file"],
+    ["count-join", "a", "c", "b", "--lines", "--how", "inner"], ["count-join", "a", "c", "b", "--lines", "--normalize", "full"],
+    ["arrest-rate", "a", "b", "--text"], ["arrest-rate", "a", "b", "--partitions", "3"],
+    ["arrest-rate", "a", "b", "--exact", "--text", "--single-file"],
+])
+def test_options_without_effect_are_rejected(argv, capsys):
+    with pytest.raises(SystemExit):
+        jobs.main(argv)
+    assert "--" in capsys.readouterr().err
+
+
+def test_padded_codes_are_one_code(spark):
+    from blotter.plans import compose as C
+
+    facts = spark.createDataFrame([("110", "001"), ("0110", "001"), ("0110 ", "001")], "iucr string, district string")
+    codes = spark.createDataFrame([("0110", "P", "X"), ("110", "P", "Y")], "iucr string, primary_description string, secondary_description string")
+    assert [tuple(r) for r in C.type_count_with_lookup(facts, codes, normalize="full").collect()] == [("001", "X", 3)]

@@ -8,7 +8,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from blotter.plans.catalog import QUERIES
+from blotter.plans.oracle import oracle_sql
 from tests.conftest import SMOKE_DIR
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="driver tables missing")
@@ -36,9 +39,9 @@ def duck():
 
 
 def test_every_query_is_registered_with_an_oracle_or_rows_only():
-    qs, sql = queries(), oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"split_points"}
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(oracle_sql()) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 def test_entry_runs(spark):
@@ -49,7 +52,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SMOKE_DIR)
+    df = QUERIES[name](spark, SMOKE_DIR)
     got = [tuple(_norm(v) for v in r) for r in df.collect()]
     res = duck.execute(oracle_sql()[name])
     cols = [d[0] for d in res.description]
@@ -61,7 +64,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_split_points_shape(spark):
-    row = queries()["split_points"](spark, SMOKE_DIR).collect()
+    row = QUERIES["split_points"](spark, SMOKE_DIR).collect()
     assert len(row) == 1
-    points = row[0]["split_points"]
+    points = row[0]["split_points"].split(",")
     assert len(points) == 8 and points == sorted(points)

@@ -88,11 +88,14 @@ def test_join_variants_match_python(spark, rows, lookup):
         [(c, "P", d) for c, d in lookup],
         "iucr string, primary_description string, secondary_description string",
     )
-    counts = Counter((r[0], r[3]) for r in rows)
     for normalize, fix in ((None, lambda c: c), ("full", _norm_full)):
+        # Codes that padding makes equal are one code with one description.
+        counts = Counter((fix(r[0]), r[3]) for r in rows)
         lk = {}
         for c, d in lookup:
             lk.setdefault(fix(c), []).append(d)
+        if normalize == "full":
+            lk = {c: [min((d for d in ds if d is not None), default=None)] for c, ds in lk.items()}
         want_left, want_inner = Counter(), Counter()
         for (code, district), n in counts.items():
             matches = lk.get(fix(code))
@@ -110,26 +113,6 @@ def test_join_variants_match_python(spark, rows, lookup):
 CODE_TEXT = st.text(alphabet="0123 ", min_size=0, max_size=4)
 
 
-@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(
-    left=st.lists(st.tuples(st.one_of(st.none(), CODE_TEXT), st.integers(0, 5)), max_size=25),
-    right=st.lists(st.tuples(st.one_of(st.none(), CODE_TEXT), st.sampled_from(["X", "Y"])), max_size=25),
-)
-def test_range_join_both_paths_match_nested_loop(spark, left, right):
-    from blotter.operators import range_join_le
-
-    l_df = spark.createDataFrame(left, "k string, n int")
-    r_df = spark.createDataFrame(right, "rk string, d string")
-    want = Counter(
-        (k, n, rk, d) for k, n in left for rk, d in right if k is not None and rk is not None and k <= rk
-    )
-    broadcast = range_join_le(l_df, r_df, "k", "rk")
-    binned = range_join_le(l_df, r_df, "k", "rk", max_broadcast_rows=0, bins=3)
-    for df in (broadcast, binned):
-        got = Counter(tuple(r) for r in df.select("k", "n", "rk", "d").collect())
-        assert got == want
-
-
 @settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     lines=st.lists(st.text(alphabet="ab; ", max_size=14), min_size=1, max_size=20),
@@ -140,7 +123,7 @@ def test_positional_split_matches_python(spark, lines, positions):
 
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     pos = {f"f{i}": i for i in positions}
-    got = [tuple(r) for r in split_positional(df, pos).collect()]
+    got = [tuple(r) for r in split_positional(df, pos, keep_short=True).collect()]
     want = []
     for x in lines:
         fields = x.split(";")

@@ -8,7 +8,7 @@ import pytest
 
 from blotter.session import scratch_dir, scratch_path
 from blotter.sources import tpch
-from tests.conftest import SMOKE_DIR
+from tests.conftest import SMOKE_DIR, local
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="driver tables missing")
 
@@ -21,35 +21,43 @@ def test_scratch_paths_are_fresh_and_under_the_checkpoint_dir(spark):
 
 
 @needs_tables
-def test_prepare_is_done_once_per_session(spark):
-    first = tpch.prepare(spark, SMOKE_DIR)
-    assert tpch.prepare(spark, SMOKE_DIR + "/") == first
-    text = tpch.prepare_text(spark, SMOKE_DIR)
-    assert tpch.prepare_text(spark, SMOKE_DIR) == text
+def test_text_files_are_kept_until_the_input_changes(spark, tmp_path):
+    import shutil
+
+    for t in ("lineitem", "part"):
+        shutil.copy(f"{SMOKE_DIR}/{t}.parquet", tmp_path / f"{t}.parquet")
+    src = str(tmp_path)
+    text = tpch.prepare_text(spark, src)
+    assert tpch.prepare_text(spark, src + "/") == text
     assert set(text) == {"extract", "extract_nodesc", "codes"}
+    before = tpch.incidents(spark, src).count()
+    os.remove(tmp_path / "lineitem.parquet")
+    spark.read.parquet(f"{SMOKE_DIR}/lineitem.parquet").limit(100).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert before > 100
+    spark.catalog.refreshByPath(src)
+    assert tpch.prepare_text(spark, src) != text
+    assert tpch.incidents(spark, src).count() == 100
 
 
 @needs_tables
-def test_prepared_table_matches_the_lazy_derivation(spark):
-    prepared = tpch.incidents(spark, SMOKE_DIR)
-    lazy = tpch.derive_incidents(spark, SMOKE_DIR)
-    assert prepared.schema.names == lazy.schema.names
-    assert prepared.exceptAll(lazy).count() == 0 and lazy.exceptAll(prepared).count() == 0
+def test_building_a_query_leaves_no_file_and_release_removes_text_files(spark):
+    from blotter.plans.catalog import QUERIES
+
+    tpch.release(spark)
+    base = local(scratch_dir(spark))
+    before = set(os.listdir(base))
+    for name in ("type_count_by_district", "type_count_left_join", "arrest_pct", "split_points", "code_normalize"):
+        if name != "code_normalize":
+            QUERIES[name](spark, SMOKE_DIR)
+    assert set(os.listdir(base)) == before
+    paths = tpch.prepare_text(spark, SMOKE_DIR)
+    assert all(os.path.isdir(local(p)) for p in paths.values())
+    tpch.release(spark)
+    assert not any(os.path.isdir(local(p)) for p in paths.values())
 
 
 @needs_tables
-def test_lookup_is_bounded_and_unique(spark):
-    codes = tpch.codes(spark, SMOKE_DIR)
-    n = codes.count()
-    assert n <= tpch.N_CODES
-    assert codes.select("iucr").distinct().count() == n
-    shipped = tpch.shipped_codes(spark, SMOKE_DIR)
-    assert shipped.select("iucr").distinct().count() == n
-
-
-def test_missing_local_prepared_files_are_detected(tmp_path):
-    present = tmp_path / "table"
-    present.mkdir()
-    assert tpch._still_there({"t": f"file:{present}"})
-    assert not tpch._still_there({"t": f"file:{tmp_path / 'absent'}"})
-    assert tpch._still_there({"t": "hdfs:///remote/table"})  # remote paths are trusted
+def test_lookup_has_every_part_and_unique_codes(spark):
+    n = spark.read.parquet(f"{SMOKE_DIR}/part.parquet").count()
+    for lookup in (tpch.codes(spark, SMOKE_DIR), tpch.shipped_codes(spark, SMOKE_DIR)):
+        assert lookup.count() == lookup.select("iucr").distinct().count() == n
