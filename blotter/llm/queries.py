@@ -34,7 +34,7 @@ def op5_source_mixing(spark, sf_dir):
 
 
 def op6_substring_dedup(spark, sf_dir):
-    return rlz.deduplicated(_docs(spark, sf_dir), with_text=False).drop("kept")
+    return rlz.deduplicated(_docs(spark, sf_dir), with_text=False).drop("kept", "factors")
 
 
 def op7_token_packing(spark, sf_dir):
@@ -42,7 +42,7 @@ def op7_token_packing(spark, sf_dir):
 
 
 def op8_decontamination(spark, sf_dir):
-    return decontaminate.hits(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return decontaminate.hits(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op9_simhash_dedup(spark, sf_dir):
@@ -100,4 +100,57 @@ SELECT doc_id, size, source_size, target,
 FROM rates
 """
 
-ORACLE_SQL = {"op5_source_mixing": _MIX}
+_DEDUP = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (SELECT row, doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs WHERE len(words) >= 20),
+windows AS (SELECT row, doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS w FROM starts),
+earliest AS (SELECT w, min((coalesce(doc_id, 9223372036854775807), i)) AS first FROM windows GROUP BY w HAVING count(*) > 1),
+later AS (
+    SELECT row, i FROM windows JOIN earliest USING (w) WHERE (coalesce(doc_id, 9223372036854775807), i) > first
+),
+gone AS (SELECT DISTINCT row, i + k AS at FROM (SELECT row, i, unnest(range(0, 20)) AS k FROM later)),
+placed AS (SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM docs),
+left_over AS (
+    SELECT p.row, string_agg(word, ' ' ORDER BY p.at) FILTER (WHERE g.at IS NULL) AS kept, count(g.at) AS n_removed
+    FROM placed p LEFT JOIN gone g ON p.row = g.row AND p.at = g.at GROUP BY p.row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN left_over USING (row)
+"""
+
+_LEAKS = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+),
+grams AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS w
+    FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM items WHERE len(words) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM grams),
+windows AS (
+    SELECT row, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
+    FROM (SELECT row, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes WHERE len(words) >= n)
+),
+found AS (SELECT row, i, n, item_id FROM windows JOIN grams USING (n, w)),
+hit AS (SELECT row, count(DISTINCT spot) AS n_hit FROM (SELECT row, i + unnest(range(0, n)) AS spot FROM found) GROUP BY row),
+named AS (
+    SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT row, coalesce(item_id::VARCHAR, '') AS id FROM found) GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+ORACLE_SQL = {"op5_source_mixing": _MIX, "op6_substring_dedup": _DEDUP, "op8_decontamination": _LEAKS}
