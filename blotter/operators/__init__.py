@@ -3,6 +3,7 @@
 from blotter.operators.clean import clean_description, clean_district, dirty_row_filter
 from blotter.operators.counts import count_by, count_by_type
 from blotter.operators.joins import join_lookup, lookup_descriptions
+from blotter.operators.layout import key_faults, order_faults
 from blotter.operators.ordering import (
     hash_partition,
     order_by_district_count,
@@ -26,8 +27,10 @@ __all__ = [
     "join_lookup",
     "lookup_descriptions",
     "hash_partition",
+    "key_faults",
     "order_by_district_count",
     "order_by_year",
+    "order_faults",
     "range_sort",
     "secondary_sort",
     "split_points",

@@ -9,10 +9,12 @@ files that are written for them first (``tpch.prepare_text``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from blotter.operators import dirty_row_filter, range_sort, secondary_sort, split_points
+from blotter.operators import dirty_row_filter, key_faults, order_faults, range_sort, secondary_sort, split_points
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
 from blotter.sinks import record_line
@@ -44,9 +46,51 @@ def _text(spark: SparkSession, sf: str) -> dict[str, str]:
     return tpch.prepare_text(spark, sf)
 
 
+def _lines(spark: SparkSession, sf: str, extract: str = "extract") -> list[str]:
+    """An extract and the lines that are no records, as one line input."""
+    paths = _text(spark, sf)
+    return [paths[extract], paths["damaged"]]
+
+
 def _line_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Clean counts per (code, district) from the raw extract lines."""
-    return TP.line_code_counts(spark, _text(spark, sf)["extract_nodesc"])
+    return TP.line_code_counts(spark, _lines(spark, sf, "extract_nodesc"))
+
+
+def _named(name: str, check: DataFrame) -> DataFrame:
+    return check.select(F.lit(name).alias("name"), "*")
+
+
+def _sort_order_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Order faults of every sorted result (all zero)."""
+    down = -F.col("cnt")
+    folded = F.lower(F.coalesce("district", F.lit("")))
+    sorted_results = [
+        ("district, count", "type_count_by_district", (F.col("district"), down)),
+        ("district, count after a join", "type_count_left_join", (F.col("district"), down)),
+        ("folded district, count", "type_count_lines_clean", (folded, down)),
+        ("year", "arrest_pct", (F.col("year"),)),
+        ("year over range partitions", "arrest_pct_range_sorted", (F.col("year"), F.col("iucr"))),
+    ]
+    checks = [_named(name, order_faults(QUERIES[query](spark, sf), *keys)) for name, query, keys in sorted_results]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def _partition_layout_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Layout faults of the secondary sort and the range sort (all zero): keys
+    in two partitions, partitions beyond those asked for, and rows out of order
+    inside their partition."""
+    by_district = QUERIES["type_count_secondary_sort"](spark, sf)
+    by_range = QUERIES["arrest_pct_range_sorted"](spark, sf).select(F.concat_ws(":", "year", "iucr").alias("key"))
+    inside = order_faults(by_district, F.lower(F.coalesce("district", F.lit(""))), -F.col("cnt"))
+    keys = key_faults(by_district, SECONDARY_SORT_PARTITIONS, "district")
+    ranges = key_faults(by_range, RANGE_SORT_PARTITIONS, "key")
+    checks = [
+        _named("rows of a district", inside.select(F.col("n_rows").alias("n"), F.col("inversions").alias("faults"))),
+        _named("districts", keys.select(F.col("n_keys").alias("n"), (F.col("split_keys") + F.col("partitions_over")).alias("faults"))),
+        _named("range keys", ranges.select(F.col("n_keys").alias("n"), (F.col("split_keys") + F.col("partitions_over")).alias("faults"))),
+    ]
+    return reduce(DataFrame.unionByName, checks)
 
 
 QUERIES: dict[str, Builder] = {
@@ -56,7 +100,7 @@ QUERIES: dict[str, Builder] = {
     "type_count_secondary_sort": lambda s, sf: secondary_sort(
         C.type_count_by_district(_incidents(s, sf), clean=True), SECONDARY_SORT_PARTITIONS
     ),
-    "type_count_lines_clean": lambda s, sf: TP.type_count_lines_clean(s, _text(s, sf)["extract"]),
+    "type_count_lines_clean": lambda s, sf: TP.type_count_lines_clean(s, _lines(s, sf)),
     # The DataFrame jobs on the ';' extract files, as the reference runs them.
     "type_count_by_district_csv": lambda s, sf: C.type_count_by_district(
         read_incidents(s, _text(s, sf)["extract"])
@@ -102,18 +146,26 @@ QUERIES: dict[str, Builder] = {
     "arrest_pct_range_sorted": lambda s, sf: range_sort(
         C.arrest_pct_exact(_facts(s, sf)), RANGE_SORT_PARTITIONS, ("year", "iucr")
     ),
-    "arrest_pct_lines": lambda s, sf: TP.arrest_rate_lines(s, _text(s, sf)["extract"], RANGE_SORT_PARTITIONS),
+    "arrest_pct_lines": lambda s, sf: TP.arrest_rate_lines(s, _lines(s, sf), RANGE_SORT_PARTITIONS),
     "split_points": lambda s, sf: split_points(_facts(s, sf), "year", RANGE_SORT_PARTITIONS, "row_key"),
     # Sources, sinks and scalar functions.
     "csv_roundtrip": lambda s, sf: TP.csv_roundtrip(s, _incidents(s, sf)),
     "drop_columns": lambda s, sf: TP.drop_columns(s, _text(s, sf)["extract"]),
-    "delimited_line_parse": lambda s, sf: TP.delimited_line_parse(s, _text(s, sf)["extract"]),
+    "delimited_line_parse": lambda s, sf: TP.delimited_line_parse(s, _lines(s, sf)),
+    "delimited_line_parse_keep_short": lambda s, sf: TP.delimited_line_parse(s, _lines(s, sf), keep_short=True),
+    "csv_whole_rows": lambda s, sf: TP.whole_rows(s, _lines(s, sf)),
     "key_value_line_parse": lambda s, sf: TP.key_value_line_parse(_line_counts(s, sf)),
     "code_normalize": lambda s, sf: C.normalized_codes(read_codes(s, _text(s, sf)["codes"])),
     "dirty_row_filter": lambda s, sf: dirty_row_filter(_facts(s, sf).select("iucr", "district")),
     "delimited_export": lambda s, sf: C.type_count_by_district(_incidents(s, sf), clean=True).select(
         record_line().alias("line")
     ),
+    "single_file_readback": lambda s, sf: TP.single_file_readback(
+        s, C.type_count_by_district(_incidents(s, sf), clean=True)
+    ),
+    # Order and layout, which a comparison of row sets cannot see.
+    "sort_order_check": _sort_order_check,
+    "partition_layout_check": _partition_layout_check,
 }
 
 # The DataFrame-form variants timed by bench.py (the reference's measured jobs).

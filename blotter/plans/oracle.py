@@ -169,6 +169,30 @@ SELECT iucr, primary_type, description, arrest, district, year FROM crimes""",
 SELECT iucr, arrest, district, year FROM crimes""",
     "delimited_line_parse": """
 SELECT TRY_CAST(year AS BIGINT) AS year, iucr, arrest FROM line_crimes""",
+    "delimited_line_parse_keep_short": f"""
+SELECT TRY_CAST(year AS BIGINT) AS year, iucr, arrest FROM line_crimes
+UNION ALL
+SELECT NULL, CASE WHEN l_orderkey % {M.CUT_LINE_PERIOD} = 0 THEN {_code('l_partkey')} END, NULL FROM lineitem
+WHERE l_orderkey % {M.CUT_LINE_PERIOD} = 0 OR l_orderkey % {M.BLANK_LINE_PERIOD} = 0""",
+    "csv_whole_rows": """
+SELECT concat_ws('|', iucr, primary_type, description, arrest, district, year) AS line FROM crimes""",
+    "single_file_readback": """
+SELECT coalesce(district, '') || ';'
+       || CASE WHEN contains(description, ';') THEN '"' || description || '"' ELSE coalesce(description, '') END
+       || ';' || CAST(count(*) AS VARCHAR) AS line, TRUE AS in_first_file
+FROM clean_full GROUP BY iucr, district, description""",
+    "sort_order_check": """
+SELECT name, n_rows, CAST(0 AS BIGINT) AS inversions, CAST(0 AS BIGINT) AS boundary_inversions
+FROM (SELECT 'district, count' AS name, count(*) AS n_rows FROM (SELECT DISTINCT iucr, district, description FROM crimes)
+      UNION ALL SELECT 'district, count after a join', count(*) FROM cnt
+      UNION ALL SELECT 'folded district, count', count(*) FROM (SELECT DISTINCT iucr, district, description FROM line_clean)
+      UNION ALL SELECT 'year', count(*) FROM (SELECT DISTINCT year, iucr, description FROM crimes)
+      UNION ALL SELECT 'year over range partitions', count(*) FROM (SELECT DISTINCT year, iucr FROM crimes))""",
+    "partition_layout_check": """
+SELECT name, n, CAST(0 AS BIGINT) AS faults
+FROM (SELECT 'rows of a district' AS name, count(*) AS n FROM (SELECT DISTINCT iucr, district, description FROM clean_full)
+      UNION ALL SELECT 'districts', count(*) FROM (SELECT DISTINCT district FROM clean_full)
+      UNION ALL SELECT 'range keys', count(*) FROM (SELECT DISTINCT year, iucr FROM crimes))""",
     "key_value_line_parse": """
 SELECT coalesce(district, '') AS k, iucr || '__' || chr(9) || CAST(cnt AS VARCHAR) AS v FROM clean_cnt""",
     "code_normalize": """

@@ -22,7 +22,7 @@ from blotter.operators import (
     range_sort,
 )
 from blotter.session import scratch_path
-from blotter.sinks import without_descriptions, write_delimited
+from blotter.sinks import export_single_file, without_descriptions, write_delimited
 from blotter.sinks import write_extract as write_extract_file
 from blotter.sources import (
     drop_header,
@@ -55,17 +55,39 @@ def drop_columns(spark: SparkSession, extract_path: str) -> DataFrame:
     return read_incidents(spark, path, with_description=False).select("iucr", "arrest", "district", "year")
 
 
-def delimited_line_parse(spark: SparkSession, extract_path: str) -> DataFrame:
+def whole_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The rows of an extract that have every field of its header, each as one
+    text of its non-null fields. All columns are read, so ``DROPMALFORMED``
+    checks all of them."""
+    rows = read_extract(spark, paths)
+    return rows.select(F.concat_ws("|", *[rows[f"`{c}`"] for c in rows.columns]).alias("line"))
+
+
+def single_file_readback(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """Write ``counts`` over an earlier result as one ';' file without a
+    header; its lines, and whether each is in the first part file."""
+    path = scratch_path(spark, "single-file")
+    write_delimited(counts.select("cnt"), path, header=True)
+    export_single_file(counts, path)
+    return read_lines(spark, path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_name").startswith("part-00000-").alias("in_first_file")
+    )
+
+
+def delimited_line_parse(spark: SparkSession, extract_path: str | list[str], keep_short: bool = False) -> DataFrame:
     """Rate job's reader: year, code and arrest by position; header dropped by
-    the year field; year parsed to a number."""
+    the year field; year parsed to a number. Short lines are dropped, or have
+    nulls with ``keep_short``."""
     lines = read_lines(spark, extract_path)
     pos = S.INCIDENT_POSITIONS
-    parsed = split_positional(lines, {"year": pos["year"], "iucr": pos["iucr"], "arrest": pos["arrest"]})
+    parsed = split_positional(
+        lines, {"year": pos["year"], "iucr": pos["iucr"], "arrest": pos["arrest"]}, keep_short=keep_short
+    )
     parsed = drop_header(parsed, "year", "Year")
     return parsed.select(to_bigint("year").alias("year"), "iucr", "arrest")
 
 
-def type_count_lines_clean(spark: SparkSession, extract_path: str) -> DataFrame:
+def type_count_lines_clean(spark: SparkSession, extract_path: str | list[str]) -> DataFrame:
     """Count job on raw lines of the extract: positional fields, dirty-row
     filters (which also remove the header, whose district field reads
     ``District``), counts per ``(district, description, code)``,
@@ -81,7 +103,7 @@ def type_count_lines_clean(spark: SparkSession, extract_path: str) -> DataFrame:
     ).select("district", "description", "cnt")
 
 
-def line_code_counts(spark: SparkSession, extract_nodesc_path: str) -> DataFrame:
+def line_code_counts(spark: SparkSession, extract_nodesc_path: str | list[str]) -> DataFrame:
     """First stage of the line join job: counts per ``(code, district)`` from
     the raw lines of the extract without descriptions (district at field 9),
     dirty districts and the header removed."""
@@ -91,7 +113,7 @@ def line_code_counts(spark: SparkSession, extract_nodesc_path: str) -> DataFrame
     return count_by_type(dirty_row_filter(parsed), with_description=False)
 
 
-def arrest_rate_lines(spark: SparkSession, extract_path: str, partitions: int) -> DataFrame:
+def arrest_rate_lines(spark: SparkSession, extract_path: str | list[str], partitions: int) -> DataFrame:
     """The rate job's line form: year, code and arrest by position, header
     dropped by the year field, any-case unrounded rate per ``(year, code)``,
     year parsed to a number, total order over ``partitions`` range

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions import pad_code
 from blotter.session import scratch_dir, scratch_path
-from blotter.sinks import write_codes, write_extract
+from blotter.sinks import write_codes, write_extract, write_lines
 
 # Fixed values of the mapping (chosen for this library, not taken from the
 # reference): district domain and the periods of dirty rows.
@@ -48,6 +48,8 @@ SPACED_DISTRICT_PERIOD = 103    # -> district ' 01'
 NULL_DISTRICT_PERIOD = 107      # -> district null
 NULL_ARREST_PERIOD = 109        # -> arrest null
 BAD_YEAR_PERIOD = 113           # -> year 'n/a'
+CUT_LINE_PERIOD = 127           # -> one more line, cut off behind the code
+BLANK_LINE_PERIOD = 131         # -> one more line, blank
 UNPADDED_CODE_CLASS = 7         # p_partkey mod 20 -> shipped without zeros
 SPACED_CODE_CLASS = 13          # p_partkey mod 20 -> shipped with a trailing space
 DAMAGED_TEXT_CLASS = 17         # p_partkey mod 50 -> damaged description
@@ -125,6 +127,15 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no records: cut off behind the code (five fields), or
+    blank. One ``value`` column."""
+    ok = F.col("l_orderkey")
+    cut = F.concat_ws(";", "l_orderkey", "l_linenumber", F.lit(""), F.lit(""), _code(F.col("l_partkey")))
+    line = F.when(ok % CUT_LINE_PERIOD == 0, cut).when(ok % BLANK_LINE_PERIOD == 0, F.lit(""))
+    return _table(spark, sf_dir, "lineitem").select(line.alias("value")).where("value IS NOT NULL")
+
+
 _TEXT_FILES: dict[tuple, dict[str, str]] = {}
 _LOCK = threading.RLock()
 
@@ -140,17 +151,19 @@ def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Paths of the text inputs of the file-reading queries: the 22-column
     extract, the 20-column extract without descriptions and the lookup file
     as shipped (all ';'-separated with a header; keys ``extract``,
-    ``extract_nodesc``, ``codes``)."""
+    ``extract_nodesc``, ``codes``), and lines that are no records
+    (``damaged``)."""
     base = sf_dir.rstrip("/")
     inputs = tuple(_files(spark, f"{base}/{t}.parquet") for t in ("lineitem", "part"))
     key = (spark.sparkContext.applicationId, scratch_dir(spark), inputs)
     with _LOCK:
         if key not in _TEXT_FILES:
-            paths = {k: scratch_path(spark, k) for k in ("extract", "extract_nodesc", "codes")}
+            paths = {k: scratch_path(spark, k) for k in ("extract", "extract_nodesc", "codes", "damaged")}
             table = incidents(spark, sf_dir)
             write_extract(table, paths["extract"])
             write_extract(table, paths["extract_nodesc"], with_description=False)
             write_codes(shipped_codes(spark, sf_dir), paths["codes"])
+            write_lines(damaged_lines(spark, sf_dir), paths["damaged"])
             _TEXT_FILES[key] = paths
         return _TEXT_FILES[key]
 

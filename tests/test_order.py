@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from blotter.operators import hash_partition, range_sort, split_points
+from blotter.operators import hash_partition, key_faults, order_faults, range_sort, split_points
 from blotter.plans.catalog import QUERIES
 from blotter.sinks import export_single_file
 from blotter.session import scratch_path
@@ -122,3 +123,22 @@ def test_split_points_exact_on_full_sample(spark):
     # Upper bounds: partition i holds keys <= split i (range partitioner convention).
     assert row["split_points"] == "1995,1996,1997,1998,1999,2000"
     assert row["sampled_rows"] == 7000
+
+
+def test_order_faults_counts_inversions_and_boundaries(spark):
+    df = spark.createDataFrame([(i,) for i in range(100)], "v long")
+    v = F.col("v")
+    good = order_faults(range_sort(df, 4, ("v",)), v).first()
+    assert tuple(good) == (100, 0, 0)
+    inside = order_faults(df.coalesce(1).sortWithinPartitions(F.desc("v")), v).first()
+    assert tuple(inside) == (100, 99, 0)
+    falling = order_faults(df.repartitionByRange(4, F.desc("v")).sortWithinPartitions("v"), v).first()
+    assert tuple(falling) == (100, 0, 3)
+    assert tuple(order_faults(df.where("v < 0"), v).first()) == (0, 0, 0)
+
+
+def test_key_faults_counts_split_keys(spark):
+    df = spark.createDataFrame([(str(i % 7), i) for i in range(200)], "district string, v long")
+    assert tuple(key_faults(hash_partition(df, 5), 5, "district").first()) == (7, 0, 0)
+    assert key_faults(df.repartition(5), 5, "district").first()["split_keys"] == 7
+    assert key_faults(df.repartition(5), 1, "district").first()["partitions_over"] == 7
