@@ -126,10 +126,10 @@ def numbered(df: DataFrame, *order: str) -> DataFrame:
     ).drop("_at", "_here", "_before")
 
 
-def word_blocks(docs: DataFrame, lower: bool = False, block_words: int = 1 << 20) -> DataFrame:
+def word_blocks(docs: DataFrame, lower: bool = False, block_words: int = 1 << 20, level: int = 3) -> DataFrame:
     """Documents in blocks of about ``block_words`` words, for work on many
     words at once: ``block`` (number), ``doc_ids``, ``lens`` (words of each
-    document) and ``body`` (all words with a space between, zstandard).
+    document) and ``body`` (all words with a space between, zstandard at ``level``).
 
     A block is a run of rows of one input partition; a longer document is a
     block of its own. Only what the blocks hold is read again later, so their
@@ -137,7 +137,7 @@ def word_blocks(docs: DataFrame, lower: bool = False, block_words: int = 1 << 20
     names = ["block", "doc_ids", "lens", "body"]
 
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=level).compress
         number = TaskContext.get().partitionId() << 33
         ids, lens, parts, held = [], [], [], 0
 

@@ -56,6 +56,10 @@ HOT_SHARE = 0.001
 SHARD_TOKENS = 2_000_000
 BLOCK_WORDS = 1 << 20
 
+#: zstandard levels of the blocks, which are written and shuffled whole, and of
+#: what goes to the shards and back.
+BLOCK_LEVEL, BLOB_LEVEL = 7, 5
+
 END = np.uint64(0x456E64)  # the end token; words are 64-bit hashes
 _NEXT_BITS = 40
 _UNI_STEP = 1 / 24  # of log10, for the unigram part sent with a pair
@@ -73,7 +77,7 @@ def to_blob(*arrays: np.ndarray) -> bytes:
             top = int(a.max(initial=0))
             a = a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
         out.append(f"{a.dtype.str}{len(a)};".encode() + a.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=BLOB_LEVEL).compress(b"".join(out))
 
 
 def from_blob(blob: bytes) -> list[np.ndarray]:
@@ -332,7 +336,7 @@ def scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     of each row."""
     spark = docs.sparkSession
-    blocks, _ = saved(word_blocks(docs, lower=True, block_words=BLOCK_WORDS), "lm-blocks")
+    blocks, _ = saved(word_blocks(docs, lower=True, block_words=BLOCK_WORDS, level=BLOCK_LEVEL), "lm-blocks")
     pairs = blocks.select(F.explode(F.arrays_zip("doc_ids", "lens")).alias("d")).select("d.doc_ids", "d.lens")
     held = F.coalesce(F.crc32(F.col("doc_ids").cast("string").cast("binary")) % MODULUS == HELD, F.lit(False))
     tokens = pairs.where(~held).agg(F.sum(F.col("lens") + 1)).first()[0] or 0
