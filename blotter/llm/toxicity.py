@@ -43,8 +43,8 @@ PREFIX = 5
 LIFT = 8.0
 MIN_CHI2 = 10.83  # 1 in 1000 by chance
 STEPS = (3, 6)
-ROUNDS = 300
-L1 = 1e-4
+ROUNDS = 4000
+L1 = 3e-4
 
 #: A document is rejected if it is more likely than not of grade 1 or above.
 MIN_PROBABILITY = 0.5
