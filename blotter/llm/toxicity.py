@@ -46,6 +46,9 @@ STEPS = (3, 6)
 ROUNDS = 4000
 L1 = 3e-4
 
+#: The fit ends when no weight or threshold moves by more than this in a round.
+TOLERANCE = 1e-3
+
 #: A document is rejected if it is more likely than not of grade 1 or above.
 MIN_PROBABILITY = 0.5
 
@@ -101,7 +104,10 @@ class Model:
         return sigmoid(np.asarray(logits, float)[:, None] - np.array(self.thresholds)[None, :])
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: np.ndarray, l1: float = L1, rounds: int = ROUNDS):
+def fit_ordinal(
+    rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: np.ndarray, l1: float = L1, rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
+):
     """Weights and thresholds of least mean loss plus ``l1`` times the absolute
     weights, for ``n`` texts with 1 at ``(rows, cols)``: accelerated proximal
     gradient steps, thresholds kept in order by their gaps."""
@@ -128,8 +134,11 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, grade: n
         then = np.sign(moved) * np.maximum(np.abs(moved) - rate * l1, 0.0)
         next_momentum = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         step_w = then + (momentum - 1) / next_momentum * (then - w)
-        w, momentum = then, next_momentum
-        theta = np.maximum.accumulate(theta - by_theta + np.arange(top) * 1e-9)
+        next_theta = np.maximum.accumulate(theta - by_theta + np.arange(top) * 1e-9)
+        moved = max(np.abs(then - w).max(initial=0.0), np.abs(next_theta - theta).max())
+        w, momentum, theta = then, next_momentum, next_theta
+        if moved < tolerance:
+            break
     return w, theta
 
 
