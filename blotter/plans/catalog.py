@@ -48,8 +48,7 @@ def _text(spark: SparkSession, sf: str) -> dict[str, str]:
 
 def _lines(spark: SparkSession, sf: str, extract: str = "extract") -> list[str]:
     """An extract and the lines that are no records, as one line input."""
-    paths = _text(spark, sf)
-    return [paths[extract], paths["damaged"]]
+    return [_text(spark, sf)[extract], tpch.prepare_damaged(spark, sf)]
 
 
 def _line_counts(spark: SparkSession, sf: str) -> DataFrame:

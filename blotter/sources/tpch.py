@@ -151,8 +151,16 @@ def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Paths of the text inputs of the file-reading queries: the 22-column
     extract, the 20-column extract without descriptions and the lookup file
     as shipped (all ';'-separated with a header; keys ``extract``,
-    ``extract_nodesc``, ``codes``), and lines that are no records
-    (``damaged``)."""
+    ``extract_nodesc``, ``codes``)."""
+    return {k: path for k, path in _text_files(spark, sf_dir).items() if k != "damaged"}
+
+
+def prepare_damaged(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the text lines that are no records."""
+    return _text_files(spark, sf_dir)["damaged"]
+
+
+def _text_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     base = sf_dir.rstrip("/")
     inputs = tuple(_files(spark, f"{base}/{t}.parquet") for t in ("lineitem", "part"))
     key = (spark.sparkContext.applicationId, scratch_dir(spark), inputs)
