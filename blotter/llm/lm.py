@@ -6,19 +6,20 @@ over the training documents (``crc32`` of the id modulo 7 is not 2), ``N`` all
 training tokens and ``V`` the distinct ones:
 
 * ``P(w) = (c(w) + 1) / (N + V + 1)``, the base model;
-* ``P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU)`` where both words have
-  ``MIN_COUNT`` training tokens or more, and ``P(w)`` elsewhere: rare words
-  keep their share after every context. The first word's context is the end
-  of a text.
+* ``P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU)`` for every pair of words,
+  however rare: after a context without training tokens that is ``P(w)``. The
+  first word's context is the end of a text. (``MIN_COUNT`` is a floor on the
+  training tokens of both words, under which ``P(w)`` stays; it is 0, no floor.)
 
 No task can hold the model of a large corpus, so it is one trie for each shard
 of the bigrams, and the work goes to the shards:
 
 1. texts are put into blocks; each sends its words' training counts once, and
    gets the corpus counts of its words back;
-2. a block scores by itself what needs no bigram count. Both words hot (over
-   a thousandth of all tokens, so under a thousand words): their at most a
-   million pair counts are broadcast;
+2. a block scores by itself what needs no bigram count: pairs with a word that
+   has no training tokens, whose count is 0. Both words hot (over a thousandth
+   of all tokens, so under a thousand words): their at most a million pair
+   counts are broadcast;
 3. the other pairs go to their shard, each once a block with its count and the
    documents it is in;
 4. a shard adds the counts up, builds the trie of its bigrams, looks all pairs
@@ -46,12 +47,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import block_body, hashed, saved, whole_groups, word_blocks
+from blotter.llm.common import block_body, hashed, saved, word_blocks
 from blotter.llm.eliasfano import Trie
 
 MODULUS, HELD = 7, 2
 MU = 300.0
-MIN_COUNT = 50
+MIN_COUNT = 0
 HOT_SHARE = 0.001
 SHARD_TOKENS = 2_000_000
 BLOCK_WORDS = 1 << 20
@@ -116,37 +117,53 @@ class Block:
         return np.bincount(self.doc[at], weights=weights, minlength=len(self.ids))
 
 
-def _word_counts(batches):
-    """Step 1: ``word, block, place, n`` (training tokens), a word once a
-    block; ``place`` is its place among the block's words."""
-    for b in batches:
-        for row in b.to_pylist():
-            block = Block(row)
-            n = np.bincount(block.token[block.train], minlength=len(block.words))
-            for at in range(0, len(n), 1 << 16):
-                word = block.words[at : at + (1 << 16)].view(np.int64)
-                here = np.full(len(word), row["block"], np.int64)
-                place = np.arange(at, at + len(word), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (word, here, place, n[at : at + (1 << 16)].astype(np.int64))],
-                    ["word", "block", "place", "n"],
-                )
+def _dealt(to: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places sorted by ``to`` (under ``n``), and where each value begins."""
+    order = np.argsort(to.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
+    return order, np.concatenate([[0], np.cumsum(np.bincount(to, minlength=n))])
 
 
-def _corpus_counts(hot_count: float):
-    """``block, place, c, owner, hot``: corpus counts for each block's words;
-    ``owner`` marks one row of each word, which names it if it is hot."""
+def _parts(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's words dealt over ``n`` parts by their hash."""
+    return _dealt((words % np.uint64(n)).astype(np.int64), n)
+
+
+def _word_counts(parts: int):
+    """Step 1: ``part, block, body``: a block's words of each part, a word
+    once, with their training tokens."""
 
     def run(batches):
-        for t in whole_groups(batches, "word"):
-            word, block, place, n = (t.column(c).to_numpy() for c in ("word", "block", "place", "n"))
-            owner = np.r_[True, word[1:] != word[:-1]]
-            first = np.flatnonzero(owner)
-            c = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(word)]))
-            hot = pa.array(word, mask=~(owner & (c > hot_count)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block), pa.array(place), pa.array(c), pa.array(owner), hot], ["block", "place", "c", "owner", "hot"]
-            )
+        for b in batches:
+            for row in b.to_pylist():
+                block = Block(row)
+                n = np.bincount(block.token[block.train], minlength=len(block.words))
+                order, edge = _parts(block.words, parts)
+                part = np.flatnonzero(np.diff(edge))
+                at = [order[edge[p] : edge[p + 1]] for p in part.tolist()]
+                here = np.full(len(part), row["block"], np.int64)
+                body = pa.array([to_blob(block.words[x], n[x]) for x in at], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(here), body], ["part", "block", "body"])
+
+    return run
+
+
+def _corpus_counts(hot_count: float):
+    """``block, part, body, types, hot``: corpus counts of each block's words
+    in the order they came; one row of a part has its number of training words
+    and the hot ones."""
+
+    def run(part: pa.Table) -> pa.Table:
+        asked = [from_blob(body) for body in part.column("body").to_pylist()]
+        words, place = np.unique(np.concatenate([w for w, _ in asked]).astype(np.uint64), return_inverse=True)
+        c = np.bincount(place, weights=np.concatenate([n for _, n in asked]), minlength=len(words)).astype(np.int64)
+        edge = np.cumsum([0, *(len(w) for w, _ in asked)])
+        more = len(asked) - 1
+        return pa.table({
+            "block": part.column("block"), "part": part.column("part"),
+            "body": pa.array([to_blob(c[place[i:j]]) for i, j in zip(edge, edge[1:])], pa.binary()),
+            "types": pa.array([int((c > 0).sum())] + [0] * more, pa.int64()),
+            "hot": pa.array([words[c > hot_count].view(np.int64).tolist()] + [[]] * more, pa.list_(pa.int64())),
+        })
 
     return run
 
@@ -177,12 +194,17 @@ def _places(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == x, at, -1)
 
 
+def shards(tokens: int) -> int:
+    """Shards of the bigrams, and parts of the words."""
+    return max(1, round(tokens / SHARD_TOKENS))
+
+
 class Corpus:
     """What every task knows of the corpus: totals and the hot pairs."""
 
     def __init__(self, tokens: int, types: int, hot: np.ndarray, pairs: np.ndarray):
         self.tokens, self.types, self.hot, self.pairs = tokens, types, hot, pairs
-        self.shards = max(1, round(tokens / SHARD_TOKENS))
+        self.shards = shards(tokens)
 
     def unigram(self, c: np.ndarray) -> np.ndarray:
         return (c + 1.0) / (self.tokens + self.types + 1)
@@ -203,7 +225,9 @@ def _probes(shared):
         for row in blocks.to_pylist():
             block = Block(row)
             c = np.empty(len(block.words), np.int64)
-            c[counts.column("place").to_numpy()] = counts.column("c").to_numpy()
+            order, edge = _parts(block.words, corpus.shards)
+            for p, body in zip(counts.column("part").to_pylist(), counts.column("body").to_pylist()):
+                c[order[edge[p] : edge[p + 1]]] = from_blob(body)[0]
             uni = corpus.unigram(c)
             log_uni = np.log10(uni)
             v, w = block.before, block.token
@@ -216,7 +240,11 @@ def _probes(shared):
             n_pair = corpus.pairs[hot[v[at]] * len(corpus.hot) + hot[w[at]]]
             score += block.by_doc(np.log10((n_pair + MU * uni[w[at]]) / (c[v[at]] + MU)) - log_uni[w[at]], at)
             common = c >= MIN_COUNT
-            at = np.flatnonzero(common[v] & common[w] & ~both_hot)
+            modelled = common[v] & common[w] & ~both_hot
+            unseen = (c[v] == 0) | (c[w] == 0)
+            at = np.flatnonzero(modelled & unseen)
+            score += block.by_doc(np.log10(MU / (c[v[at]] + MU)), at)
+            at = np.flatnonzero(modelled & ~unseen)
             score -= block.by_doc(log_uni[w[at]], at)
             shard_out.append(row["block"] % corpus.shards)
             body_out.append(b"B" + to_blob(
@@ -224,8 +252,8 @@ def _probes(shared):
                 block.n_tokens, block.by_doc((c > 0)[w].astype(float)).astype(np.int64), base, score,
             ))
             to = corpus.shard(block.words[v[at]], c[v[at]], block.words[w[at]])
-            at = at[np.argsort(to.astype(np.uint16 if corpus.shards < 1 << 16 else np.uint32), kind="stable")]
-            edge = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=corpus.shards))])
+            order, edge = _dealt(to, corpus.shards)
+            at = at[order]
             codes = np.rint(-log_uni / _UNI_STEP).astype(np.int64)
             for s in np.flatnonzero(np.diff(edge)).tolist():
                 shard_out.append(s)
@@ -240,9 +268,10 @@ def _probes(shared):
 
 
 def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> bytes:
-    """One block's pairs for one shard: contexts with their counts, for each
-    pair the next word, its unigram code and training count, and the documents
-    it is in, with how often."""
+    """One block's pairs for one shard: contexts with their counts, the next
+    words, once each, with their unigram codes, for each pair the number of its
+    next word and its training count, and the documents it is in, with how
+    often."""
     v, w, doc = block.before[at].astype(np.uint64), block.token[at].astype(np.uint64), block.doc[at].astype(np.uint64)
     words, docs = np.uint64(len(block.words)), np.uint64(len(block.ids))
     train = block.train[at]
@@ -253,13 +282,14 @@ def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> by
     in_train = np.where(block.held[d], 0, n_post)
     n_train = np.add.reduceat(in_train, first)
     context, c_first = np.unique(pair // words, return_index=True)
-    follow = (pair % words).astype(np.int64)
+    follow, number = np.unique((pair % words).astype(np.int64), return_inverse=True)
     context = context.astype(np.int64)
     assert train.sum() == n_train.sum()
     name = block.words[follow] >> np.uint64(64 - _NEXT_BITS)
     return to_blob(
         block.words[context], c[context], np.diff(np.append(c_first, len(pair))),
-        name & np.uint64(0xFFFFFFFF), name >> np.uint64(32), codes[follow], n_train, np.diff(np.append(first, len(post))), d, n_post,
+        name & np.uint64(0xFFFFFFFF), name >> np.uint64(32), codes[follow], number, n_train,
+        np.diff(np.append(first, len(post))), d, n_post,
     )
 
 
@@ -276,8 +306,8 @@ def _answers(shard: pa.Table) -> pa.Table:
         context, c, word, uni = _pairs(a)
         log10p = trie.lookup(context, word)
         log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
-        sums = np.bincount(a[8], weights=np.repeat(log10p, a[7]) * a[9])
-        docs = np.unique(a[8])
+        sums = np.bincount(a[9], weights=np.repeat(log10p, a[8]) * a[10])
+        docs = np.unique(a[9])
         blocks.append(block), bodies.append(b"S" + to_blob(docs, sums[docs].astype(np.float32)))
     return pa.table({"block": pa.array(blocks, pa.int64()), "body": pa.array(bodies, pa.binary())})
 
@@ -285,16 +315,17 @@ def _answers(shard: pa.Table) -> pa.Table:
 def _pairs(a: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Context, its count, next word and unigram probability of each pair."""
     word = a[3].astype(np.uint64) | a[4].astype(np.uint64) << np.uint64(32)
-    return np.repeat(a[0], a[2]).astype(np.uint64), np.repeat(a[1], a[2]), word, 10.0 ** (-_UNI_STEP * a[5])
+    uni = 10.0 ** (-_UNI_STEP * a[5])
+    return np.repeat(a[0], a[2]).astype(np.uint64), np.repeat(a[1], a[2]), word[a[6]], uni[a[6]]
 
 
 def _trie(asked: list[list[np.ndarray]]) -> Trie:
     """The shard's trie: its bigrams with a training count."""
     context, word, n, p = [], [], [], []
     for a in asked:
-        seen = a[6] > 0
+        seen = a[7] > 0
         v, c, w, uni = _pairs(a)
-        context.append(v[seen]), word.append(w[seen]), n.append(a[6][seen].astype(np.int64))
+        context.append(v[seen]), word.append(w[seen]), n.append(a[7][seen].astype(np.int64))
         p.append(np.stack([MU * uni[seen], c[seen] + MU]).astype(np.float32))
     context, word, n, p = np.concatenate(context), np.concatenate(word), np.concatenate(n), np.concatenate(p, axis=1)
     order = np.lexsort((word, context))
@@ -340,16 +371,17 @@ def scores(docs: DataFrame) -> DataFrame:
     pairs = blocks.select(F.explode(F.arrays_zip("doc_ids", "lens")).alias("d")).select("d.doc_ids", "d.lens")
     held = F.coalesce(F.crc32(F.col("doc_ids").cast("string").cast("binary")) % MODULUS == HELD, F.lit(False))
     tokens = pairs.where(~held).agg(F.sum(F.col("lens") + 1)).first()[0] or 0
-    words = blocks.mapInArrow(_word_counts, "word bigint, block bigint, place int, n bigint")
+    words = blocks.mapInArrow(_word_counts(shards(tokens)), "part bigint, block bigint, body binary")
     # Fewer than 1 / HOT_SHARE words can have more than that share of tokens.
     counts, _ = saved(
-        words.repartition("word").sortWithinPartitions("word").mapInArrow(
-            _corpus_counts(max(tokens * HOT_SHARE, MIN_COUNT)), "block bigint, place int, c bigint, owner boolean, hot bigint"
+        words.groupBy("part").applyInArrow(
+            _corpus_counts(max(tokens * HOT_SHARE, MIN_COUNT)),
+            "block bigint, part bigint, body binary, types bigint, hot array<bigint>",
         ),
         "lm-counts",
     )
-    types = counts.where("owner and c > 0").count()
-    hot = [r["hot"] for r in counts.where("hot is not null").select("hot").collect()]
+    types = counts.agg(F.sum("types")).first()[0] or 0
+    hot = [r["hot"] for r in counts.select(F.explode("hot").alias("hot")).collect()]
     hot = np.sort(np.array(hot, np.int64).view(np.uint64))
     hot_counts = np.zeros(len(hot) ** 2, np.int64)
     if len(hot):
@@ -357,7 +389,7 @@ def scores(docs: DataFrame) -> DataFrame:
         for r in found.toLocalIterator():
             hot_counts[r["pair"]] = r["n"]
     shared = spark.sparkContext.broadcast(Corpus(tokens, types, hot, hot_counts))
-    probes = blocks.groupBy("block").cogroup(counts.select("block", "place", "c").groupBy("block")).applyInArrow(
+    probes = blocks.groupBy("block").cogroup(counts.select("block", "part", "body").groupBy("block")).applyInArrow(
         _probes(shared), "shard bigint, block bigint, body binary"
     )
     answers = probes.groupBy("shard").applyInArrow(_answers, "block bigint, body binary")

@@ -73,6 +73,18 @@ def test_many_shards_and_blocks(spark, monkeypatch):
     check(lm.scores(frame), plain(docs, 2))
 
 
+def test_rare_words_are_modelled(spark, monkeypatch):
+    """Pairs of words with a few training tokens count as any other."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 4000)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 5000)
+    frame = table(spark, "/root/testdata/sf0.001", "documents").repartition(3)
+    docs = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
+    rows = check(lm.scores(frame), plain(docs, 0))
+    short = plain(docs, 50)
+    apart = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in apart) > sum(short[r["doc_id"]][5] for r in apart)
+
+
 def test_elias_fano_round_trip_and_search():
     rnd = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (1, 2**60), (50, 10), (1000, 2**40), (3000, 2**63)):
