@@ -22,8 +22,9 @@ one, which makes a run. So
 
 A hot passage therefore sends one row for each block and variant, whatever
 the number of its copies. The index is complete: every window of every
-document probes it, so factor ends lose nothing. Windows are compared by 96
-bits of hash.
+document probes it, so factor ends lose nothing. Windows that meet at an anchor
+are compared by 64 bits of hash of their own: the anchor's 64 bits are the same
+for all of them, however many a frequent phrase brings together.
 
 Defined cases: a null text has no words; a null id sorts last; rows with equal
 id and start are no source of each other; texts under ``window`` words have no
@@ -153,7 +154,7 @@ _RUN_SCHEMA = (
 
 
 def _shared_runs(window: int, anchor: int):
-    """Step 3: the block's runs of repeated anchors. ``marks`` (4 bytes a
+    """Step 3: the block's runs of repeated anchors. ``marks`` (8 bytes a
     window) are null in runs whose source is already known."""
 
     def run(key, block: pa.Table, known: pa.Table) -> pa.Table:
@@ -167,8 +168,7 @@ def _shared_runs(window: int, anchor: int):
             doc = np.searchsorted(offset, first, side="right") - 1
             start = first - offset[doc]
             ids = np.array([_LAST if d is None else d for d in doc_ids], np.int64)[doc] if len(doc) else first
-            marks32 = (whole ^ (whole >> np.uint64(32))).astype(np.uint32)
-            marks = [marks32[a : a + n].tobytes() for a, n in zip(first.tolist(), count.tolist())]
+            marks = [whole[a : a + n].tobytes() for a, n in zip(first.tolist(), count.tolist())]
             seen: dict[tuple[int, bytes], tuple[int, int]] = {}
             source, source_start = np.full(len(low), -1, np.int64), np.full(len(low), -1, np.int32)
             known_at = np.zeros(len(low), bool)
@@ -214,15 +214,14 @@ def _sources(batches):
         anchor, block, doc, start, ids, count = (
             t.column(c).to_numpy() for c in ("anchor", "block", "doc", "start", "doc_id", "count")
         )
-        mark = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint32).astype(np.uint64)
-        group = np.cumsum(np.r_[False, anchor[1:] != anchor[:-1]]).astype(np.uint64)
+        mark = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint64)
+        group = np.cumsum(np.r_[False, anchor[1:] != anchor[:-1]])
         row = np.repeat(np.arange(len(count)), count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         place = start[row].astype(np.int64) + step
-        identity = group[row] << np.uint64(32) | mark
-        order = np.argsort(identity, kind="stable")
-        sorted_identity = identity[order]
-        head = np.flatnonzero(np.r_[True, sorted_identity[1:] != sorted_identity[:-1]])
+        order = np.lexsort((mark, group[row]))
+        by_group, by_mark = group[row][order], mark[order]
+        head = np.flatnonzero(np.r_[True, (by_group[1:] != by_group[:-1]) | (by_mark[1:] != by_mark[:-1])])
         earliest = np.empty(len(row), np.int64)
         earliest[order] = np.repeat(order[head], np.diff(np.r_[head, len(row)]))
         source, source_start = ids[row][earliest], place[earliest]

@@ -81,6 +81,30 @@ def test_hash_helpers():
         assert all(len(v) == 1 for v in same.values()) and len({x for v in same.values() for x in v}) == len(same)
 
 
+def test_windows_of_a_hot_anchor_that_agree_in_32_bits(spark):
+    """One phrase in many surroundings: two windows whose hashes fold to the
+    same 32 bits are no copies, in one block or in two."""
+    rnd = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(1000)]
+    of = rlz.hashed([w.encode() for w in words])
+    phrases = rnd.integers(0, 1000, (20_000, 10))
+    phrase = phrases[np.argmin([rlz.rolled(of[p], 10)[0] for p in phrases])]
+    picked = np.concatenate([np.tile(phrase, (300_000, 1)), rnd.integers(0, 1000, (300_000, 10))], axis=1)
+    whole, low = rlz.rolled(of[picked].ravel(), 20)[::20], rlz.least(rlz.rolled(of[picked].ravel(), 10), 11)[::20]
+    at = np.flatnonzero(low == rlz.rolled(of[phrase], 10)[0])
+    folded = (whole ^ (whole >> np.uint64(32))).astype(np.uint32)[at]
+    order = np.argsort(folded, kind="stable")
+    twin = np.flatnonzero(np.diff(folded[order]) == 0)
+    docs = []
+    for i in twin:
+        for k in (at[order[i]], at[order[i + 1]]):
+            docs.append((len(docs), " ".join(words[w] for w in picked[k])))
+    assert docs
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for parts in (1, 2 * len(docs)):
+        assert got(rlz.deduplicated(frame.repartitionByRange(parts, "doc_id"))) == plain(docs)
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     frame = odd_documents.withColumnRenamed("rate", "block")
     want = plain([(r["doc_id"], r["text"]) for r in odd_documents.collect()])
