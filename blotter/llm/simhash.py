@@ -44,8 +44,10 @@ SEED = 42
 #: what the search costs, never what it finds.
 FIT_ROWS = 2000
 
-#: Blocks into which a hot value is dealt; each two blocks are one task.
+#: Blocks into which a hot value is dealt, doubled until a block has no more
+#: than ``BLOCK_ROWS`` of its entries; each two blocks are one group.
 BLOCKS = 16
+BLOCK_ROWS = 100_000
 
 _PART_SHIFT = 48  # a partition's number above its (at most 48) bits
 
@@ -233,6 +235,24 @@ def _links(distance: int, small: int = 64):
     return run
 
 
+def dealt(entries: DataFrame) -> DataFrame:
+    """Entries of hot values under a key for each two of the value's blocks,
+    whose number follows the counted entries."""
+    blocks, larger = F.lit(BLOCKS), {}
+    for r in entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).collect():
+        n = BLOCKS
+        while n * BLOCK_ROWS < r["n"]:
+            n *= 2
+        if n > BLOCKS:
+            larger.setdefault(n, []).append(r["key"])
+    for n, keys in larger.items():
+        blocks = F.when(F.col("key").isin(keys), F.lit(n)).otherwise(blocks)
+    block = F.pmod(F.xxhash64("fp"), blocks)
+    other = F.explode(F.sequence(F.lit(0), blocks - 1).cast("array<bigint>"))
+    pair = F.xxhash64("key", F.least("b", "o"), F.greatest("b", "o"))
+    return entries.withColumn("b", block).withColumn("o", other).select(pair.alias("key"), "fp", "own")
+
+
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``u, v``: links between distinct fingerprints (column ``fp``), enough
     to connect all that all links connect."""
@@ -243,11 +263,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     hot = hot_values(own, "key")
     entries = fps.select("fp").mapInArrow(_entries(plan), "key bigint, fp bigint, own boolean")
     if hot:
-        block = F.pmod(F.xxhash64("fp"), F.lit(BLOCKS))
-        other = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)).cast("array<bigint>"))
-        dealt = entries.where(F.col("key").isin(hot)).withColumn("b", block).withColumn("o", other)
-        pair = F.xxhash64("key", F.least("b", "o"), F.greatest("b", "o"))
-        entries = entries.where(~F.col("key").isin(hot)).union(dealt.select(pair, "fp", "own"))
+        entries = entries.where(~F.col("key").isin(hot)).union(dealt(entries.where(F.col("key").isin(hot))))
     sorted_entries = entries.repartition("key").sortWithinPartitions("key", F.col("own").desc())
     return sorted_entries.mapInArrow(_links(distance), "u bigint, v bigint")
 

@@ -135,6 +135,17 @@ def test_hot_values_are_dealt_and_lose_nothing(spark, monkeypatch):
     assert got == plain_groups(values)
 
 
+def test_blocks_follow_the_size_of_a_hot_value(spark, monkeypatch):
+    monkeypatch.setattr("blotter.llm.common.HOT_ROWS", 20)
+    monkeypatch.setattr(simhash, "BLOCKS", 2)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 50)
+    entries = spark.range(2010).selectExpr("if(id < 2000, 7, 8) as key", "id as fp", "true as own")
+    assert max(r["count"] for r in simhash.dealt(entries).groupBy("key").count().collect()) < 200
+    values = dense(150, 6)
+    got, _ = linked(spark, values)
+    assert got == plain_groups(values)
+
+
 def test_every_plan_finds_all(spark):
     values = dense(60, 3)
     sample = np.array([signed(v) for v in values], np.int64)
