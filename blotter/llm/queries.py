@@ -5,7 +5,9 @@ Each applies its operator with production parameters to its whole table.
 
 from __future__ import annotations
 
-from blotter.llm import decontaminate, html, lm, mixing, packing, quality, rlz, secrets, simhash, toxicity
+from blotter.llm import (
+    decontaminate, html, lm, mixing, packing, quality, rlz, secrets, simhash, spelling, sql, toxicity, trie, urls,
+)
 from blotter.llm.common import table
 
 
@@ -53,6 +55,18 @@ def op10_html_extraction(spark, sf_dir):
     return html.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(_docs(spark, sf_dir))
+
+
+def op12_conversation_trie(spark, sf_dir):
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_url_filters(spark, sf_dir):
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_lm_scoring": op2_lm_scoring,
@@ -64,6 +78,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_url_filters": op13_url_filters,
 }
 
 _SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -153,4 +170,6 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
 
-ORACLE_SQL = {"op5_source_mixing": _MIX, "op6_substring_dedup": _DEDUP, "op8_decontamination": _LEAKS}
+ORACLE_SQL = {
+    "op5_source_mixing": _MIX, "op6_substring_dedup": _DEDUP, "op8_decontamination": _LEAKS, **sql.ORACLE_SQL,
+}
