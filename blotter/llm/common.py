@@ -46,6 +46,22 @@ def saved(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The caller's columns as one struct ``row``, so that no column an operator
+    adds can clash with them; ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row"))
+
+
+def row_text(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts of :func:`whole_rows` as UTF-8 bytes; null is the empty text."""
+    return [b or b"" for b in batch.column("row").field("text").cast(pa.binary()).to_pylist()]
+
+
 def dropped(spark: SparkSession, *paths: str) -> None:
     """Remove tables of :func:`saved` that nothing reads any more."""
     for path in paths:

@@ -86,7 +86,12 @@ QUERIES = {
 _SIZE = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 _MIX = rf"""
-WITH docs AS (SELECT doc_id, source, {_SIZE}::BIGINT AS size FROM documents),
+WITH docs AS (
+    SELECT doc_id, source, size, named,
+           row_number() OVER (PARTITION BY named, source) - 1 AS number
+    FROM (SELECT doc_id, source, {_SIZE}::BIGINT AS size,
+                 coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS named FROM documents)
+),
 found AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 placed AS (
     SELECT source, source_size, 3 * source_size AS bound,
@@ -106,13 +111,13 @@ levels AS (
 ),
 chosen AS (SELECT arg_min(level, weights) AS level FROM levels WHERE next_at IS NULL OR level < next_at),
 mixed AS (
-    SELECT d.doc_id, d.size, p.source_size, least(c.level * p.weight, p.bound::DOUBLE) AS target
+    SELECT d.doc_id, d.named, d.number, d.size, p.source_size, least(c.level * p.weight, p.bound::DOUBLE) AS target
     FROM docs d JOIN placed p ON d.source IS NOT DISTINCT FROM p.source, chosen c
 ),
 rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM mixed)
 SELECT doc_id, size, source_size, target,
        (floor(rate)::BIGINT + CASE WHEN
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':42'), 1, 12))::BIGINT / 281474976710656.0
+           ('0x' || substr(md5(named || ':' || number || ':42'), 1, 12))::BIGINT / 281474976710656.0
            < rate - floor(rate) THEN 1 ELSE 0 END) * size AS taken
 FROM rates
 """

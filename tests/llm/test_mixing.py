@@ -60,3 +60,29 @@ def test_copies_odd_rows_and_columns(spark, odd_documents, no_documents):
     assert frame.columns == odd_documents.columns
     assert sorted(str(r["doc_id"]) for r in frame.collect()) == [d for d, _ in copies]
     assert rows_of(mixing.mix(no_documents)) == [] and rows_of(mixing.repeated(no_documents)) == []
+
+
+def test_null_and_repeated_ids_draw_row_by_row(spark):
+    """Rows without an id, and rows equal in all, come near their target too."""
+    import duckdb
+
+    texts = [" ".join(f"w{i}" for i in range(10))] * 300
+    rows = [(None, f"{t} {i}", "a") for i, t in enumerate(texts)] + [(7, texts[0], "b")] * 400 + [(None, None, "b")] * 5
+    rows += [(i, texts[0] * 3, "c") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    got = rows_of(mixing.mix(docs))
+    by = {}
+    for r in got:
+        by.setdefault(r["target"], []).append(r["taken"])
+        assert r["taken"] <= 3 * r["size"]
+    assert len(got) == len(rows) and len(by) == 3
+    assert all(abs(sum(taken) - target) < 0.12 * target for target, taken in by.items())
+    assert mixing.repeated(docs).count() == sum(r["copies"] for r in got)
+    # Another layout gives the same rows, and so does the SQL.
+    key = lambda r: tuple(str(v) for v in r)
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    again = sorted((tuple(r[c] for c in columns) for r in rows_of(mixing.mix(docs.repartition(3)))), key=key)
+    assert again == sorted((tuple(r[c] for c in columns) for r in got), key=key)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    assert again == sorted(con.execute(ORACLE_SQL["op5_source_mixing"]).fetchall(), key=key)
