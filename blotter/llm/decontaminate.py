@@ -16,7 +16,7 @@ per document.
 Defined cases: null texts have no words; items without words are ignored;
 items that repeat an id are one item in the counts; an empty benchmark leaves
 every document clean; an empty table gives an empty result; other columns are
-ignored by :func:`hits` and carried by :func:`cleaned`.
+ignored by :func:`hits` and carried by :func:`cleaned`, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blotter.llm.common import saved, slices, text_bytes
+from blotter.llm.common import row_text, saved, slices, whole_rows
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -205,64 +206,62 @@ def _automaton(block, number: int, window: int) -> Automaton:
     return _BUILT[number, window]
 
 
-_FOUND = "_dc_words bigint, _dc_spans array<struct<a:int,b:int>>, _dc_items array<string>"
+_FOUND = "words bigint, spans array<struct<a:int,b:int>>, items array<string>"
 _SPAN_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def _pass(docs: DataFrame, block, number: int, window: int) -> DataFrame:
-    """``docs`` with the words, spans and items found so far and in ``block``."""
-    again = "_dc_words" in docs.columns
-    plain = [c for c in docs.columns if not c.startswith("_dc_")]
+def _pass(rows: DataFrame, block, number: int, window: int) -> DataFrame:
+    """``row`` with the words, spans and items found so far and in ``block``."""
+    again = "words" in rows.columns
 
     def run(batches):
         automaton = _automaton(block, number, window) if block is not None else None
         for b in slices(batches):
             n, spans, items = [], [], []
-            before = zip(b.column("_dc_spans").to_pylist(), b.column("_dc_items").to_pylist()) if again else repeat(([], []))
-            for text, (had, held) in zip(text_bytes(b), before):
+            before = zip(b.column("spans").to_pylist(), b.column("items").to_pylist()) if again else repeat(([], []))
+            for text, (had, held) in zip(row_text(b), before):
                 words = normal_words(text)
                 hit, found = automaton.match(words) if automaton else ([], set())
                 n.append(len(words))
                 spans.append([{"a": x, "b": y} for x, y in merged([*hit, *((h["a"], h["b"]) for h in had)])])
                 items.append(sorted(found.union(held)))
             more = [pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in plain], *more], [*plain, "_dc_words", "_dc_spans", "_dc_items"]
-            )
+            yield pa.RecordBatch.from_arrays([b.column("row"), *more], ["row", "words", "spans", "items"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in plain)
-    return docs.mapInArrow(run, f"{fields}, {_FOUND}")
+    found = T.StructType.fromDDL(_FOUND)
+    return rows.select("row", *(["spans", "items"] if again else [])).mapInArrow(
+        run, T.StructType([rows.schema["row"], *found])
+    )
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with ``_dc_words`` (how many), ``_dc_spans`` (hit words, start
-    and end) and ``_dc_items`` (ids of the items found). One pass a block;
-    passes after the first read what the one before has written."""
+    """``row`` (the columns of ``docs``) with ``words`` (how many), ``spans`` (hit
+    words, start and end) and ``items`` (ids of the items found). One pass a
+    block; passes after the first read what the one before has written."""
     sc = docs.sparkSession.sparkContext
-    docs = docs.withColumn("text", F.col("text").cast("string"))
+    rows = whole_rows(docs.withColumn("text", F.col("text").cast("string")))
     out = None
     for block in blocks(benchmark, window, block_words):
         if out is not None:
             out, _ = saved(out, "decontaminate")
         shared = sc.broadcast(block)
-        out = _pass(docs if out is None else out, shared, shared._jbroadcast.id(), window)
-    return _pass(docs, None, 0, window) if out is None else out
+        out = _pass(rows if out is None else out, shared, shared._jbroadcast.id(), window)
+    return _pass(rows, None, 0, window) if out is None else out
 
 
-def _span_words(limit: int):
-    longer = F.filter("_dc_spans", lambda s: s["b"] - s["a"] >= F.lit(limit))
-    return longer, F.aggregate(longer, F.lit(0).cast("bigint"), lambda n, s: n + (s["b"] - s["a"]).cast("bigint"))
+def _span_words():
+    return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + (s["b"] - s["a"]).cast("bigint"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans``."""
     found = matched(docs.select("doc_id", "text"), benchmark, window, block_words)
-    _, n_hit = _span_words(0)
+    n_hit = _span_words()
     return found.select(
-        "doc_id", F.col("_dc_words").alias("n_words"), n_hit.alias("n_hit"),
-        F.size("_dc_items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_dc_items"), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"), F.col("_dc_spans").alias("spans"),
+        "row.doc_id", F.col("words").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"), "spans",
     )
 
 
@@ -287,25 +286,25 @@ def cleaned(
     short items too). A document with more than ``max_coverage`` of its words
     in such spans goes. ``n_chars`` follows the text; clean rows stay as they
     are."""
-    columns = docs.columns
     found = matched(docs, benchmark, window, block_words)
-    _, n_hit = _span_words(0)
-    left = found.where(n_hit <= F.lit(max_coverage) * F.col("_dc_words"))
+    left = found.where(_span_words() <= F.lit(max_coverage) * F.col("words"))
 
     def run(batches):
         for b in slices(batches):
-            spans = b.column("_dc_spans").to_pylist()
-            texts = b.column("text").to_pylist()
-            for i, s in enumerate(spans):
-                if s:
-                    texts[i] = without(texts[i].encode(), [(x["a"], x["b"]) for x in s]).decode()
-            put = {c: b.column(c) for c in columns} | {"text": pa.array(texts, pa.string())}
-            changed = pa.array([bool(s) for s in spans])
-            yield pa.RecordBatch.from_arrays([*put.values(), changed], [*columns, "_dc_cut"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema if f.name in columns)
-    cut = left.mapInArrow(run, f"{fields}, _dc_cut boolean")
-    if "n_chars" in columns:
-        kind = cut.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("_dc_cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*columns)
+            row, spans = b.column("row"), b.column("spans").to_pylist()
+            if any(spans):
+                columns = {f.name: row.field(i) for i, f in enumerate(row.type)}
+                texts = columns["text"].to_pylist()
+                sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else []
+                for i, s in enumerate(spans):
+                    if s:
+                        texts[i] = without(texts[i].encode(), [(x["a"], x["b"]) for x in s]).decode()
+                        if sizes:
+                            sizes[i] = len(texts[i])
+                columns["text"] = pa.array(texts, columns["text"].type)
+                if sizes:
+                    columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+                row = pa.StructArray.from_arrays(list(columns.values()), fields=list(row.type))
+            yield pa.RecordBatch.from_arrays([row], ["row"])
+
+    return left.mapInArrow(run, T.StructType([left.schema["row"]])).select("row.*")

@@ -205,9 +205,13 @@ def train(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, max_held
     for q in (0, 1):
         chosen = chosen.union(rest.where(F.col("_quality") == q).orderBy(key, "_id").limit(max_each).withColumn("_held", F.lit(False)))
     # At most two times max_each rows and max_held: small enough to broadcast.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).where("text is not null")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    # One text of each id, however many rows repeat it.
+    one = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_quality", "_held").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")
+    )
     learn, check = [], []
-    for r in texts.select(F.col("text").cast("string"), "_quality", "_held").toLocalIterator():
+    for r in one.toLocalIterator():
         (check if r["_held"] else learn).append((r["text"].encode(), r["_quality"] == 1))
     return fit(learn, check)
 

@@ -19,7 +19,8 @@ over blocks, and every two blocks are compared in a task of their own.
 
 Defined cases: a null or empty text has fingerprint zero and links like any
 other; a null ``doc_id`` never names a component with other ids in it; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored, and carried by
+:func:`first_of_each` whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import hot_values, salted_join, saved, slices, text_bytes, whole_groups
+from blotter.llm.common import hot_values, salted_join, saved, slices, text_bytes, whole_groups, whole_rows
 from blotter.llm.components import components
 
 SHINGLE = 4
@@ -70,15 +71,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long)."""
+    """``doc_id, text_hash, fp`` (the fingerprint as a signed long)."""
 
     def run(batches):
         for b in slices(batches):
             fp = [fingerprint(t, shingle) for t in text_bytes(b)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fp, pa.int64())], ["doc_id", "text_hash", "fp"])
 
-    ids = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return ids.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col("text").cast("string")
+    ids = docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return ids.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 # --- partitions and thresholds ------------------------------------------------
@@ -268,31 +270,51 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return sorted_entries.mapInArrow(_links(distance), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for each row; ``component_id`` is
-    the smallest ``doc_id`` that links reach."""
+def _rooted(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of the rows, and ``fp, least, root`` of each distinct one:
+    its smallest ``doc_id`` and the fingerprint that names its component."""
     prints, _ = saved(fingerprints(docs, shingle), "simhash-fp")
     entries, _ = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(entries, distance))
     rooted = entries.join(roots, entries["fp"] == roots["u"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+    return prints, rooted
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for each row; ``component_id`` is
+    the smallest ``doc_id`` that links reach."""
+    prints, rooted = _rooted(docs, shingle, distance)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named, _ = saved(
         salted_join(rooted.select("fp", "root"), names, "root", F.col("fp")).select("fp", "component_id"), "simhash-names"
     )
-    joined = salted_join(prints, named, "fp", F.col("doc_id"))
+    joined = salted_join(prints, named, "fp", F.monotonically_increasing_id())
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return joined.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def first_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest
-    ``doc_id``. Rows that repeat both id and text are one document. A row
-    without an id cannot be named by a component and is kept as it is."""
-    found = near_duplicates(docs, shingle, distance)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    kept = named.join(stays, named["doc_id"].cast("bigint") == stays["_id"], "left_semi")
-    once = kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row of each component, same columns: that of its smallest
+    ``doc_id`` (nulls last; rows that repeat an id, by a hash of the text)."""
+    prints, rooted = _rooted(docs, shingle, distance)
+    # One row of each distinct fingerprint first, so a fingerprint that a third
+    # of all rows have is a row for each map task.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
+    each = prints.groupBy("fp").agg(first.alias("first"))
+    stays, _ = saved(
+        each.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first")).select(
+            F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")
+        ),
+        "simhash-stays",
+    )
+    keyed = whole_rows(docs).select(
+        "row", F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("row.text").cast("string")).alias("text_hash")
+    )
+    kept = keyed.join(stays, keyed["doc_id"].eqNullSafe(stays["id"]) & (keyed["text_hash"] == stays["hash"]), "left_semi")
+    # Only rows that repeat id and text are brought together.
+    repeats = prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeats.limit(1).count():
+        return kept.select("row.*")
+    return kept.groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row.*")

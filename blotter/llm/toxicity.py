@@ -21,7 +21,9 @@ its distinct words.
 Defined cases: a null or empty text has no features and scores at the base
 rate; labels with null parts are ignored, a document labelled twice is toxic
 if any label says so; without labelled texts of both kinds nothing is toxic
-(severity 0); an empty table gives an empty result.
+(severity 0); an empty table gives an empty result; other columns are carried
+by :func:`without_toxic`, whatever their names. A labelled id that several rows
+have is learnt from one of their texts (the one with the smallest hash).
 """
 
 from __future__ import annotations
@@ -33,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blotter.llm.common import slices, text_bytes
+from blotter.llm.common import row_text, slices, whole_rows
 
 MAX_TOXIC = 3000
 MAX_CLEAN = 5000
@@ -211,10 +214,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOX
         known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         for t, n in ((1, max_toxic), (0, max_clean))
     ]
-    ids = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
-    return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select(
-        F.col("text").cast("string").alias("text"), F.col("_toxic").alias("toxic")
-    ).where("text is not null")
+    ids = chosen[0].union(chosen[1])
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    # One text of each id, however many rows repeat it.
+    one = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
@@ -225,32 +229,31 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``_severity`` and ``_probability`` (of grade 1 or more)."""
+    """``row`` (the columns of ``docs``), ``severity`` and ``probability`` (of
+    grade 1 or more)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
+    rows = whole_rows(docs.withColumn("text", F.col("text").cast("string")))
 
     def run(batches):
         m = shared.value
         for b in slices(batches):
-            above = m.above(np.array([m.logit(t) for t in text_bytes(b)], float)) if m.thresholds else np.zeros((b.num_rows, 1))
+            above = m.above(np.array([m.logit(t) for t in row_text(b)], float)) if m.thresholds else np.zeros((b.num_rows, 1))
             more = [pa.array(above.sum(axis=1)), pa.array(above[:, 0])]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*columns, "_severity", "_probability"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), *more], ["row", "severity", "probability"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, _severity double, _probability double")
+    return rows.mapInArrow(run, T.StructType([*rows.schema]).add("severity", "double").add("probability", "double"))
 
 
 def severity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, expected_severity, probability, grade, rejected`` of each row."""
-    found = scored(docs.select("doc_id", F.col("text").cast("string").alias("text")), train(docs, labels))
+    found = scored(docs.select("doc_id", "text"), train(docs, labels))
     return found.select(
-        "doc_id", F.col("_severity").alias("expected_severity"), F.col("_probability").alias("probability"),
-        F.round("_severity").cast("int").alias("grade"),
-        (F.col("_probability") >= MIN_PROBABILITY).alias("rejected"),
+        "row.doc_id", F.col("severity").alias("expected_severity"), "probability",
+        F.round("severity").cast("int").alias("grade"),
+        (F.col("probability") >= MIN_PROBABILITY).alias("rejected"),
     )
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected rows, same columns."""
-    found = scored(docs, train(docs, labels))
-    return found.where(F.col("_probability") < MIN_PROBABILITY).select(*docs.columns)
+    return scored(docs, train(docs, labels)).where(F.col("probability") < MIN_PROBABILITY).select("row.*")
