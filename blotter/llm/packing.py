@@ -63,32 +63,9 @@ def encoder(vocabulary: str = VOCABULARY):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Pieces(dict):
-    """Token ids (bytes) of a word with the space before it, remembered.
-
-    The vocabulary's pattern never joins a space that stands alone to what is
-    before it, so the pieces of a text between single spaces are encoded on
-    their own."""
-
-    LIMIT = 300_000
-
-    def __init__(self, vocabulary: str):
-        self.encode = encoder(vocabulary).encode_ordinary
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        out = self[piece] = self.ids(" " + piece)
-        return out
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
-
-    def text(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
-        if any(not p or p[0].isspace() for p in rest) or first[-1:].isspace():
-            return np.frombuffer(self.ids(text), "<u4")
-        return np.frombuffer(b"".join([self.ids(first), *map(self.__getitem__, rest)]), "<u4")
+def token_ids(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
+    """The whole text as ordinary text, as uint32."""
+    return encoder(vocabulary).encode_to_numpy(text, disallowed_special=())
 
 
 class FreeSpace:
@@ -173,7 +150,6 @@ def packed(
     ])
 
     def run(batches):
-        encode = Pieces(vocabulary).text
         done = TaskContext.get().partitionId() << 33
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
@@ -191,7 +167,7 @@ def packed(
         held = 0
         for b in slices(batches):
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                found = np.append(encode(text or ""), np.uint32(end))
+                found = np.append(token_ids(text or "", vocabulary), np.uint32(end))
                 ids.append(doc), tokens.append(found)
                 held += len(found)
                 if held >= batch_tokens:

@@ -58,3 +58,20 @@ def test_best_fit_decreasing_against_a_plain_search():
         rows = packing.best_fit_decreasing(lengths, capacity)
         assert sorted(i for r in rows for i in r) == list(range(len(lengths)))
         assert sorted(capacity - sum(lengths[i] for i in r) for r in rows) == sorted(free)
+
+
+def test_null_and_repeated_ids_lose_no_token(spark):
+    texts = [None, "", "one two", "one two", "ünï " * 40]
+    rows = [(None, t) for t in texts] + [(3, t) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    encode = packing.encoder()
+    found = []
+    for r in packing.packed(docs, row_tokens=16).collect():
+        ids = np.frombuffer(r["input_ids"], "<u2")
+        for doc, k, a, b in zip(r["doc_ids"], r["pieces"], r["cu_seqlens"], r["cu_seqlens"][1:]):
+            found.append((doc, k, ids[a:b].tolist()))
+    want = []
+    for doc, text in rows:
+        ids = [*encode.encode_ordinary(text or ""), packing.END]
+        want += [(doc, k, ids[i : i + 16]) for k, i in enumerate(range(0, len(ids), 16))]
+    assert sorted(found, key=str) == sorted(want, key=str)
