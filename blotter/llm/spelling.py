@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import dropped, saved, slices, whole_groups
+from blotter.llm.common import dropped, saved, slices, text_bytes, whole_groups
 
 #: Fixed values of the contract.
 RUN = re.compile("[a-zÀ-ÿ]+")
@@ -62,7 +62,6 @@ PAIRS = 1 << 17
 HELD_WORDS = 400_000
 
 DIMENSIONS = 32
-_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 #: The dimension of each letter, by its (Latin-1) code point.
 _DIMENSION = np.array([(c - 97) if 97 <= c < 123 else 26 + c % (DIMENSIONS - 26) for c in range(256)])
 
@@ -84,7 +83,7 @@ def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
     word that a third of all places hold is a few rows."""
 
     def run(batches):
-        held: Counter[str] = Counter()
+        held: dict[str, int] = {}
 
         def out():
             names, n = list(held), list(held.values())
@@ -95,14 +94,19 @@ def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
                 )
 
         for b in slices(batches):
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                start = zlib.crc32(f"{'' if doc is None else doc}:".encode())
-                for word, n in Counter(RUN.findall((text or "").translate(_LOWER))).items():
+            for doc, text in zip(b.column("doc_id").to_pylist(), text_bytes(b)):
+                doc = "" if doc is None else doc
+                start = zlib.crc32(f"{doc}:".encode())
+                # Of bytes, lower() changes A to Z only.
+                for word, n in Counter(RUN.findall(text.lower().decode())).items():
+                    if len(word) < min_letters:
+                        continue
                     # A run's damage depends on the document and the run alone.
                     if zlib.crc32(word.encode(), start) % DAMAGE == 0:
-                        word = damaged("" if doc is None else str(doc), word)
-                    if len(word) >= min_letters:
-                        held[word] += n
+                        word = damaged(doc, word)
+                        if len(word) < min_letters:
+                            continue
+                    held[word] = held.get(word, 0) + n
                 if len(held) >= HELD_WORDS:
                     yield from out()
         yield from out()
@@ -180,8 +184,10 @@ def cells(words: DataFrame, cell_words: int = CELL_WORDS, fit_words: int = FIT_W
     large = {r["len"]: r["n"] for r in sizes.collect()}
     if not large:
         return {}
-    # The smallest hashes: a bounded sample, the same in every run.
-    some = words.where(F.length("word").isin(list(large))).orderBy(F.xxhash64("word"), "word").limit(fit_words)
+    # About fit_words words, drawn by their hash: the same ones in every run.
+    share = min(1.0, fit_words / sum(large.values()))
+    drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    some = words.where(F.length("word").isin(list(large)) & drawn)
     by_length: dict[int, list[bytes]] = {}
     for r in some.select("word").collect():
         by_length.setdefault(len(r["word"]), []).append(r["word"].encode("latin-1"))
@@ -194,42 +200,53 @@ def cells(words: DataFrame, cell_words: int = CELL_WORDS, fit_words: int = FIT_W
 # --- search in a cell -----------------------------------------------------------
 
 
+def signatures(points: np.ndarray) -> np.ndarray:
+    """Counts up to two as bits (one or more; two or more) of 64-bit numbers:
+    differing bits are the L1 distance of the counts stopped at two, which is
+    never above that of the counts."""
+    bits = np.concatenate([points >= 1, points >= 2], axis=1)
+    return np.packbits(bits, axis=1).view(np.uint64).ravel()
+
+
 class Tree:
-    """A k-d tree over points: nodes halve the dimension with the widest spread
-    and know their bounding boxes."""
+    """A k-d tree over points: nodes divide at the plane of a letter's count that
+    halves them best, and know their bounding boxes. A box is the bits that all
+    its points have (``least``) and that any has (``most``)."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, self.order = points, np.arange(len(points))
-        self.nodes: list[tuple[int, int, np.ndarray, np.ndarray, int]] = []
+        self.points = signatures(points)
+        self.order = np.arange(len(points))
+        #: Begin, end, least, most, and the second child (-1: a leaf); the first
+        #: child is the next node.
+        self.nodes: list[tuple[int, int, np.uint64, np.uint64, int]] = []
         todo = [(0, len(points), -1)]
         while todo:
             a, b, parent = todo.pop()
-            part = points[self.order[a:b]]
-            low, high = part.min(axis=0), part.max(axis=0)
+            part = self.points[self.order[a:b]]
             number = len(self.nodes)
-            self.nodes.append((a, b, low, high, -1))
+            self.nodes.append((a, b, np.bitwise_and.reduce(part), np.bitwise_or.reduce(part), -1))
             if parent >= 0:
-                p = self.nodes[parent]
-                # The second child is pushed first, so the first child is the next node.
-                self.nodes[parent] = (*p[:4], number)
-            if b - a > leaf and (high > low).any():
-                spread = part.astype(np.float32).var(axis=0)
-                d = int(np.argmax(spread))
-                middle = (a + b) // 2
-                self.order[a:b] = self.order[a:b][np.argsort(part[:, d], kind="stable")]
-                todo.append((middle, b, number))
-                todo.append((a, middle, -1))
-
-    def near(self, queries: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                self.nodes[parent] = (*self.nodes[parent][:4], number)
+            if b - a > leaf:
+                bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)
+                here = bits[:, np.argmin(np.abs(2 * bits.sum(axis=0, dtype=np.int64) - len(part)))].astype(bool)
+                if here.any() and not here.all():
+                    mine = self.order[a:b]
+                    middle = a + int((~here).sum())
+                    self.order[a:b] = np.concatenate([mine[~here], mine[here]])
+                    todo.append((middle, b, number))
+                    todo.append((a, middle, -1))
+
+    def near(self, points: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(query, point)`` places with an L1 distance of at most ``reach``."""
+        queries = signatures(points)
         todo = [(0, np.arange(len(queries)))]
         while todo:
             number, at = todo.pop()
-            a, b, low, high, second = self.nodes[number]
+            a, b, least, most, second = self.nodes[number]
             q = queries[at]
-            # Unsigned: the excess over one side is zero on the other.
-            off = (np.maximum(q, high) - high).sum(axis=1, dtype=np.int32) + (low - np.minimum(q, low)).sum(axis=1, dtype=np.int32)
-            at = at[off <= reach]
+            # Bits that a point of the box has too few or too many of.
+            at = at[np.bitwise_count((least & ~q) | (q & ~most)) <= reach]
             if not len(at):
                 continue
             if second >= 0:
@@ -237,54 +254,57 @@ class Tree:
                 todo.append((number + 1, at))
                 continue
             mine = self.order[a:b]
-            step = max(1, PAIRS // len(mine))
-            for i in range(0, len(at), step):
-                some = at[i : i + step]
-                for j in range(0, len(mine), PAIRS):
-                    these = mine[j : j + PAIRS]
-                    x, y = queries[some][:, None, :], self.points[these][None, :, :]
-                    apart = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=2, dtype=np.uint16)
+            for j in range(0, len(mine), PAIRS):
+                these = mine[j : j + PAIRS]
+                step = max(1, PAIRS // len(these))
+                for i in range(0, len(at), step):
+                    some = at[i : i + step]
+                    apart = np.bitwise_count(queries[some][:, None] ^ self.points[these][None, :])
                     one, two = np.nonzero(apart <= reach)
                     yield some[one], these[two]
 
 
-def one_replaced(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Which two words of one length differ in exactly one letter."""
-    x, y = (np.frombuffer(b"".join(w), np.uint8).reshape(len(w), -1) for w in (a, b))
+def letters(words: list[bytes]) -> np.ndarray:
+    """Words of one length as rows of letters."""
+    return np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
+
+
+def one_replaced(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of equal length differ in exactly one letter."""
     return (x != y).sum(axis=1) == 1
 
 
-def one_inserted(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Which words of ``b``, one letter longer, are words of ``a`` with a letter
-    put in: equal from both ends over the whole shorter word."""
-    x, y = (np.frombuffer(b"".join(w), np.uint8).reshape(len(w), -1) for w in (a, b))
+def one_inserted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of ``y``, one letter longer, are rows of ``x`` with a letter put
+    in: equal from both ends over the whole shorter word."""
     front = np.logical_and.accumulate(x == y[:, :-1], axis=1).sum(axis=1)
     back = np.logical_and.accumulate((x == y[:, 1:])[:, ::-1], axis=1).sum(axis=1)
     return front + back >= x.shape[1]
 
 
-def _search(own: list[bytes], guests: list[bytes], among_own: bool, length: int):
-    """Pairs between the cell's ``own`` words (of ``length``) and ``guests`` (of
+def search(own: list[bytes], guests: list[bytes], among_own: bool) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs between the cell's ``own`` words (of one length) and ``guests`` (of
     the same length, or one letter shorter); ``among_own``: and of its own."""
-    tree = Tree(letter_counts(own))
+    length = len(own[0])
+    tree, mine = Tree(letter_counts(own)), letters(own)
     kinds = [(own, True)] if among_own else []
     by_length: dict[int, list[bytes]] = {}
     for g in guests:
         by_length.setdefault(len(g), []).append(g)
     kinds += [(found, False) for found in by_length.values()]
+    # As many pairs at a time as the words' letters allow.
+    step = max(1, PAIRS * DIMENSIONS // length)
     for queries, among in kinds:
         equal = len(queries[0]) == length
+        theirs = letters(queries)
         for q, p in tree.near(letter_counts(queries), 2 if equal else 1):
             if among:
                 q, p = q[q < p], p[q < p]
-            # As many pairs at a time as the words' letters allow.
-            step = max(1, (PAIRS * DIMENSIONS) // length)
             for i in range(0, len(q), step):
-                a = [queries[k] for k in q[i : i + step].tolist()]
-                b = [own[k] for k in p[i : i + step].tolist()]
-                ok = one_replaced(a, b) if equal else one_inserted(a, b)
-                for k in np.flatnonzero(ok).tolist():
-                    yield a[k], b[k]
+                one, two = q[i : i + step], p[i : i + step]
+                ok = (one_replaced if equal else one_inserted)(theirs[one], mine[two])
+                for j, k in zip(one[ok].tolist(), two[ok].tolist()):
+                    yield queries[j], own[k]
 
 
 def visits(words: DataFrame, planes: dict[int, tuple[Planes, int]]) -> DataFrame:
@@ -386,7 +406,7 @@ def near_pairs(words: DataFrame, cell_words: int = CELL_WORDS, block_words: int
                 n = dict(zip(words_, part.column("n").to_pylist()))
                 mine = [w for w, o in zip(words_, own) if o]
                 guests = [w for w, o in zip(words_, own) if not o]
-                for a, b in _search(mine, guests, part.column("among")[0].as_py(), len(mine[0])):
+                for a, b in search(mine, guests, part.column("among")[0].as_py()):
                     found.append((a.decode("latin-1"), n[a], b.decode("latin-1"), n[b]))
                     if len(found) >= 1 << 15:
                         yield from out()
