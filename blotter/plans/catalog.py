@@ -14,9 +14,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.operators import dirty_row_filter, key_faults, order_faults, range_sort, secondary_sort, split_points
+from blotter.operators import (
+    Counters,
+    bottom_k,
+    dirty_row_filter,
+    key_faults,
+    natural_key_sort,
+    order_faults,
+    partition_by_points,
+    partition_sizes,
+    points_at,
+    range_sort,
+    sample_points,
+    secondary_sort,
+    split_points,
+)
+from blotter.functions import to_bigint
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
+from blotter.session import kept_path
 from blotter.sinks import record_line
 from blotter.sources import read_codes, read_incidents, tpch
 
@@ -51,6 +67,11 @@ def _lines(spark: SparkSession, sf: str, extract: str = "extract") -> list[str]:
     return [_text(spark, sf)[extract], tpch.prepare_damaged(spark, sf)]
 
 
+def _extract_and_cut(spark: SparkSession, sf: str) -> list[str]:
+    """The extract, and a file with its header whose lines are cut off or blank."""
+    return [_text(spark, sf)["extract"], tpch.text_file(spark, sf, "cut")]
+
+
 def _line_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Clean counts per (code, district) from the raw extract lines."""
     return TP.line_code_counts(spark, _lines(spark, sf, "extract_nodesc"))
@@ -92,6 +113,41 @@ def _partition_layout_check(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+#: The rate job's keys of the total order.
+RATE_KEYS = ("year", "iucr")
+
+
+def _split_points_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Split points of the incidents by year and code, from a bounded sample."""
+    facts = _facts(spark, sf).select(to_bigint("year").alias("year"), "iucr", "row_key")
+    return sample_points(bottom_k(facts, F.col("row_key")), RATE_KEYS, RANGE_SORT_PARTITIONS)
+
+
+def _split_point_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The rates over partitions of stored split points: size and range of each."""
+    rates = C.arrest_rates_exact(_facts(spark, sf))
+    points = points_at(rates, RATE_KEYS, RANGE_SORT_PARTITIONS, kept_path(spark, "split-points"))
+    return partition_sizes(partition_by_points(rates, RATE_KEYS, points), *RATE_KEYS)
+
+
+def _natural_key_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """In which partition each district's rows are, and how many."""
+    counts = C.type_count_by_district(_incidents(spark, sf), clean=True)
+    placed = natural_key_sort(counts, SECONDARY_SORT_PARTITIONS)
+    return placed.groupBy("district", F.spark_partition_id().cast("bigint").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _job_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of one run of the count job. How many rows its combine gives
+    depends on the input's splits, so of those it says whether they lie between
+    the groups and the records."""
+    counters = Counters()
+    C.type_count_by_district(_incidents(spark, sf), counters=counters).write.format("noop").mode("overwrite").save()
+    n = counters.values()
+    n["combined_in_bounds"] = int(n["groups"] <= n.pop("combined") <= n["records_in"])
+    return spark.createDataFrame(list(n.items()), "name string, n bigint")
+
+
 QUERIES: dict[str, Builder] = {
     # Count per district and type, direct (the flagship).
     "type_count_by_district": lambda s, sf: C.type_count_by_district(_incidents(s, sf)),
@@ -138,6 +194,9 @@ QUERIES: dict[str, Builder] = {
         _facts(s, sf), _shipped(s, sf), how="inner", clean=True, normalize="whitespace"
     ),
     "tagged_cogroup_join": lambda s, sf: TP.tagged_cogroup_join(s, _line_counts(s, sf), _text(s, sf)["codes"]),
+    "tagged_union_join": lambda s, sf: TP.tagged_union_counts(s, _line_counts(s, sf), _text(s, sf)["codes"]),
+    "one_scan_join": lambda s, sf: TP.one_scan_join(s, _lines(s, sf, "extract_nodesc"), _text(s, sf)["codes"]),
+    "type_count_mixed_headers": lambda s, sf: C.type_count_by_district(read_incidents(s, tpch.text_file(s, sf, "mixed"))),
     # Arrest rates.
     "arrest_pct": lambda s, sf: C.arrest_pct(_incidents(s, sf)),
     "arrest_pct_two_aggregates": lambda s, sf: C.arrest_pct_two_aggregates(_incidents(s, sf)),
@@ -147,12 +206,18 @@ QUERIES: dict[str, Builder] = {
     ),
     "arrest_pct_lines": lambda s, sf: TP.arrest_rate_lines(s, _lines(s, sf), RANGE_SORT_PARTITIONS),
     "split_points": lambda s, sf: split_points(_facts(s, sf), "year", RANGE_SORT_PARTITIONS, "row_key"),
+    "split_points_sample": _split_points_sample,
+    "split_point_partitions": _split_point_partitions,
+    "natural_key_layout": _natural_key_layout,
+    "job_counters": _job_counters,
     # Sources, sinks and scalar functions.
     "csv_roundtrip": lambda s, sf: TP.csv_roundtrip(s, _incidents(s, sf)),
     "drop_columns": lambda s, sf: TP.drop_columns(s, _text(s, sf)["extract"]),
     "delimited_line_parse": lambda s, sf: TP.delimited_line_parse(s, _lines(s, sf)),
     "delimited_line_parse_keep_short": lambda s, sf: TP.delimited_line_parse(s, _lines(s, sf), keep_short=True),
-    "csv_whole_rows": lambda s, sf: TP.whole_rows(s, _lines(s, sf)),
+    "csv_whole_rows": lambda s, sf: TP.whole_rows(s, _extract_and_cut(s, sf)),
+    "csv_damaged_rows": lambda s, sf: TP.damaged_rows(s, _extract_and_cut(s, sf)),
+    "csv_parsed_whole_rows": lambda s, sf: TP.whole_incidents(s, _extract_and_cut(s, sf)),
     "key_value_line_parse": lambda s, sf: TP.key_value_line_parse(_line_counts(s, sf)),
     "code_normalize": lambda s, sf: C.normalized_codes(read_codes(s, _text(s, sf)["codes"])),
     "dirty_row_filter": lambda s, sf: dirty_row_filter(_facts(s, sf).select("iucr", "district")),

@@ -21,16 +21,19 @@ from pyspark.sql import functions as F
 
 from blotter.functions import normalize_code, strip_whitespace, to_bigint
 from blotter.operators import (
+    Counters,
     arrest_rate_exact,
     arrest_rate_rounded,
     arrest_rate_two_aggregates,
     count_by_type,
+    count_by_watched,
     dirty_row_filter,
     join_lookup,
     lookup_descriptions,
     order_by_district_count,
     order_by_year,
 )
+from blotter.session import kept_path
 
 COUNT_COLUMNS = ("district", "description", "cnt")
 
@@ -41,17 +44,26 @@ _NORMALIZERS = {
 }
 
 
-def type_count_by_district(incidents: DataFrame, clean: bool = False) -> DataFrame:
+def type_count_by_district(incidents: DataFrame, clean: bool = False, counters: Counters | None = None) -> DataFrame:
     """Incidents per ``(code, district, description)``; district ascending,
     count descending; the code is dropped from the output (so equal
-    ``(district, description)`` pairs of different codes stay separate)."""
+    ``(district, description)`` pairs of different codes stay separate).
+    ``counters`` watch the run's records in, combined, groups and out."""
     df = incidents.select("iucr", "district", "description")
     if clean:
         df = dirty_row_filter(df, description="description")
-    counted = count_by_type(df, with_description=True)
-    return order_by_district_count(
+    if counters is None:
+        counted = count_by_type(df, with_description=True)
+    else:
+        # Stored before the sort, whose sampling would read (and count) the groups twice.
+        path = kept_path(df.sparkSession, "counted")
+        counted = count_by_watched(df, ("iucr", "district", "description"), counters)
+        counted.write.parquet(path)
+        counted = df.sparkSession.read.schema(counted.schema).parquet(path)
+    result = order_by_district_count(
         counted, case_insensitive=clean, tiebreak=("iucr", "description")
     ).select(*COUNT_COLUMNS)
+    return result if counters is None else counters.watch(result, "records_out")
 
 
 def code_counts(incidents: DataFrame, clean: bool = False) -> DataFrame:
@@ -107,12 +119,16 @@ def arrest_pct_two_aggregates(incidents: DataFrame) -> DataFrame:
     return order_by_year(rates, tiebreak=("iucr", "description")).select("year", "description", "pct")
 
 
-def arrest_pct_exact(incidents: DataFrame) -> DataFrame:
-    """Unrounded percentage of any-case ``'true'`` arrests per ``(year, code)``;
-    the year is parsed to a number (null when malformed)."""
+def arrest_rates_exact(incidents: DataFrame) -> DataFrame:
+    """Unrounded percentage of any-case ``'true'`` arrests per ``(year, code)``,
+    in no order; the year is parsed to a number (null when malformed)."""
     rates = arrest_rate_exact(incidents.select("year", "iucr", "arrest"))
-    out = rates.select(to_bigint("year").alias("year"), "iucr", "pct")
-    return order_by_year(out, tiebreak=("iucr",))
+    return rates.select(to_bigint("year").alias("year"), "iucr", "pct")
+
+
+def arrest_pct_exact(incidents: DataFrame) -> DataFrame:
+    """:func:`arrest_rates_exact` by year."""
+    return order_by_year(arrest_rates_exact(incidents), tiebreak=("iucr",))
 
 
 def normalized_codes(codes: DataFrame) -> DataFrame:

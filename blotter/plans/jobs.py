@@ -4,13 +4,14 @@ Each job reads delimited input (the incident extract, the code lookup) or a
 Parquet copy of it, runs one lazy plan and writes the result, replacing any
 previous output. Command line::
 
-    python -m blotter.plans.jobs count       IN OUT [--clean] [--lines] [--single-file]
+    python -m blotter.plans.jobs count       IN OUT [--clean] [--lines [--partitions N]] [--single-file]
+                                             [--counters] [--rejects DIR]
     python -m blotter.plans.jobs count-join  IN CODES OUT [--how left|inner]
                                              [--strategy auto|broadcast|merge]
                                              [--clean] [--normalize whitespace|full] [--lines]
                                              [--single-file]
-    python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N] [--text] [--lines]
-                                             [--single-file]
+    python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N [--split-points FILE]]
+                                             [--text] [--lines] [--single-file]
     python -m blotter.plans.jobs drop-columns IN OUT [--single-file]
     python -m blotter.plans.jobs normalize-codes CODES OUT
     python -m blotter.plans.jobs to-parquet  IN OUT [--no-description]
@@ -18,8 +19,12 @@ previous output. Command line::
 ``IN`` may be a file or a directory of part files. A folder with Parquet
 files (as ``to-parquet`` writes) is read as Parquet, whatever its name;
 ``--format`` says otherwise. ``--strict`` checks every column of a delimited
-row, so rows with too few or too many fields are dropped. An option that the
-chosen form of a job does not use is an error.
+row, so rows with too few or too many fields are dropped; ``--rejects`` does so
+too, writes the dropped lines to a folder and prints how many there are.
+``--split-points`` partitions the rates by the points stored in FILE, or by
+those of a sample, which are stored there first. ``--counters`` prints the run's
+records in, combined, groups and out. An option that the chosen form of a job
+does not use is an error.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions import normalize_code, null_to_empty
-from blotter.operators import range_sort
+from blotter.operators import Counters, natural_key_sort, partition_by_points, points_at, range_sort
 from blotter.plans import compose as C
 from blotter.plans import textpath as TP
 from blotter.session import build_session
@@ -46,10 +51,14 @@ from blotter.sinks import (
 from blotter.sources import (
     MissingColumnError,
     MissingInputError,
+    canonical,
     checked_read,
+    incident_columns,
     read_codes,
     read_extract,
     read_incidents,
+    read_parsed,
+    split_damaged,
 )
 
 # The line rate job's reducer count.
@@ -98,19 +107,36 @@ def count(
     lines: bool = False,
     single_file: bool = False,
     fmt: str | None = None,
-) -> None:
+    partitions: int | None = None,
+    counters: Counters | None = None,
+    rejects: str | None = None,
+) -> int | None:
     """Incidents per district and type.
 
     ``lines=False``: quote-aware read, optional dirty-row filters, ';' output.
     ``lines=True``: the line form -- positional split of raw lines, dirty-row
-    filters (which also drop the header), records ``district;<TAB>text;count``.
+    filters (which also drop the header), records ``district;<TAB>text;count``;
+    with ``partitions`` in the line job's own placement of districts.
+    ``rejects``: the lines with too few or too many fields are written there;
+    returns how many there are.
     """
     if not lines:
-        result = C.type_count_by_district(load_incidents(spark, src, fmt=fmt), clean=clean)
-        _write_result(result, dst, single_file)
-        return
+        dropped = None
+        if rejects is None:
+            incidents = load_incidents(spark, src, fmt=fmt)
+        else:
+            whole, damaged = split_damaged(read_parsed(spark, src, incident_columns()))
+            seen = Counters()
+            write_lines(seen.watch(damaged, "rejects"), rejects)
+            dropped = seen.values()["rejects"]
+            incidents = canonical(whole)
+        _write_result(C.type_count_by_district(incidents, clean=clean, counters=counters), dst, single_file)
+        return dropped
     counted = TP.type_count_lines_clean(spark, src)
+    if partitions:
+        counted = natural_key_sort(counted, partitions)
     write_lines(counted.select(record_line().alias("value")), dst)
+    return None
 
 
 def count_join(
@@ -156,6 +182,7 @@ def arrest_rate(
     lines: bool = False,
     single_file: bool = False,
     fmt: str | None = None,
+    split_points: str | None = None,
 ) -> None:
     """Arrest percentage per year and type.
 
@@ -165,7 +192,9 @@ def arrest_rate(
     that many range partitions. ``text`` writes ``year<TAB>code <TAB>pct``.
     ``lines`` (implies ``exact``) reads raw lines by position instead of the
     quote-aware reader, as the line job does, into nine range partitions
-    unless ``partitions`` says otherwise.
+    unless ``partitions`` says otherwise. ``split_points``: part ``i`` of the exact
+    form holds the keys of range ``i`` of the points stored in that file (those of
+    a bounded sample where there is none yet).
     """
     if lines:
         result = TP.arrest_rate_lines(spark, src, partitions or RATE_PARTITIONS)
@@ -173,9 +202,15 @@ def arrest_rate(
         _write_result(C.arrest_pct(load_incidents(spark, src, fmt=fmt)), dst, single_file)
         return
     else:
-        result = C.arrest_pct_exact(load_incidents(spark, src, with_description=False, fmt=fmt))
-        if partitions:
-            result = range_sort(result, partitions, ("year", "iucr"))
+        incidents = load_incidents(spark, src, with_description=False, fmt=fmt)
+        keys = ("year", "iucr")
+        if split_points:
+            rates = C.arrest_rates_exact(incidents)
+            result = partition_by_points(rates, keys, points_at(rates, keys, partitions or RATE_PARTITIONS, split_points))
+        elif partitions:
+            result = range_sort(C.arrest_pct_exact(incidents), partitions, keys)
+        else:
+            result = C.arrest_pct_exact(incidents)
     if text:
         line = F.format_string(
             "%s\t%s \t%s",
@@ -219,6 +254,8 @@ def _parser() -> argparse.ArgumentParser:
 
     c = job("count", "src", "dst")
     c.add_argument("--clean", action="store_true"), c.add_argument("--lines", action="store_true")
+    c.add_argument("--partitions", type=int), c.add_argument("--rejects")
+    c.add_argument("--counters", action="store_true")
     j = job("count-join", "src", "codes", "dst")
     j.add_argument("--how", choices=["left", "inner"])
     j.add_argument("--strategy", choices=["auto", "broadcast", "merge"])
@@ -228,6 +265,7 @@ def _parser() -> argparse.ArgumentParser:
     a = job("arrest-rate", "src", "dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
     a.add_argument("--text", action="store_true"), a.add_argument("--lines", action="store_true")
+    a.add_argument("--split-points")
     for one in (c, j, a):
         one.add_argument("--format", choices=["csv", "parquet"])
     job("drop-columns", "src", "dst")
@@ -239,9 +277,11 @@ def _parser() -> argparse.ArgumentParser:
 
 #: Options that a form of a job does not use: (job, when given, unused then).
 _UNUSED = (
-    ("count", "lines", ("clean", "single_file", "format", "strict")),
+    ("count", "lines", ("clean", "single_file", "format", "strict", "counters", "rejects")),
+    ("count", "rejects", ("format", "strict")),
     ("count-join", "lines", ("how", "strategy", "clean", "normalize", "single_file", "format", "strict")),
-    ("arrest-rate", "lines", ("exact", "format", "strict")),
+    ("arrest-rate", "lines", ("exact", "format", "strict", "split_points")),
+    ("arrest-rate", "split_points", ("single_file",)),
     ("arrest-rate", "text", ("single_file",)),
 )
 
@@ -253,8 +293,10 @@ def _check(p: argparse.ArgumentParser, args: argparse.Namespace) -> None:
             for name in unused:
                 if getattr(args, name):
                     p.error(f"--{name.replace('_', '-')} has no effect with --{given}")
-    if args.job == "arrest-rate" and not (args.exact or args.lines) and (args.text or args.partitions):
-        p.error("--text and --partitions need --exact or --lines")
+    if args.job == "arrest-rate" and not (args.exact or args.lines) and (args.text or args.partitions or args.split_points):
+        p.error("--text, --partitions and --split-points need --exact or --lines")
+    if args.job == "count" and args.partitions and not args.lines:
+        p.error("--partitions needs --lines")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -265,7 +307,15 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app_name=f"blotter-{args.job}", strict_malformed=args.strict)
     try:
         if args.job == "count":
-            count(spark, args.src, args.dst, args.clean, args.lines, args.single_file, args.format)
+            counters = Counters() if args.counters else None
+            dropped = count(
+                spark, args.src, args.dst, args.clean, args.lines, args.single_file, args.format, args.partitions, counters,
+                args.rejects,
+            )
+            if dropped is not None:
+                print(f"rejects\t{dropped}")
+            for name, n in (counters.values() if counters else {}).items():
+                print(f"{name}\t{n}")
         elif args.job == "count-join":
             count_join(
                 spark, args.src, args.codes, args.dst, args.how or "left", args.strategy or "auto",
@@ -273,7 +323,8 @@ def main(argv: list[str] | None = None) -> int:
             )
         elif args.job == "arrest-rate":
             arrest_rate(
-                spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines, args.single_file, args.format
+                spark, args.src, args.dst, args.exact, args.partitions, args.text, args.lines, args.single_file, args.format,
+                args.split_points,
             )
         elif args.job == "drop-columns":
             drop_columns(spark, args.src, args.dst, args.single_file)

@@ -80,11 +80,39 @@ line_clean AS (
   WHERE district NOT IN ('true', 'false', 'District') AND NOT contains(district, ' ')
     AND NOT contains(description, '"THEFT BY LESSEE')
 ),
+rate_keys AS (SELECT TRY_CAST(year AS BIGINT) AS year, iucr FROM (SELECT DISTINCT year, iucr FROM facts)),
+rate_sample AS (
+  SELECT year, iucr, row_number() OVER (ORDER BY year NULLS FIRST, iucr) AS r, count(*) OVER () AS m
+  FROM (SELECT year, iucr, substr(md5(coalesce(CAST(year AS VARCHAR), '') || ':' || iucr), 1, 15) AS place FROM rate_keys
+        WHERE CAST('0x' || substr(md5(coalesce(CAST(year AS VARCHAR), '') || ':' || iucr), 1, 15) AS BIGINT)
+              < CAST(floor(0.01 * 1152921504606846976) AS BIGINT)
+        ORDER BY place LIMIT 1000)
+),
+rate_points AS (
+  SELECT DISTINCT s.year, s.iucr FROM range(1, 9) p(i) JOIN rate_sample s ON s.r = CAST(ceil(p.i * s.m / 9.0) AS BIGINT)
+),
 cnt AS (SELECT iucr, district, count(*) AS cnt FROM crimes GROUP BY iucr, district),
 clean_cnt AS (SELECT iucr, district, count(*) AS cnt FROM clean GROUP BY iucr, district),
 shipped_lk AS (SELECT iucr, secondary_description AS description FROM shipped_codes)
 """
 
+_COGROUP = f"""
+SELECT coalesce(c.district, '') AS district,
+       CASE WHEN contains(l.description, ';') THEN '"' || split_part(l.description, ';', 1)
+            WHEN contains(l.description, '"') THEN '"' || replace(l.description, '"', chr(92) || '"') || '"'
+            ELSE l.description END AS description, c.cnt
+FROM (SELECT {_ws('iucr')} AS iucr, district, cnt FROM clean_cnt) c
+JOIN (SELECT {_ws('iucr')} AS iucr, description FROM shipped_lk) l ON c.iucr = l.iucr"""
+
+# The sample of split points: of the rows in the first hundredth of all hashes
+# those with the smallest ones, at most a thousand; their ranks by year and code.
+_SAMPLE = """
+SELECT year, iucr, row_number() OVER (ORDER BY year NULLS FIRST, iucr) AS r, count(*) OVER () AS m
+FROM (SELECT TRY_CAST(year AS BIGINT) AS year, iucr FROM {rows}
+      WHERE CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT) < CAST(floor(0.01 * 1152921504606846976) AS BIGINT)
+      ORDER BY substr(md5({key}), 1, 15) LIMIT 1000)"""
+_RATE_KEY = "coalesce(CAST(year AS VARCHAR), '') || ':' || iucr"
+
 BODIES: dict[str, str] = {
     "type_count_by_district": """
 SELECT district, description, count(*) AS cnt FROM crimes GROUP BY iucr, district, description""",
@@ -181,6 +209,37 @@ SELECT coalesce(district, '') || ';'
        || CASE WHEN contains(description, ';') THEN '"' || description || '"' ELSE coalesce(description, '') END
        || ';' || CAST(count(*) AS VARCHAR) AS line, TRUE AS in_first_file
 FROM clean_full GROUP BY iucr, district, description""",
+    "tagged_union_join": _COGROUP,
+    "one_scan_join": _COGROUP,
+    "type_count_mixed_headers": """
+SELECT district, description, count(*) AS cnt FROM crimes GROUP BY iucr, district, description""",
+    "csv_damaged_rows": f"""
+SELECT l_orderkey || ';' || l_linenumber || ';;;' || {_code('l_partkey')} AS line
+FROM lineitem WHERE l_orderkey % {M.CUT_LINE_PERIOD} = 0""",
+    "csv_parsed_whole_rows": """
+SELECT concat_ws('|', iucr, primary_type, description, arrest, district, year) AS line FROM crimes""",
+    "split_points_sample": f"""
+SELECT i - 1 AS point, year, iucr
+FROM (SELECT row_number() OVER (ORDER BY year NULLS FIRST, iucr) AS i, year, iucr
+      FROM (SELECT DISTINCT s.year, s.iucr FROM range(1, 9) p(i) JOIN ({_SAMPLE.format(rows='facts', key='row_key')}) s
+            ON s.r = CAST(ceil(p.i * s.m / 9.0) AS BIGINT)))""",
+    "split_point_partitions": f"""
+SELECT part, count(*) AS n_rows, arg_min(k, (year IS NOT NULL, year, iucr)) AS low, arg_max(k, (year IS NOT NULL, year, iucr)) AS high
+FROM (SELECT r.year, r.iucr, {_RATE_KEY} AS k,
+             (SELECT count(*) FROM rate_points p WHERE (p.year IS NOT NULL, coalesce(p.year, 0), p.iucr)
+                                                     < (r.year IS NOT NULL, coalesce(r.year, 0), r.iucr)) AS part
+      FROM rate_keys r)
+GROUP BY part""",
+    "natural_key_layout": f"""
+SELECT district, list_reduce(list_concat([0::BIGINT], list_transform(string_split(coalesce(district, ''), ''), lambda c:
+           CASE WHEN c = '' THEN 0 ELSE unicode(c) END::BIGINT)), lambda h, u: (h * 31 + u) % 4294967296) % 2147483648 % 20 AS part,
+       count(*) AS n_rows
+FROM (SELECT iucr, district, description FROM clean_full GROUP BY iucr, district, description) GROUP BY district""",
+    "job_counters": """
+SELECT 'records_in' AS name, count(*) AS n FROM crimes
+UNION ALL SELECT 'groups', count(*) FROM (SELECT DISTINCT iucr, district, description FROM crimes)
+UNION ALL SELECT 'records_out', count(*) FROM (SELECT DISTINCT iucr, district, description FROM crimes)
+UNION ALL SELECT 'combined_in_bounds', 1""",
     "sort_order_check": """
 SELECT name, n_rows, CAST(0 AS BIGINT) AS inversions, CAST(0 AS BIGINT) AS boundary_inversions
 FROM (SELECT 'district, count' AS name, count(*) AS n_rows FROM (SELECT DISTINCT iucr, district, description FROM crimes)

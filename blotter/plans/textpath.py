@@ -16,12 +16,16 @@ from blotter import schema as S
 from blotter.functions import line_field, null_to_empty, strip_whitespace, to_bigint
 from blotter.operators import (
     arrest_rate_exact,
+    carried_forward,
+    clean_district,
     count_by_type,
     dirty_row_filter,
     order_by_district_count,
     range_sort,
+    tagged_union_join,
 )
-from blotter.session import scratch_path
+from blotter.operators.joins import ENTRY, FACT
+from blotter.session import kept_path
 from blotter.sinks import export_single_file, without_descriptions, write_delimited
 from blotter.sinks import write_extract as write_extract_file
 from blotter.sources import (
@@ -29,6 +33,9 @@ from blotter.sources import (
     read_extract,
     read_incidents,
     read_lines,
+    read_parsed,
+    read_routed,
+    split_damaged,
     split_key_value,
     split_positional,
 )
@@ -36,7 +43,7 @@ from blotter.sources import (
 
 def write_extract(spark: SparkSession, incidents: DataFrame, with_description: bool = True) -> str:
     """Write the extract (header, ';') to a fresh scratch path; return it."""
-    path = scratch_path(spark, "extract")
+    path = kept_path(spark, "extract")
     write_extract_file(incidents, path, with_description)
     return path
 
@@ -50,7 +57,7 @@ def csv_roundtrip(spark: SparkSession, incidents: DataFrame) -> DataFrame:
 def drop_columns(spark: SparkSession, extract_path: str) -> DataFrame:
     """Preparation job: read the extract, drop the descriptive columns, write
     the 20-column extract with header; return it read back."""
-    path = scratch_path(spark, "extract-nodesc")
+    path = kept_path(spark, "extract-nodesc")
     write_delimited(without_descriptions(read_extract(spark, extract_path)), path, header=True)
     return read_incidents(spark, path, with_description=False).select("iucr", "arrest", "district", "year")
 
@@ -66,7 +73,7 @@ def whole_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
 def single_file_readback(spark: SparkSession, counts: DataFrame) -> DataFrame:
     """Write ``counts`` over an earlier result as one ';' file without a
     header; its lines, and whether each is in the first part file."""
-    path = scratch_path(spark, "single-file")
+    path = kept_path(spark, "single-file")
     write_delimited(counts.select("cnt"), path, header=True)
     export_single_file(counts, path)
     return read_lines(spark, path).select(
@@ -138,17 +145,6 @@ def key_value_line_parse(counts: DataFrame) -> DataFrame:
     return split_key_value(count_lines(counts))
 
 
-def parse_count_records(kv: DataFrame) -> DataFrame:
-    """``k = district``, ``v = code__<TAB>cnt`` -> ``district, iucr, cnt``
-    (whitespace stripped from each)."""
-    parts = F.split(F.col("v"), "__", -1)
-    return kv.select(
-        strip_whitespace("k").alias("district"),
-        strip_whitespace(line_field(parts, 0)).alias("iucr"),
-        to_bigint(strip_whitespace(line_field(parts, 1))).alias("cnt"),
-    )
-
-
 def parse_code_records(kv: DataFrame) -> DataFrame:
     """Lookup lines split at the first ';': code, then the secondary
     description as field 1 of the rest; the header line is skipped."""
@@ -178,3 +174,52 @@ def tagged_cogroup_join(spark: SparkSession, counts: DataFrame, codes_path: str)
     return order_by_district_count(joined, case_insensitive=True, tiebreak=("iucr",)).select(
         "district", "description", "cnt"
     )
+
+
+def tagged_union_counts(spark: SparkSession, counts: DataFrame, codes_path: str) -> DataFrame:
+    """:func:`tagged_cogroup_join` by the line job's own data flow: one table of
+    tagged records, one exchange by code, no join operator."""
+    facts = counts.select(
+        strip_whitespace(null_to_empty("district")).alias("district"), strip_whitespace("iucr").alias("iucr"), "cnt"
+    )
+    lookup = parse_code_records(split_key_value(read_lines(spark, codes_path)))
+    joined = tagged_union_join(facts, lookup)
+    return order_by_district_count(joined, case_insensitive=True, tiebreak=("iucr",)).select("district", "description", "cnt")
+
+
+def one_scan_join(spark: SparkSession, extract_nodesc: str | list[str], codes_path: str) -> DataFrame:
+    """The same question from one scan of both files: each line is parsed by the
+    parser of its input, incidents are counted and equal lookup entries too
+    (one partial aggregation for both), then :func:`carried_forward`."""
+    pos = S.INCIDENT_NO_DESCRIPTION_POSITIONS
+    lines = read_routed(spark, {"facts": extract_nodesc, "codes": codes_path})
+    is_fact = F.col("input") == "facts"
+    last = max(pos["iucr"], pos["district"])
+    fact = F.split("value", ";", last + 2)
+    entry = F.split("value", ";", -1)
+    parsed = lines.select(
+        F.when(is_fact, FACT).otherwise(ENTRY).alias("tag"),
+        F.when(is_fact, line_field(fact, pos["iucr"])).otherwise(line_field(entry, 0)).alias("iucr"),
+        F.when(is_fact, line_field(fact, pos["district"])).alias("district"),
+        F.when(~is_fact, line_field(entry, 2)).alias("description"),
+        F.when(is_fact, F.size(fact) > last).otherwise(F.col("value") != "").alias("whole"),
+    )
+    kept = parsed.where(
+        F.col("whole") & F.when(F.col("tag") == FACT, clean_district()).otherwise(F.col("iucr") != "IUCR")
+    )
+    counted = kept.groupBy(
+        "tag", strip_whitespace("iucr").alias("iucr"), strip_whitespace(null_to_empty("district")).alias("district"), "description"
+    ).agg(F.count(F.lit(1)).alias("cnt"))
+    joined = carried_forward(counted, "iucr", "description", times="cnt")
+    return order_by_district_count(joined, case_insensitive=True, tiebreak=("iucr",)).select("district", "description", "cnt")
+
+
+def damaged_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines that a strict ``DROPMALFORMED`` read of an extract drops."""
+    return split_damaged(read_parsed(spark, paths, S.INCIDENT_HEADER))[1]
+
+
+def whole_incidents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The rows that the same read keeps, each as one text of its non-null fields."""
+    whole, _ = split_damaged(read_parsed(spark, paths, S.INCIDENT_HEADER))
+    return whole.select(F.concat_ws("|", *[whole[f"`{c}`"] for c in whole.columns]).alias("line"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -72,3 +73,25 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under :func:`scratch_dir`."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_KEPT: dict[str, list[str]] = {}
+_LOCK = threading.Lock()
+
+
+def kept_path(spark: SparkSession, name: str) -> str:
+    """A :func:`scratch_path` that :func:`release_kept` removes: for files that a
+    returned frame still reads."""
+    path = scratch_path(spark, name)
+    with _LOCK:
+        _KEPT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_kept(spark: SparkSession) -> None:
+    """Remove what this session's frames have written under :func:`kept_path`."""
+    with _LOCK:
+        paths = _KEPT.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

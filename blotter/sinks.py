@@ -1,39 +1,85 @@
 """Writers: ';'-delimited files and formatted text lines.
 
-Every writer overwrites its target (a rerun replaces the previous output)
-and keeps surrounding whitespace (Spark's CSV writer trims it by default,
+Every writer replaces its target: the new output is written beside it and takes
+its place when it is whole, so a run that fails leaves the previous output as
+it was. Every writer keeps surrounding whitespace (Spark's CSV writer trims it by default,
 which would turn ``' 03'`` into ``'03'``). Output stays in parallel part
 files; a single file is the caller's explicit choice, written by one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter import schema as S
 from blotter.functions import null_to_empty
 
 
+def replace_output(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """``write`` a staging folder beside ``path``, then swap it in.
+
+    The swap is two renames: the old output steps aside and the new one takes
+    its place; if the second fails, the old output comes back. Both folders
+    have hidden names, so a reader of the parent never sees them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    p = fs.makeQualified(p)
+
+    def beside(what: str):
+        return spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{what}-{uuid.uuid4().hex}")
+
+    staging, old = beside("staging"), beside("old")
+    try:
+        write(staging.toString())
+        had = fs.exists(p)
+        if had and not fs.rename(p, old):
+            raise OSError(f"{path}: the old output cannot be moved aside")
+        moved = False
+        try:
+            moved = fs.rename(staging, p)
+        finally:
+            if had and not moved:
+                fs.rename(old, p)
+        if not moved:
+            raise OSError(f"{path}: the new output cannot be moved into place")
+    finally:
+        fs.delete(staging, True)
+    fs.delete(old, True)
+
+
 def write_delimited(
     df: DataFrame, path: str, header: bool = False, sep: str = ";", mode: str = "overwrite"
 ) -> None:
     """``sep``-delimited text with or without a header line."""
-    (
-        df.write.mode(mode)
-        .option("sep", sep)
-        .option("header", header)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+
+    def write(to: str) -> None:
+        (
+            df.write.mode(mode)
+            .option("sep", sep)
+            .option("header", header)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(to)
+        )
+
+    if mode == "overwrite":
+        replace_output(df.sparkSession, path, write)
+    else:
+        write(path)
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A single string column as plain text lines."""
     if len(df.columns) != 1:
         raise ValueError("write_lines expects exactly one string column")
-    df.write.mode(mode).text(path)
+    if mode == "overwrite":
+        replace_output(df.sparkSession, path, df.write.mode(mode).text)
+    else:
+        df.write.mode(mode).text(path)
 
 
 def record_line(district: str = "district", text: str = "description", cnt: str = "cnt") -> Column:

@@ -5,24 +5,31 @@ from blotter.sources.delimited import (
     MissingInputError,
     canonical,
     checked_read,
+    incident_columns,
     read_codes,
     read_delimited,
     read_extract,
     read_incidents,
+    read_parsed,
+    split_damaged,
 )
-from blotter.sources.lines import drop_header, read_lines, split_key_value, split_positional
+from blotter.sources.lines import drop_header, read_lines, read_routed, split_key_value, split_positional
 
 __all__ = [
     "MissingColumnError",
     "MissingInputError",
     "canonical",
     "checked_read",
+    "incident_columns",
     "read_codes",
     "read_delimited",
     "read_extract",
     "read_incidents",
+    "read_parsed",
+    "split_damaged",
     "drop_header",
     "read_lines",
+    "read_routed",
     "split_key_value",
     "split_positional",
 ]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions import line_field
-from blotter.sources.delimited import checked_read
+from blotter.sources.delimited import MissingInputError, checked_read
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -23,6 +23,32 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return checked_read(path, spark.read.text)
 
 
+def _address(spark: SparkSession, path: str) -> str:
+    """A path as the scan names its files, without the slashes after ``file:``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise MissingInputError(f"Invalid input path: {path}")
+    return re.sub("^file:/+", "file:/", fs.makeQualified(p).toUri().toString()).rstrip("/")
+
+
+def read_routed(spark: SparkSession, inputs: dict[str, str | list[str]]) -> DataFrame:
+    """Several text inputs in one scan: ``input`` (the name that ``inputs`` gives
+    to a line's file or directory) and ``value``.
+
+    Lines are told apart by the path of their file; where one input lies inside
+    another, the longer path wins, and its files are read once."""
+    given = {_address(spark, p): (name, p) for name, paths in inputs.items() for p in ([paths] if isinstance(paths, str) else paths)}
+    where = {address: name for address, (name, _) in given.items()}
+    outer = [p for a, (_, p) in given.items() if not any(a.startswith(f"{b}/") for b in given)]
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    name = None
+    for address in sorted(where, key=len, reverse=True):
+        here = (path == address) | path.startswith(f"{address}/")
+        name = F.when(here, where[address]) if name is None else name.when(here, where[address])
+    return read_lines(spark, outer).select(name.alias("input"), "value")
+
+
 def split_positional(
     lines: DataFrame, positions: dict[str, int], sep: str = ";", col: str = "value", keep_short: bool = False
 ) -> DataFrame:

@@ -22,7 +22,7 @@ quotes. The lookup "as shipped" keeps two defects the real file had: some
 codes lack their leading zeros and some carry trailing whitespace, so joins
 without normalisation leave codes unmatched.
 
-Text files (:func:`prepare_text`) are written only for the queries whose
+Text files (:func:`text_file`) are written only for the queries whose
 feature is reading a file. They are kept for a session as long as the input
 files have the same names, sizes and times, and :func:`release` removes them.
 """
@@ -30,13 +30,15 @@ files have the same names, sizes and times, and :func:`release` removes them.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter import schema as S
 from blotter.functions import pad_code
-from blotter.session import scratch_dir, scratch_path
-from blotter.sinks import write_codes, write_extract, write_lines
+from blotter.session import release_kept, scratch_dir, scratch_path
+from blotter.sinks import as_extract, write_codes, write_delimited, write_extract, write_lines
 
 # Fixed values of the mapping (chosen for this library, not taken from the
 # reference): district domain and the periods of dirty rows.
@@ -136,6 +138,41 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select(line.alias("value")).where("value IS NOT NULL")
 
 
+def cut_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`damaged_lines` as one column named like the extract's header, so
+    that they can be written as a file with that header."""
+    return damaged_lines(spark, sf_dir).toDF(";".join(S.INCIDENT_HEADER))
+
+
+def _write_mixed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The extract as part files of two headers: the usual one, and the columns
+    in reverse order with one more in front."""
+    table = incidents(spark, sf_dir)
+    usual = F.col("year") < "1995"
+    write_extract(table.where(usual), path)
+    rest = as_extract(table.where(~usual | F.col("year").isNull()))
+    write_delimited(
+        rest.select(F.lit("x").alias("Note"), *[F.col(f"`{c}`") for c in reversed(rest.columns)]), path, header=True, mode="append"
+    )
+
+
+def _write_cut(spark: SparkSession, sf_dir: str, path: str) -> None:
+    # One column that is the whole line, so nothing is quoted or separated.
+    cut_lines(spark, sf_dir).write.mode("overwrite").options(
+        header=True, sep="\u0001", quote="\u0000", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+
+
+#: How each text file is written; a query's first use of it does so.
+_WRITERS: dict[str, Callable[[SparkSession, str, str], None]] = {
+    "extract": lambda spark, sf, path: write_extract(incidents(spark, sf), path),
+    "extract_nodesc": lambda spark, sf, path: write_extract(incidents(spark, sf), path, with_description=False),
+    "codes": lambda spark, sf, path: write_codes(shipped_codes(spark, sf), path),
+    "damaged": lambda spark, sf, path: write_lines(damaged_lines(spark, sf), path),
+    "mixed": _write_mixed,
+    "cut": _write_cut,
+}
+
 _TEXT_FILES: dict[tuple, dict[str, str]] = {}
 _LOCK = threading.RLock()
 
@@ -147,33 +184,31 @@ def _files(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
 
 
+def text_file(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The path of one text input, see ``_WRITERS``."""
+    base = sf_dir.rstrip("/")
+    inputs = tuple(_files(spark, f"{base}/{t}.parquet") for t in ("lineitem", "part"))
+    key = (spark.sparkContext.applicationId, scratch_dir(spark), inputs)
+    with _LOCK:
+        paths = _TEXT_FILES.setdefault(key, {})
+        if name not in paths:
+            path = scratch_path(spark, name)
+            _WRITERS[name](spark, sf_dir, path)
+            paths[name] = path
+        return paths[name]
+
+
 def prepare_text(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Paths of the text inputs of the file-reading queries: the 22-column
     extract, the 20-column extract without descriptions and the lookup file
     as shipped (all ';'-separated with a header; keys ``extract``,
     ``extract_nodesc``, ``codes``)."""
-    return {k: path for k, path in _text_files(spark, sf_dir).items() if k != "damaged"}
+    return {name: text_file(spark, sf_dir, name) for name in ("extract", "extract_nodesc", "codes")}
 
 
 def prepare_damaged(spark: SparkSession, sf_dir: str) -> str:
     """Path of the text lines that are no records."""
-    return _text_files(spark, sf_dir)["damaged"]
-
-
-def _text_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    base = sf_dir.rstrip("/")
-    inputs = tuple(_files(spark, f"{base}/{t}.parquet") for t in ("lineitem", "part"))
-    key = (spark.sparkContext.applicationId, scratch_dir(spark), inputs)
-    with _LOCK:
-        if key not in _TEXT_FILES:
-            paths = {k: scratch_path(spark, k) for k in ("extract", "extract_nodesc", "codes", "damaged")}
-            table = incidents(spark, sf_dir)
-            write_extract(table, paths["extract"])
-            write_extract(table, paths["extract_nodesc"], with_description=False)
-            write_codes(shipped_codes(spark, sf_dir), paths["codes"])
-            write_lines(damaged_lines(spark, sf_dir), paths["damaged"])
-            _TEXT_FILES[key] = paths
-        return _TEXT_FILES[key]
+    return text_file(spark, sf_dir, "damaged")
 
 
 def release(spark: SparkSession) -> None:
@@ -183,3 +218,4 @@ def release(spark: SparkSession) -> None:
             for path in _TEXT_FILES.pop(key).values():
                 p = spark._jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    release_kept(spark)

@@ -34,10 +34,26 @@ def test_no_python_udf_nodes(spark, name):
 def test_no_cartesian_product_and_no_row_cap(spark, name):
     """Whole results: no cross join of two inputs, no limit on any query."""
     text = initial_plan(QUERIES[name](spark, SMOKE_DIR))
-    for node in ("CartesianProduct", "GlobalLimit", "CollectLimit", "TakeOrderedAndProject"):
+    # The bounded sample is the feature of this one.
+    capped = () if name == "split_points_sample" else ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject")
+    for node in ("CartesianProduct", *capped):
         assert node not in text
 
 
+def test_tagged_union_is_one_exchange_without_a_join(spark):
+    from blotter.operators import tagged_union_join
+
+    counts = spark.range(100).selectExpr("cast(id % 9 as string) iucr", "'1' district", "id cnt").repartition(3)
+    lookup = spark.range(9).selectExpr("cast(id as string) iucr", "'d' description").repartition(2)
+    text = initial_plan(tagged_union_join(counts, lookup))
+    assert "Join" not in text and text.count("hashpartitioning") == 1
+
+
+def test_one_scan_join_scans_once(spark):
+    text = initial_plan(QUERIES["one_scan_join"](spark, SMOKE_DIR))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
 @pytest.mark.parametrize("name", ["type_count_by_district", "type_count_left_join", "arrest_pct"])
 def test_partial_aggregation_before_shuffle(spark, name):
     text = initial_plan(QUERIES[name](spark, SMOKE_DIR))
