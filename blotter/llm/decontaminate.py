@@ -7,11 +7,14 @@ longest suffix that occurs in some item. A suffix of ``window`` words or more
 is a run of windows of an item, so its words are hit; a shorter item counts as
 a whole, through the states that end it.
 
-Items are read in blocks of at most ``BLOCK_WORDS`` words (a longer item is cut
-into pieces that overlap by ``window - 1`` words, which keeps all its windows),
-so an automaton has a bounded size however many items there are. Each block is
-broadcast and passed over the documents; what the blocks find is put together
-per document.
+Spark forms blocks of the items, at most ``BLOCK_WORDS`` words each (a longer item
+is cut into pieces that overlap by ``window - 1`` words, which keeps all its
+windows), so an automaton has a bounded size however many items there are. The
+driver holds one block at a time, to broadcast it. One block, the usual case, is
+one pass over the documents. More blocks are a pass each over the texts alone,
+which returns the hit texts' digests, spans and items; what the blocks find for
+a text is put together and joined to its rows, so no text is written again.
+A benchmark of a million words is 10 to 20 blocks and passes.
 
 Defined cases: null texts have no words; items without words are ignored;
 items that repeat an id are one item in the counts; an empty benchmark leaves
@@ -22,15 +25,17 @@ ignored by :func:`hits` and carried by :func:`cleaned`, whatever their names.
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.llm.common import row_text, saved, slices, whole_rows
+from blotter.llm.common import row_text, saved, slices, text_bytes, whole_rows
 
 WINDOW = 10
 BLOCK_WORDS = 100_000
@@ -46,6 +51,10 @@ _NORMAL = bytes(
 )
 
 
+#: The same words as a pattern.
+_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
+
 def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
@@ -173,25 +182,55 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS):
-    """The items in lists of at most ``block_words`` words, streamed one
-    partition of the benchmark at a time: ``(item_id, words)``."""
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where("text is not null")
-    block: list[tuple[str, list[bytes]]] = []
-    held = 0
-    for row in items.toLocalIterator():
-        words = normal_words(row["text"].encode())
-        step = block_words - window + 1
-        pieces = [words] if len(words) <= block_words else [words[i : i + block_words] for i in range(0, len(words) - window + 1, step)]
-        for piece in pieces:
-            if block and held + len(piece) > block_words:
-                yield block
-                block, held = [], 0
-            if piece:
-                block.append((row["item_id"] or "", piece))
-                held += len(piece)
-    if block:
-        yield block
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``block, items``: the items as ``(item_id, words)`` in rows of at most
+    ``block_words`` words, as few as the words' number asks for (at most twice)."""
+    step = block_words - window + 1
+
+    def cut(batches):
+        for b in slices(batches):
+            ids, words = [], []
+            for item, text in zip(b.column("item_id").to_pylist(), text_bytes(b)):
+                found = normal_words(text)
+                starts = [0] if len(found) <= block_words else range(0, len(found) - window + 1, step)
+                for i in starts:
+                    if found[i : i + block_words]:
+                        ids.append(item or ""), words.append(found[i : i + block_words])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array([b" ".join(w) for w in words], pa.binary()), pa.array([len(w) for w in words], pa.int64())],
+                ["item_id", "words", "n"],
+            )
+
+    def joined(batches):
+        kind = pa.list_(pa.struct([("item_id", pa.string()), ("words", pa.binary())]))
+        number, held, items = TaskContext.get().partitionId() << 33, 0, []
+
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([items], kind)], ["block", "items"])
+
+        for b in batches:
+            for r in b.to_pylist():
+                if items and held + r["n"] > block_words:
+                    yield row()
+                    number, held, items = number + 1, 0, []
+                items.append({"item_id": r["item_id"], "words": r["words"]})
+                held += r["n"]
+        if items:
+            yield row()
+
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    pieces, _ = saved(texts.mapInArrow(cut, "item_id string, words binary, n bigint"), "leak-items")
+    total = pieces.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // block_words))
+    return saved(
+        pieces.coalesce(parts).mapInArrow(joined, "block bigint, items array<struct<item_id:string,words:binary>>"), "leak-blocks"
+    )[0]
+
+
+def _read(found: DataFrame, number: int) -> list[tuple[str, list[bytes]]]:
+    """One block's items."""
+    row = found.where(F.col("block") == number).first()
+    return [(r["item_id"], bytes(r["words"]).split()) for r in row["items"]]
 
 
 _BUILT: dict[tuple[int, int], Automaton] = {}
@@ -211,42 +250,85 @@ _SPAN_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def _pass(rows: DataFrame, block, number: int, window: int) -> DataFrame:
-    """``row`` with the words, spans and items found so far and in ``block``."""
-    again = "words" in rows.columns
+    """``row`` with its words, and the spans and items found in ``block``."""
 
     def run(batches):
         automaton = _automaton(block, number, window) if block is not None else None
         for b in slices(batches):
             n, spans, items = [], [], []
-            before = zip(b.column("spans").to_pylist(), b.column("items").to_pylist()) if again else repeat(([], []))
-            for text, (had, held) in zip(row_text(b), before):
+            for text in row_text(b):
                 words = normal_words(text)
                 hit, found = automaton.match(words) if automaton else ([], set())
                 n.append(len(words))
-                spans.append([{"a": x, "b": y} for x, y in merged([*hit, *((h["a"], h["b"]) for h in had)])])
-                items.append(sorted(found.union(held)))
+                spans.append([{"a": x, "b": y} for x, y in hit])
+                items.append(sorted(found))
             more = [pa.array(n, pa.int64()), pa.array(spans, _SPAN_TYPE), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([b.column("row"), *more], ["row", "words", "spans", "items"])
 
-    found = T.StructType.fromDDL(_FOUND)
-    return rows.select("row", *(["spans", "items"] if again else [])).mapInArrow(
-        run, T.StructType([rows.schema["row"], *found])
-    )
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *T.StructType.fromDDL(_FOUND)]))
+
+
+def _hit_texts(texts: DataFrame, block, number: int, window: int) -> DataFrame:
+    """``key, spans, items`` of the texts (``key, text``) that ``block`` hits."""
+
+    def run(batches):
+        automaton = _automaton(block, number, window)
+        for b in slices(batches):
+            keys, spans, items = [], [], []
+            for key, text in zip(b.column("key").to_pylist(), text_bytes(b)):
+                hit, found = automaton.match(normal_words(text))
+                if hit:
+                    keys.append(key), spans.append([{"a": x, "b": y} for x, y in hit]), items.append(sorted(found))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(spans, _SPAN_TYPE), pa.array(items, pa.list_(pa.string()))], ["key", "spans", "items"]
+            )
+
+    found = texts.mapInArrow(run, "key string, spans array<struct<a:int,b:int>>, items array<string>")
+    return found.groupBy("key").agg(F.first("spans").alias("spans"), F.first("items").alias("items"))
+
+
+def _together(found: DataFrame) -> DataFrame:
+    """What several blocks found in a text (a row a block at most) as one row."""
+
+    def run(batches):
+        for b in slices(batches):
+            spans = [
+                [{"a": x, "b": y} for x, y in merged([(s["a"], s["b"]) for s in every])] for every in b.column("spans").to_pylist()
+            ]
+            items = [sorted(set(every)) for every in b.column("items").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), pa.array(spans, _SPAN_TYPE), pa.array(items, pa.list_(pa.string()))], ["key", "spans", "items"]
+            )
+
+    each = found.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return each.mapInArrow(run, found.schema)
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``row`` (the columns of ``docs``) with ``words`` (how many), ``spans`` (hit
-    words, start and end) and ``items`` (ids of the items found). One pass a
-    block; passes after the first read what the one before has written."""
+    words, start and end) and ``items`` (ids of the items found)."""
     sc = docs.sparkSession.sparkContext
     rows = whole_rows(docs.withColumn("text", F.col("text").cast("string")))
-    out = None
-    for block in blocks(benchmark, window, block_words):
-        if out is not None:
-            out, _ = saved(out, "decontaminate")
-        shared = sc.broadcast(block)
-        out = _pass(rows if out is None else out, shared, shared._jbroadcast.id(), window)
-    return _pass(rows, None, 0, window) if out is None else out
+    formed = blocks(benchmark, window, block_words)
+    numbers = sorted(r["block"] for r in formed.select("block").collect())
+
+    def shared(number: int):
+        block = sc.broadcast(_read(formed, number))
+        return block, block._jbroadcast.id()
+
+    if not numbers:
+        return _pass(rows, None, 0, window)
+    if len(numbers) == 1:
+        return _pass(rows, *shared(numbers[0]), window)
+    key = F.md5(F.coalesce(F.col("row.text"), F.lit("")))
+    texts = rows.select(key.alias("key"), F.col("row.text").alias("text"))
+    hit = reduce(DataFrame.union, [saved(_hit_texts(texts, *shared(n), window), "leak-hits")[0] for n in numbers])
+    found, _ = saved(_together(hit), "leak-found")
+    words = F.regexp_count(F.coalesce(F.col("row.text"), F.lit("")), F.lit(_WORD)).cast("bigint")
+    kinds = T.StructType.fromDDL(_FOUND)
+    return rows.withColumn("key", key).join(found, "key", "left").select(
+        "row", words.alias("words"), *[F.coalesce(c, F.array().cast(kinds[c].dataType)).alias(c) for c in ("spans", "items")]
+    )
 
 
 def _span_words():

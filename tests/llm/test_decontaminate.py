@@ -91,3 +91,24 @@ def test_cleaned_cuts_spans_and_keeps_clean_rows(spark):
     assert left[1]["text"] == "Before, it starts. ! And this is what comes after the passage, with many more words here"
     assert left[1]["n_chars"] == len(left[1]["text"])
     assert left[3].asDict() == dict(zip(frame.columns, rows[2])) and left[4]["text"] is None
+
+
+def test_blocks_hold_all_items_within_their_bound(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate((3, 30, 120, 0, 7, 55, 90, 1))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").repartition(7)
+    rows = dc.blocks(bench, 10, 50).collect()
+    sizes = [sum(len(bytes(p["words"]).split()) for p in r["items"]) for r in rows]
+    assert max(sizes) <= 50 and len({r["block"] for r in rows}) == len(rows) <= 2 * -(-sum(sizes) // 50)
+    pieces = [(p["item_id"], bytes(p["words"]).split()) for r in rows for p in r["items"]]
+    for i, text in items:
+        words = dc.normal_words(text.encode())
+        held = {tuple(w[k : k + 10]) for item, w in pieces if item == str(i) for k in range(max(1, len(w) - 9))}
+        assert held == {tuple(words[k : k + 10]) for k in range(max(1, len(words) - 9)) if words}
+
+
+def test_cleaning_by_several_blocks_equals_one(spark):
+    docs, items = random_case(5)
+    frame = spark.createDataFrame([(d, t, len(t), "x", "y") for d, t in docs] * 2, "doc_id bigint, text string, n_chars bigint, key string, words string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    one = sorted(map(str, dc.cleaned(frame, bench, 4, 0.9).collect()))
+    assert one == sorted(map(str, dc.cleaned(frame, bench, 4, 0.9, block_words=15).collect())) and 0 < len(one)
