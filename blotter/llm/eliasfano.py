@@ -53,9 +53,10 @@ class EliasFano:
         high = np.searchsorted(self.bucket, at, side="right") - 1
         return (high.astype(np.uint64) << np.uint64(self.bits)) | (self._low(at) if self.bits else np.uint64(0))
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
+    def successor(self, x: np.ndarray, begin: np.ndarray | None = None, stop: np.ndarray | None = None) -> np.ndarray:
         """Place of the first value of ``x`` or more (``n`` if none): from the
-        start of its bucket, past the smaller low bits."""
+        start of its bucket, past the smaller low bits. With ``begin`` and ``stop``
+        the search stays between these places (``stop`` if none)."""
         x = np.asarray(x, np.uint64)
         last = len(self.bucket) - 2
         high = (x >> np.uint64(self.bits)).astype(np.int64)
@@ -63,6 +64,8 @@ class EliasFano:
         high = np.minimum(high, max(last, 0))
         at, end = self.bucket[high], self.bucket[np.minimum(high + 1, len(self.bucket) - 1)]
         end = np.minimum(end, self.n)
+        if begin is not None:
+            at, end = np.clip(at, begin, stop), np.clip(end, begin, stop)
         low = x & np.uint64((1 << self.bits) - 1)
         # Halving within the bucket; a bucket has few values on average.
         width = int((end - at).max(initial=0))
@@ -73,7 +76,7 @@ class EliasFano:
             less = open_ & ((self._low(np.minimum(mid, max(self.n - 1, 0))) if self.bits else np.zeros(len(mid), np.uint64)) < low)
             right = np.where(open_ & ~less, mid, right)
             left = np.where(less, mid + 1, left)
-        return np.where(beyond, self.n, left)
+        return np.where(beyond, self.n if stop is None else stop, left)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Place of ``x``, or -1."""
@@ -99,8 +102,8 @@ class Trie:
     ``contexts``: context words' hashes. ``names``: successor words' hashes;
     their places are the numbers of the successors. ``pointers``: where each
     context's successors begin. ``level``: number of the successor plus the
-    context's place times the count of names, one monotone sequence, so a
-    successor is searched relative to its context. ``codes`` are places in
+    context's place times the count of names, one monotone sequence; a successor
+    is searched between the pointers of its context. ``codes`` are places in
     ``table``."""
 
     def __init__(self, contexts: EliasFano, names: EliasFano, pointers: EliasFano, level: EliasFano, codes: np.ndarray, table: np.ndarray):
@@ -128,8 +131,13 @@ class Trie:
         c, w = self.contexts.find(context), self.names.find(word)
         held = (c >= 0) & (w >= 0)
         key = np.maximum(c, 0).astype(np.uint64) * np.uint64(max(1, self.names.n)) + np.maximum(w, 0).astype(np.uint64)
-        at = np.where(held, self.level.find(key), -1)
-        return np.where(at >= 0, self.table[self.codes[np.maximum(at, 0)]] if len(self.codes) else 0.0, np.nan)
+        if not len(self.codes):
+            return np.full(len(held), np.nan)
+        # The successors of a context lie between its pointer and the next one.
+        begin, stop = (self.pointers[np.maximum(c, 0) + k].astype(np.int64) for k in (0, 1))
+        at = np.minimum(self.level.successor(key, begin, stop), len(self.codes) - 1)
+        held &= (at < stop) & (self.level[at] == key)
+        return np.where(held, self.table[self.codes[at]], np.nan)
 
     def successors(self, context: int) -> np.ndarray:
         """Hashes of the words that follow a context."""

@@ -8,8 +8,7 @@ training tokens and ``V`` the distinct ones:
 * ``P(w) = (c(w) + 1) / (N + V + 1)``, the base model;
 * ``P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU)`` for every pair of words,
   however rare: after a context without training tokens that is ``P(w)``. The
-  first word's context is the end of a text. (``MIN_COUNT`` is a floor on the
-  training tokens of both words, under which ``P(w)`` stays; it is 0, no floor.)
+  first word's context is the end of a text.
 
 No task can hold the model of a large corpus, so it is one trie for each shard
 of the bigrams, and the work goes to the shards:
@@ -33,7 +32,7 @@ are quantised to 256 levels of their logarithm, in the trie and for the
 unigram part that travels with a pair.
 
 Defined cases: a null text is empty and has the end alone; a null id is a
-training document; an empty table gives an empty result; other columns are
+training document, and any other id is taken as it is; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -52,7 +51,6 @@ from blotter.llm.eliasfano import Trie
 
 MODULUS, HELD = 7, 2
 MU = 300.0
-MIN_COUNT = 0
 HOT_SHARE = 0.001
 SHARD_TOKENS = 2_000_000
 BLOCK_WORDS = 1 << 20
@@ -148,9 +146,9 @@ def _word_counts(parts: int):
 
 
 def _corpus_counts(hot_count: float):
-    """``block, part, body, types, hot``: corpus counts of each block's words
-    in the order they came; one row of a part has its number of training words
-    and the hot ones."""
+    """``block, part, body, types, hot, hot_n``: corpus counts of each block's
+    words in the order they came; one row of a part has its number of training
+    words, the hot ones and their counts."""
 
     def run(part: pa.Table) -> pa.Table:
         asked = [from_blob(body) for body in part.column("body").to_pylist()]
@@ -163,6 +161,7 @@ def _corpus_counts(hot_count: float):
             "body": pa.array([to_blob(c[place[i:j]]) for i, j in zip(edge, edge[1:])], pa.binary()),
             "types": pa.array([int((c > 0).sum())] + [0] * more, pa.int64()),
             "hot": pa.array([words[c > hot_count].view(np.int64).tolist()] + [[]] * more, pa.list_(pa.int64())),
+            "hot_n": pa.array([c[c > hot_count].tolist()] + [[]] * more, pa.list_(pa.int64())),
         })
 
     return run
@@ -186,6 +185,11 @@ def _hot_pairs(hot):
     return run
 
 
+def _name(words: np.ndarray) -> np.ndarray:
+    """What tells words apart behind a context."""
+    return words >> np.uint64(64 - _NEXT_BITS)
+
+
 def _places(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Places of ``x`` among sorted values, -1 where absent."""
     if not len(sorted_values):
@@ -200,11 +204,22 @@ def shards(tokens: int) -> int:
 
 
 class Corpus:
-    """What every task knows of the corpus: totals and the hot pairs."""
+    """What every task knows of the corpus: totals, the hot words and the trie
+    of their pairs (as a buffer)."""
 
-    def __init__(self, tokens: int, types: int, hot: np.ndarray, pairs: np.ndarray):
-        self.tokens, self.types, self.hot, self.pairs = tokens, types, hot, pairs
+    def __init__(self, tokens: int, types: int, hot: np.ndarray):
+        self.tokens, self.types, self.hot = tokens, types, hot
         self.shards = shards(tokens)
+        self.hot_pairs = b""
+
+    def with_hot_pairs(self, counts: np.ndarray, pair: np.ndarray, n: np.ndarray) -> Corpus:
+        """``counts`` of the hot words; ``pair`` numbers with their counts ``n``."""
+        v, w = pair // max(1, len(self.hot)), pair % max(1, len(self.hot))
+        context, word = self.hot[v], _name(self.hot[w])
+        order = np.lexsort((word, context))
+        log10p = np.log10((n + MU * self.unigram(counts[w])) / (counts[v] + MU))
+        self.hot_pairs = Trie.build(context[order], word[order], log10p[order]).to_bytes()
+        return self
 
     def unigram(self, c: np.ndarray) -> np.ndarray:
         return (c + 1.0) / (self.tokens + self.types + 1)
@@ -222,6 +237,7 @@ def _probes(shared):
 
     def run(key, blocks: pa.Table, counts: pa.Table) -> pa.Table:
         corpus, shard_out, body_out = shared.value, [], []
+        hot_pairs = Trie.from_buffer(corpus.hot_pairs)
         for row in blocks.to_pylist():
             block = Block(row)
             c = np.empty(len(block.words), np.int64)
@@ -237,19 +253,18 @@ def _probes(shared):
             is_hot = hot >= 0
             both_hot = is_hot[v] & is_hot[w]
             at = np.flatnonzero(both_hot)
-            n_pair = corpus.pairs[hot[v[at]] * len(corpus.hot) + hot[w[at]]]
-            score += block.by_doc(np.log10((n_pair + MU * uni[w[at]]) / (c[v[at]] + MU)) - log_uni[w[at]], at)
-            common = c >= MIN_COUNT
-            modelled = common[v] & common[w] & ~both_hot
+            log10p = hot_pairs.lookup(block.words[v[at]], _name(block.words[w[at]]))
+            log10p = np.where(np.isnan(log10p), np.log10(MU * uni[w[at]] / (c[v[at]] + MU)), log10p)
+            score += block.by_doc(log10p - log_uni[w[at]], at)
             unseen = (c[v] == 0) | (c[w] == 0)
-            at = np.flatnonzero(modelled & unseen)
+            at = np.flatnonzero(unseen & ~both_hot)
             score += block.by_doc(np.log10(MU / (c[v[at]] + MU)), at)
-            at = np.flatnonzero(modelled & ~unseen)
+            at = np.flatnonzero(~unseen & ~both_hot)
             score -= block.by_doc(log_uni[w[at]], at)
-            shard_out.append(row["block"] % corpus.shards)
+            shard_out.append(_spread(row["block"]) % corpus.shards)
             body_out.append(b"B" + to_blob(
-                np.array([0 if d is None else d + (1 << 62) for d in block.ids], np.uint64), block.held.astype(np.uint8),
-                block.n_tokens, block.by_doc((c > 0)[w].astype(float)).astype(np.int64), base, score,
+                np.array([d is None for d in block.ids], np.uint8),
+                np.array([d or 0 for d in block.ids], np.int64).view(np.uint64), block.held.astype(np.uint8), block.n_tokens, block.by_doc((c > 0)[w].astype(float)).astype(np.int64), base, score,
             ))
             to = corpus.shard(block.words[v[at]], c[v[at]], block.words[w[at]])
             order, edge = _dealt(to, corpus.shards)
@@ -267,6 +282,11 @@ def _probes(shared):
     return run
 
 
+def _spread(number: int) -> int:
+    """A block's number, whose low bits are all alike, as a hash."""
+    return (number * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 32
+
+
 def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> bytes:
     """One block's pairs for one shard: contexts with their counts, the next
     words, once each, with their unigram codes, for each pair the number of its
@@ -285,7 +305,7 @@ def _asked(block: Block, at: np.ndarray, c: np.ndarray, codes: np.ndarray) -> by
     follow, number = np.unique((pair % words).astype(np.int64), return_inverse=True)
     context = context.astype(np.int64)
     assert train.sum() == n_train.sum()
-    name = block.words[follow] >> np.uint64(64 - _NEXT_BITS)
+    name = _name(block.words[follow])
     return to_blob(
         block.words[context], c[context], np.diff(np.append(c_first, len(pair))),
         name & np.uint64(0xFFFFFFFF), name >> np.uint64(32), codes[follow], number, n_train,
@@ -346,16 +366,16 @@ def _sums(tokens: int):
         sums = []
         for body in answers.column("body").to_pylist():
             if body[:1] == b"B":
-                ids, held, n_tokens, n_known, base, score = from_blob(body[1:])
+                unnamed, ids, held, n_tokens, n_known, base, score = from_blob(body[1:])
             else:
                 sums.append(from_blob(body[1:]))
         score = score.copy()
         # In one order whatever the order of arrival, for equal reruns.
         for docs, part in sorted(sums, key=lambda s: (s[0].tobytes(), s[1].tobytes())):
             score[docs] += part
-        doc_ids = [None if d == 0 else d - (1 << 62) for d in ids.tolist()]
+        doc_ids = pa.array(ids.astype(np.uint64).view(np.int64), mask=unnamed.astype(bool))
         return pa.table({
-            "doc_id": pa.array(doc_ids, pa.int64()), "held_out": pa.array(held.astype(bool)),
+            "doc_id": doc_ids, "held_out": pa.array(held.astype(bool)),
             "n_tokens": n_tokens.astype(np.int64), "n_known": n_known.astype(np.int64),
             "train_tokens": np.full(len(ids), tokens, np.int64), "base_score": base, "score": score,
         })
@@ -375,20 +395,22 @@ def scores(docs: DataFrame) -> DataFrame:
     # Fewer than 1 / HOT_SHARE words can have more than that share of tokens.
     counts, _ = saved(
         words.groupBy("part").applyInArrow(
-            _corpus_counts(max(tokens * HOT_SHARE, MIN_COUNT)),
-            "block bigint, part bigint, body binary, types bigint, hot array<bigint>",
+            _corpus_counts(tokens * HOT_SHARE),
+            "block bigint, part bigint, body binary, types bigint, hot array<bigint>, hot_n array<bigint>",
         ),
         "lm-counts",
     )
     types = counts.agg(F.sum("types")).first()[0] or 0
-    hot = [r["hot"] for r in counts.select(F.explode("hot").alias("hot")).collect()]
-    hot = np.sort(np.array(hot, np.int64).view(np.uint64))
-    hot_counts = np.zeros(len(hot) ** 2, np.int64)
-    if len(hot):
-        found = blocks.mapInArrow(_hot_pairs(hot), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-        for r in found.toLocalIterator():
-            hot_counts[r["pair"]] = r["n"]
-    shared = spark.sparkContext.broadcast(Corpus(tokens, types, hot, hot_counts))
+    known = counts.select(F.explode(F.arrays_zip("hot", "hot_n")).alias("h")).select("h.hot", "h.hot_n").collect()
+    hot = np.array([r["hot"] for r in known], np.int64).view(np.uint64)
+    order = np.argsort(hot)
+    corpus = Corpus(tokens, types, hot[order])
+    # At most a million pairs of hot words.
+    found = blocks.mapInArrow(_hot_pairs(corpus.hot), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = sorted((r["pair"], r["n"]) for r in found.toLocalIterator()) if len(hot) else []
+    pair, n = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    corpus.with_hot_pairs(np.array([r["hot_n"] for r in known], np.int64)[order], pair, n)
+    shared = spark.sparkContext.broadcast(corpus)
     probes = blocks.groupBy("block").cogroup(counts.select("block", "part", "body").groupBy("block")).applyInArrow(
         _probes(shared), "shard bigint, block bigint, body binary"
     )

@@ -59,7 +59,7 @@ def check(df, want):
 
 def test_query_against_dictionaries(spark):
     docs = [(r["doc_id"], r["text"]) for r in table(spark, MIDDLE, "documents").select("doc_id", "text").collect()]
-    rows = check(QUERIES["op2_lm_scoring"](spark, MIDDLE), plain(docs, lm.MIN_COUNT))
+    rows = check(QUERIES["op2_lm_scoring"](spark, MIDDLE), plain(docs, 0))
     apart = [r for r in rows if r["held_out"]]
     assert apart and sum(r["score"] for r in apart) > sum(r["base_score"] for r in apart)
 
@@ -67,10 +67,9 @@ def test_query_against_dictionaries(spark):
 def test_many_shards_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_TOKENS", 4000)
     monkeypatch.setattr(lm, "BLOCK_WORDS", 5000)
-    monkeypatch.setattr(lm, "MIN_COUNT", 2)
     frame = table(spark, "/root/testdata/sf0.001", "documents").repartition(3)
     docs = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
-    check(lm.scores(frame), plain(docs, 2))
+    check(lm.scores(frame), plain(docs, 0))
 
 
 def test_rare_words_are_modelled(spark, monkeypatch):
@@ -113,6 +112,25 @@ def test_trie_holds_its_bigrams_and_opens_from_a_mapped_file(tmp_path):
         assert sorted(trie.successors(c).tolist()) == [b for a, b in grams if a == c]
 
 
+def test_search_stays_between_the_pointers():
+    rnd = np.random.default_rng(4)
+    values = np.sort(rnd.integers(0, 1 << 20, 2000, dtype=np.uint64))
+    ef = EliasFano.of(values)
+    x = rnd.integers(0, 1 << 20, 500, dtype=np.uint64)
+    begin = rnd.integers(0, 1500, 500)
+    stop = begin + rnd.integers(0, 500, 500)
+    want = np.clip(np.searchsorted(values, x), begin, stop)
+    assert (ef.successor(x, begin, stop) == want).all()
+
+
+def test_any_id_is_kept(spark):
+    ids = [-(2**63), -(2**62), -(2**62) - 1, -1, 0, 2**63 - 1, None]
+    docs = spark.createDataFrame([(i, "one two") for i in ids], "doc_id bigint, text string")
+    rows = rows_of(lm.scores(docs))
+    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == sorted(ids[:-1]) and len(rows) == len(ids)
+    assert [r["held_out"] for r in rows] == [held(r["doc_id"]) for r in rows]
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     rows = rows_of(lm.scores(odd_documents))
     assert len(rows) == odd_documents.count()
