@@ -13,7 +13,7 @@ one, which makes a run. So
 
 1. every block sends the anchors of its runs, once each;
 2. anchors with a single place in the corpus are dropped: their windows are
-   unique. The others go back to their blocks;
+   unique. The others go back to their blocks, with the number of their places;
 3. every block sends the runs of such anchors with a hash of each window. Of
    equal runs in a block only the earliest goes; the others have it as source;
 4. runs meet by anchor. Each window finds its earliest place, and pieces with
@@ -21,7 +21,12 @@ one, which makes a run. So
 5. the block joins pieces across run ends into factors and removes them.
 
 A hot passage therefore sends one row for each block and variant, whatever
-the number of its copies. The index is complete: every window of every
+the number of its copies. A phrase in many different surroundings is a hot
+anchor: its windows are sent one by one, under keys made of the anchor and some
+bits of the window's own hash, the more keys the more places the anchor has. So
+equal windows still meet, and no key has more than about ``HOT_PLACES`` distinct
+ones. A task reads a key's runs in order and holds its distinct windows only.
+The index is complete: every window of every
 document probes it, so factor ends lose nothing. Windows that meet at an anchor
 are compared by 64 bits of hash of their own: the anchor's 64 bits are the same
 for all of them, however many a frequent phrase brings together.
@@ -38,14 +43,18 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from blotter.llm.common import block_body, hashed, saved, whole_groups, word_blocks
+from blotter.llm.common import block_body, hashed, saved, word_blocks
 
 WINDOW = 20
 ANCHOR = 10
 _LAST = np.iinfo(np.int64).max  # a null id
 
+#: Places of an anchor beyond which its windows are dealt over several keys.
+HOT_PLACES = 1 << 15
+
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -139,13 +148,11 @@ def _anchors(window: int, anchor: int):
     return run
 
 
-def _repeated(batches):
-    """Step 2: ``block, anchor`` of anchors with two places or more."""
-    for t in whole_groups(batches, "anchor"):
-        anchor, block, places = (t.column(c).to_numpy() for c in ("anchor", "block", "places"))
-        first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        total = np.repeat(np.add.reduceat(places, first), np.diff(np.r_[first, len(anchor)]))
-        yield _batch({"block": block[total > 1], "anchor": anchor[total > 1]})
+def repeated_anchors(anchors: DataFrame) -> DataFrame:
+    """Step 2: ``block, anchor, total`` of anchors with two places or more. An
+    anchor's rows, one a block, are summed by a window that spills."""
+    total = F.sum("places").over(W.partitionBy("anchor"))
+    return anchors.withColumn("total", total).where("total > 1").select("block", "anchor", "total")
 
 
 _RUN_SCHEMA = (
@@ -159,11 +166,15 @@ def _shared_runs(window: int, anchor: int):
 
     def run(key, block: pa.Table, known: pa.Table) -> pa.Table:
         out = []
+        anchors, totals = known.column("anchor").to_numpy(), known.column("total").to_numpy()
         for row in block.to_pylist():
             lens, doc_ids = np.array(row["lens"], np.int64), row["doc_ids"]
             low, first, count, whole = runs(block_body(row["body"]), lens, window, anchor)
-            here = np.isin(_signed(low), known.column("anchor").to_numpy())
+            order = np.argsort(anchors)
+            at = np.minimum(np.searchsorted(anchors[order], _signed(low)), max(len(anchors) - 1, 0))
+            here = anchors[order][at] == _signed(low) if len(anchors) else np.zeros(len(low), bool)
             low, first, count = _signed(low[here]), first[here], count[here]
+            keys = 1 + (totals[order][at[here]] // HOT_PLACES if len(anchors) else np.zeros(0, np.int64))
             offset = np.concatenate([[0], np.cumsum(lens)])
             doc = np.searchsorted(offset, first, side="right") - 1
             start = first - offset[doc]
@@ -180,11 +191,24 @@ def _shared_runs(window: int, anchor: int):
             # A run with a known source only passes through step 4: any key will do.
             spread = np.arange(len(low), dtype=np.uint64) * _M + np.uint64(row["block"] % (1 << 32))
             key = np.where(known_at, _signed(spread), low)
+            # The windows of hot anchors go one by one, dealt by their hashes.
+            hot = np.flatnonzero((keys > 1) & ~known_at)
+            run = np.repeat(hot, count[hot])
+            step = np.arange(len(run)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
+            mark = whole[first[run] + step]
+            part = mark % keys[run].astype(np.uint64)
+            dealt = _signed((low[run].view(np.uint64) ^ part * np.uint64(0xD6E8FEB86659FD93)) * _M)
+            cold = np.ones(len(low), bool)
+            cold[hot] = False
+            at = np.concatenate([np.flatnonzero(cold), run])
+            every = [None if k else m for k, m in zip(known_at.tolist(), marks)]
+            one = np.concatenate([np.zeros(int(cold.sum()), np.int64), step])
             out.append(pa.table({
-                "anchor": key, "block": np.full(len(low), row["block"], np.int64), "doc": doc.astype(np.int32),
-                "start": start.astype(np.int32), "doc_id": ids,
-                "marks": pa.array([None if k else m for k, m in zip(known_at.tolist(), marks)], pa.binary()),
-                "count": count.astype(np.int32), "source": source, "source_start": source_start,
+                "anchor": np.concatenate([key[cold], dealt]), "block": np.full(len(at), row["block"], np.int64),
+                "doc": doc[at].astype(np.int32), "start": (start[at] + one).astype(np.int32), "doc_id": ids[at],
+                "marks": pa.array([every[i] for i in np.flatnonzero(cold).tolist()] + [m.tobytes() for m in mark], pa.binary()),
+                "count": np.concatenate([count[cold], np.ones(len(run), np.int64)]).astype(np.int32),
+                "source": source[at], "source_start": source_start[at],
             }))
         return pa.concat_tables(out) if out else _EMPTY_RUNS
 
@@ -202,9 +226,12 @@ _PIECES = ("block", "doc", "start", "count", "source", "source_start")
 
 def _sources(batches):
     """Step 4: pieces of windows with neighbouring sources. Runs come sorted
-    by anchor, id and start, so the first of equal windows is the earliest."""
-    for t in whole_groups(batches, "anchor"):
-        given = {c: t.column(c).to_numpy() for c in _PIECES}
+    by anchor, id and start, so the first of equal windows is the earliest. Of
+    a key that a batch does not end, the distinct windows and their places are
+    taken on to the next batch."""
+    held_key, held = None, None  # an open key; its windows' hashes, ids and starts
+    for t in (b for b in batches if b.num_rows):
+        given = {c: t.column(c).to_numpy(zero_copy_only=False) for c in _PIECES}
         known = given["source_start"] >= 0  # its key is no anchor
         if known.any():
             yield _batch({c: v[known] for c, v in given.items()})
@@ -212,9 +239,17 @@ def _sources(batches):
             continue
         t = t.filter(pa.array(~known))
         anchor, block, doc, start, ids, count = (
-            t.column(c).to_numpy() for c in ("anchor", "block", "doc", "start", "doc_id", "count")
+            t.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "block", "doc", "start", "doc_id", "count")
         )
         mark = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint64)
+        before = 0
+        if held is not None and anchor[0] == held_key:
+            # Windows of earlier batches stand in front, as runs of one that are no one's.
+            before = len(held[0])
+            mark = np.concatenate([held[0], mark])
+            ids, start = np.concatenate([held[1], ids]), np.concatenate([held[2], start])
+            block, doc, count = (np.concatenate([np.full(before, v, c.dtype), c]) for v, c in ((-1, block), (-1, doc), (1, count)))
+            anchor = np.concatenate([np.full(before, held_key, anchor.dtype), anchor])
         group = np.cumsum(np.r_[False, anchor[1:] != anchor[:-1]])
         row = np.repeat(np.arange(len(count)), count)
         step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
@@ -225,7 +260,10 @@ def _sources(batches):
         earliest = np.empty(len(row), np.int64)
         earliest[order] = np.repeat(order[head], np.diff(np.r_[head, len(row)]))
         source, source_start = ids[row][earliest], place[earliest]
+        last = order[head][by_group[head] == group[-1]]
+        held_key, held = anchor[-1], (mark[last].copy(), ids[row][last], place[last].astype(np.int32))
         later = (source < ids[row]) | ((source == ids[row]) & (source_start < place))
+        later &= row >= before
         joins = np.r_[False, later[:-1] & (row[1:] == row[:-1]) & (source[1:] == source[:-1]) & (np.diff(source_start) == 1)]
         begin = np.flatnonzero(later & ~joins)
         if len(begin):
@@ -301,9 +339,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, wi
     anchors = blocks.select("block", "lens", "body").mapInArrow(
         _anchors(window, anchor), "anchor bigint, block bigint, places int"
     )
-    repeated = (
-        anchors.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "block bigint, anchor bigint")
-    )
+    repeated = repeated_anchors(anchors)
     by_block = blocks.groupBy("block")
     shared = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_shared_runs(window, anchor), _RUN_SCHEMA)
     pieces = (

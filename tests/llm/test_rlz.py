@@ -105,6 +105,37 @@ def test_windows_of_a_hot_anchor_that_agree_in_32_bits(spark):
         assert got(rlz.deduplicated(frame.repartitionByRange(parts, "doc_id"))) == plain(docs)
 
 
+def test_a_phrase_in_many_surroundings(spark, monkeypatch):
+    """A hot anchor: its windows are dealt over keys, and a task holds the
+    distinct windows of a key only."""
+    monkeypatch.setattr(rlz, "HOT_PLACES", 64)
+    rnd = random.Random(7)
+    phrase = " ".join(f"p{i}" for i in range(14))
+    side = [" ".join(f"{rnd.choice('abcdefgh')}{rnd.randrange(30)}" for _ in range(9)) for _ in range(900)]
+    docs = [(i, f"{side[i]} {phrase} {side[(7 * i) % 900]}") for i in range(900)]
+    docs += [(1000 + i, docs[rnd.randrange(900)][1]) for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    assert got(rlz.deduplicated(frame)) == plain(docs)
+    blocks, _ = rlz.saved(rlz.word_blocks(frame), "test-blocks")
+    anchors = blocks.mapInArrow(rlz._anchors(20, 10), "anchor bigint, block bigint, places int")
+    assert rlz.repeated_anchors(anchors).agg({"total": "max"}).first()[0] > 64
+
+
+def test_a_key_over_several_batches(spark, monkeypatch):
+    """Distinct windows are carried from batch to batch of one key."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_a_phrase_in_many_surroundings(spark, monkeypatch)
+        monkeypatch.setattr(rlz, "HOT_PLACES", 1 << 15)
+        rnd = random.Random(2)
+        pool = [" ".join(rnd.choice("abc") for _ in range(40)) for _ in range(6)]
+        docs = [(i, " ".join(rnd.choice(pool) for _ in range(3))) for i in range(90)]
+        frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(30)
+        assert got(rlz.deduplicated(frame)) == plain(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     frame = odd_documents.withColumnRenamed("rate", "block")
     want = plain([(r["doc_id"], r["text"]) for r in odd_documents.collect()])
