@@ -4,7 +4,7 @@ Every writer replaces its target: the new output is written beside it and takes
 its place when it is whole, so a run that fails leaves the previous output as
 it was. Every writer keeps surrounding whitespace (Spark's CSV writer trims it by default,
 which would turn ``' 03'`` into ``'03'``). Output stays in parallel part
-files; a single file is the caller's explicit choice, written by one task.
+files; a single file is the caller's explicit choice, joined from such parts.
 """
 
 from __future__ import annotations
@@ -92,13 +92,59 @@ def record_line(district: str = "district", text: str = "description", cnt: str
     return F.format_string("%s;\t%s;%d", null_to_empty(district), null_to_empty(text), F.col(cnt))
 
 
+def _join_files(spark: SparkSession, target, files: list) -> None:
+    """``files`` in their order as one file ``target``, by the file system: a
+    distributed one links their blocks, the local one copies them."""
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files:
+        fs.create(target).close()
+        return
+    local = fs.getUri().getScheme() == "file"
+    if not local:
+        fs.rename(files[0], target)
+        files = files[1:]
+    sources = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(files))
+    for i, f in enumerate(files):
+        sources[i] = f
+    if files:
+        (fs.getRawFileSystem() if local else fs).concat(target, sources)
+
+
+def can_join_files(spark: SparkSession, path: str) -> bool:
+    """Whether the file system of ``path`` joins files itself."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getUri().getScheme() == "file" or fs.hasPathCapability(p, "fs.capability.paths.concat")
+
+
 def export_single_file(df: DataFrame, path: str, header: bool = False, sep: str = ";") -> None:
-    """Write exactly one part file, through one task, at the caller's choice.
+    """Write exactly one part file with the rows in their order.
 
-    The rows stream through that task in their order; only its disk bounds
-    them. Everything before the last exchange stays parallel.
-    """
-    write_delimited(df.coalesce(1), path, header=header, sep=sep)
+    The sorted parts are written in parallel and joined in order by the file
+    system. Only one that cannot join files (an object store) gets the rows
+    through one task, which streams them."""
+    spark = df.sparkSession
+    if not can_join_files(spark, path):
+        write_delimited(df.coalesce(1), path, header=header, sep=sep)
+        return
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+
+    def write(to: str) -> None:
+        parts = [f"{to}/_rows"]
+        if header:
+            parts.insert(0, f"{to}/_header")
+            write_delimited(df.limit(0).coalesce(1), parts[0], header=True, sep=sep, mode="append")
+        write_delimited(df, f"{to}/_rows", sep=sep, mode="append")
+        fs = Path(to).getFileSystem(spark._jsc.hadoopConfiguration())
+        files = []
+        for part in parts:
+            found = [f.getPath() for f in fs.listStatus(Path(part)) if f.getLen() and f.getPath().getName().startswith("part-")]
+            files += sorted(found, key=lambda f: f.getName())
+        _join_files(spark, Path(to, f"part-00000-{uuid.uuid4()}.csv"), files)
+        for part in parts:
+            fs.delete(Path(part), True)
+
+    replace_output(spark, path, write)
 
 
 def as_extract(incidents: DataFrame, with_description: bool = True) -> DataFrame:

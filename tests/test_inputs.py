@@ -8,11 +8,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from blotter import sinks
 from blotter.operators import Counters, count_by, count_by_watched, tagged_union_join
 from blotter.plans import jobs
 from blotter.plans import textpath as TP
 from blotter.session import STRICT_MALFORMED_CONF, kept_path, release_kept
-from blotter.sinks import replace_output, write_delimited, write_lines
+from blotter.sinks import export_single_file, replace_output, write_delimited, write_lines
 from blotter.sources import (
     MissingColumnError,
     MissingInputError,
@@ -158,6 +159,36 @@ def test_a_swap_that_fails_brings_the_old_output_back(spark, tmp_path):
     assert rows(spark.read.text(out)) == [("old",)] and os.listdir(tmp_path) == ["out"]
 
 
+@pytest.mark.parametrize("header", [False, True])
+def test_single_file_from_parallel_parts_equals_one_task(spark, tmp_path, header):
+    rows_ = [(f"k{i:04d}", ' "q;' if i % 7 == 0 else None if i % 5 == 0 else "", i) for i in range(2000)]
+    df = spark.createDataFrame(rows_, "k string, t string, n long").repartition(6).orderBy("k")
+    joined, plain = str(tmp_path / "joined"), str(tmp_path / "plain")
+    export_single_file(df, joined, header=header)
+    write_delimited(df.coalesce(1), plain, header=header)
+
+    def only(path):
+        names = [n for n in os.listdir(path) if n.startswith("part-")]
+        assert len(names) == 1 and not any(n.startswith("_") and n != "_SUCCESS" for n in os.listdir(path))
+        return open(os.path.join(path, names[0]), "rb").read()
+
+    assert only(joined) == only(plain) and len(only(plain)) > 10_000
+    export_single_file(df.where("false"), joined, header=header)
+    assert only(joined) == (b"k;t;n\n" if header else b"")
+
+
+def test_single_file_export_has_no_task_over_all_rows(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sinks, "write_delimited", lambda df, *a, **k: (seen.append(df), write_delimited(df, *a, **k)))
+    export_single_file(spark.range(1000).repartition(5), str(tmp_path / "out"))
+    assert [d.rdd.getNumPartitions() for d in seen] == [5]
+    # A file system that joins nothing: one task, one file.
+    monkeypatch.setattr(sinks, "can_join_files", lambda spark, path: False)
+    export_single_file(spark.range(1000).repartition(5), str(tmp_path / "out"))
+    assert [d.rdd.getNumPartitions() for d in seen] == [5, 1]
+    assert len([n for n in os.listdir(tmp_path / "out") if n.startswith("part-")]) == 1
+
+
 def test_counters_of_a_grouped_count(spark):
     df = spark.createDataFrame([(str(i % 5), str(i % 2)) for i in range(300)], "a string, b string").repartition(3)
     seen = Counters()
