@@ -71,17 +71,27 @@ def repeat_words(words: list[bytes], hashes: np.ndarray, window: int = REPEAT_WI
     same = h[order][1:] == h[order][:-1]
     if not same.any():
         return 0
-    some = order[np.r_[same, False] | np.r_[False, same]].tolist()
-    count: dict[tuple[bytes, ...], int] = {}
-    windows = [tuple(words[i : i + window]) for i in some]
-    for w in windows:
-        count[w] = count.get(w, 0) + 1
-    starts = np.zeros(len(words) + 1, np.int64)
-    for i, w in zip(some, windows):
-        if count[w] > 1:
-            starts[i] += 1
-            starts[i + window] -= 1
-    return int((np.cumsum(starts) > 0).sum())
+    number: dict[bytes, int] = {}
+    of = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words))
+    # Neighbours of equal hash are compared word by word, all at once.
+    one, two = order[:-1][same], order[1:][same]
+    equal = np.ones(len(one), bool)
+    for k in range(window):
+        equal &= of[one + k] == of[two + k]
+    found = np.zeros(n, bool)
+    found[one[equal]] = found[two[equal]] = True
+    if not equal.all():
+        # Unlike windows of one hash: those of that hash are told apart by their words.
+        for x in np.unique(h[one[~equal]]):
+            alike: dict[bytes, list[int]] = {}
+            for i in np.flatnonzero(h == x).tolist():
+                alike.setdefault(of[i : i + window].tobytes(), []).append(i)
+            for places in alike.values():
+                found[places] = len(places) > 1
+    ends = np.zeros(len(words) + 1, np.int64)
+    ends[:n] += found
+    ends[window : window + n] -= found
+    return int((np.cumsum(ends) > 0).sum())
 
 
 def counts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int, int, int, int, int]:

@@ -93,3 +93,55 @@ def test_hash_hints_are_checked():
     assert quality.repeat_words(words, np.zeros(50, np.uint64)) == quality.repeat_words(words, quality.word_hashes(words)) == 50
     words = [b"w%d" % i for i in range(50)]
     assert quality.repeat_words(words, np.zeros(50, np.uint64)) == 0
+
+
+def plain_repeats(words, window=8):
+    places = {}
+    for i in range(len(words) - window + 1):
+        places.setdefault(tuple(words[i : i + window]), []).append(i)
+    return len({i + k for p in places.values() if len(p) > 1 for i in p for k in range(window)})
+
+
+def test_repeated_words_equal_brute_force(monkeypatch):
+    import random
+    import tracemalloc
+
+    rnd = random.Random(4)
+    for _ in range(200):
+        words = [rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randint(0, 60))]
+        assert quality.repeat_words(words, quality.word_hashes(words)) == plain_repeats(words)
+        # Also where all windows have one hash.
+        assert quality.repeat_words(words, np.zeros(len(words), np.uint64)) == plain_repeats(words)
+    words = [b"word"] * 500_000
+    hashes = quality.word_hashes(words)
+    tracemalloc.start()
+    assert quality.repeat_words(words, hashes) == len(words)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+
+
+def test_toxicity_query_equals_plain_probabilities(spark):
+    """Every row of the query from the fitted weights, word by word."""
+    import math
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels)
+    ends = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = rows_of(QUERIES["op3_toxicity"](spark, sf))
+    assert len(rows) == len(texts) and model.words and model.prefixes
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for r in rows:
+        words = {w.strip(ends) for w in WORD.findall((texts[r["doc_id"]] or "").translate(lower))} - {""}
+        total = sum(model.words.get(w.encode(), 0.0) + model.prefixes.get(b" " + w[:5].encode(), 0.0) for w in words)
+        above = [1 / (1 + math.exp(-(total - t))) for t in model.thresholds]
+        assert abs(r["probability"] - above[0]) < 1e-9 and abs(r["expected_severity"] - sum(above)) < 1e-9
+        assert r["rejected"] == (above[0] >= 0.5) and r["grade"] == round(sum(above))
+    assert sum(r["rejected"] for r in rows) > 0.7 * 51
+
+
+def test_a_labelled_id_of_many_rows_is_one_training_text(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(200)] + [(2, "other")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.training_sample(docs, labels).count() == 2
