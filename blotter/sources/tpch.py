@@ -96,9 +96,8 @@ def shipped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir).select(code.alias("iucr"), "primary_description", "secondary_description")
 
 
-def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents without the descriptive columns (the 20-column extract's
-    content), and ``row_key``, which names the row."""
+def _keyed_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`incident_facts` with ``k``, the number that the code is made of."""
     ok = F.col("l_orderkey")
     district = (
         F.when(ok % TRUE_DISTRICT_PERIOD == 0, F.lit("true"))
@@ -115,16 +114,22 @@ def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.when(ok % BAD_YEAR_PERIOD == 0, F.lit("n/a")).otherwise(F.year("l_shipdate").cast("string"))
     return _table(spark, sf_dir, "lineitem").select(
         _code(F.col("l_partkey")).alias("iucr"), arrest.alias("arrest"), district.alias("district"), year.alias("year"),
-        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_key"),
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_key"), F.col("l_partkey").alias("k"),
     )
 
 
+def incident_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents without the descriptive columns (the 20-column extract's
+    content), and ``row_key``, which names the row."""
+    return _keyed_facts(spark, sf_dir).drop("k")
+
+
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical incident table: ``iucr, primary_type, description, arrest,
-    district, year``. The description comes by an equi-join on the code;
-    Catalyst broadcasts the lookup by its measured size or shuffles."""
-    lookup = codes(spark, sf_dir).toDF("iucr", "primary_type", "description")
-    return incident_facts(spark, sf_dir).join(lookup, "iucr", "left").select(
+    district, year``. The description comes by an equi-join on the number of the
+    code; Catalyst broadcasts the lookup by its measured size or shuffles."""
+    lookup = _lookup(spark, sf_dir).toDF("k", "primary_type", "description")
+    return _keyed_facts(spark, sf_dir).join(lookup, "k", "left").select(
         "iucr", "primary_type", "description", "arrest", "district", "year"
     )
 
