@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 
 
-def small_enough(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+def small_enough(df: DataFrame, most: int) -> bool:
     """Whether the rows of ``df``, counted and measured, take at most ``most``
     bytes (texts, and 16 bytes for each value)."""
     width = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
@@ -59,7 +59,7 @@ def join_lookup(
         lookup = lookup.hint("merge")
     elif strategy == "broadcast":
         allowed = counts.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
-        if allowed and small_enough(lookup):
+        if allowed and small_enough(lookup, BROADCAST_BYTES):
             lookup = F.broadcast(lookup)
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy: {strategy}")

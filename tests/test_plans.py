@@ -99,3 +99,21 @@ def test_broadcast_strategy_falls_back_to_shuffle(spark):
         assert "BroadcastHashJoin" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_strategy_measures_the_lookup(spark, monkeypatch):
+    """Asked for, a lookup above Spark's own threshold is broadcast too, but not
+    one above the library's bound."""
+    from blotter.operators import joins
+
+    counts = spark.range(5000).selectExpr("cast(id as string) iucr", "'1' district", "id cnt")
+    lookup = spark.range(5000).selectExpr("cast(id as string) iucr", "repeat('d', 50) description")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        assert "BroadcastHashJoin" in initial_plan(join_lookup(counts, lookup, strategy="broadcast"))
+        assert "BroadcastHashJoin" not in initial_plan(join_lookup(counts, lookup))
+        assert joins.small_enough(lookup, 1 << 20) and not joins.small_enough(lookup, 100_000)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", 100_000)
+        assert "BroadcastHashJoin" not in initial_plan(join_lookup(counts, lookup, strategy="broadcast"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
