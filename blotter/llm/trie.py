@@ -25,9 +25,11 @@ The hash over the ids that end at a node is a chain. The ids are sorted over
 range partitions, joined to strings of at most ``CHUNK_IDS`` ids there, and
 these are streamed through the hash in order.
 
-One conversation's turns are numbered by window functions over its hundred:
-Spark streams and spills them, so a long one is never held in memory, but it
-is one task's work.
+Whatever runs along a conversation (numbers of turns, digests of prefixes, sums
+from its end) is a running total: rows are sorted over range partitions, each task
+adds up what it has, and the totals of conversations that reach over a partition's
+end, at most one for each partition, are carried on. So a conversation with a
+third of all turns is many tasks' work.
 
 Defined cases: a null ``conv_id`` belongs to no conversation; a null role or
 text is empty; turns with the same number are ordered by their digests;
@@ -43,8 +45,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window as W
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.llm.common import saved
 
@@ -82,46 +86,97 @@ def turn_digests(conversations: DataFrame) -> DataFrame:
     ).where("c is not null")
 
 
+def running(rows: DataFrame, order: list[Column], totals: dict[str, tuple[str, str]]) -> DataFrame:
+    """``rows`` with running totals along each conversation ``c`` in ``order``:
+    ``{name: (long column, "sum" or "xor")}``, each row's own value included.
+
+    Nothing but a row for each partition meets in one place."""
+    ufuncs = {"sum": np.add, "xor": np.bitwise_xor}
+    names = list(totals)
+
+    def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, done, open_c, held = TaskContext.get().partitionId(), 0, None, {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            c = b.column("c").to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            size = np.diff(np.r_[first, len(c)])
+            out = []
+            for name, (column, how) in totals.items():
+                step = ufuncs[how]
+                total = step.accumulate(b.column(column).to_numpy(zero_copy_only=False).astype(np.int64))
+                before = np.concatenate([[0], total])[first]
+                total = total - np.repeat(before, size) if how == "sum" else total ^ np.repeat(before, size)
+                if c[0] == open_c:
+                    total[: size[0]] = step(total[: size[0]], held[name])
+                held[name] = total[-1]
+                out.append(pa.array(total))
+            open_c = c[-1]
+            place = np.arange(done, done + len(c))
+            done += len(c)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, *out, pa.array(np.full(len(c), at, np.int32)), pa.array(place)], [*b.schema.names, *names, "at", "place"]
+            )
+
+    spark = rows.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    by = [F.col("c"), *order]
+    shape = T.StructType([*rows.schema, *(T.StructField(n, T.LongType()) for n in names)]).add("at", T.IntegerType()).add("place", T.LongType())
+    dealt, _ = saved(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by).mapInArrow(local, shape), "trie-running")
+    edges = dealt.groupBy("at").agg(F.min("c").alias("first"), F.max_by(F.struct("c", *names), "place").alias("last"))
+    carried, before = [], None  # the last conversation so far and its totals
+    for e in sorted(edges.collect(), key=lambda r: r["at"]):
+        here = {n: e["last"][n] for n in names}
+        if before is not None and before[0] == e["first"]:
+            carried.append((e["at"], e["first"], *(before[1][n] for n in names)))
+            if e["last"]["c"] == e["first"]:
+                here = {n: here[n] + before[1][n] if totals[n][1] == "sum" else here[n] ^ before[1][n] for n in names}
+        before = (e["last"]["c"], here)
+    fields = ", ".join(f"more_{n} bigint" for n in names)
+    # At most a row for each partition.
+    carry = F.broadcast(spark.createDataFrame(carried, f"at int, c bigint, {fields}"))
+    zero = F.lit(0).cast("bigint")
+    added = {
+        n: F.col(n) + F.coalesce(f"more_{n}", zero) if totals[n][1] == "sum" else F.col(n).bitwiseXOR(F.coalesce(f"more_{n}", zero))
+        for n in names
+    }
+    return dealt.join(carry, ["at", "c"], "left").withColumns(added).select(*rows.columns, *names)
+
+
 def paths(conversations: DataFrame) -> DataFrame:
     """A row for each prefix of each rebuilt conversation: ``c, depth, n`` (of
     the last turn), ``size`` (turns of the whole), and the digests of the
-    prefix (``p1, p2``), its parent (``q1, q2``) and the whole (``f1, f2``). The
-    empty prefix has depth 0 and digest 0.
-
-    One exchange, by the base: its hundred conversations meet, and all windows
-    need only rows that are together already."""
-    base = F.col("c") - F.col("c") % GROUP
-    heads = F.crc32(F.col("c").cast("string").cast("binary")) % HEADS
-    rows = turn_digests(conversations).withColumn("b", base).withColumn("h", heads.cast("int")).repartition("b")
-    order = W.partitionBy("b", "c").orderBy(F.col("turn").asc_nulls_first(), "d1", "d2", "n")
-    rows = rows.withColumn("pos", F.row_number().over(order) - 1)
-    first = (F.col("c") == F.col("b")) & (F.col("pos") < HEADS - 1)
+    prefix (``p1, p2``) and its parent (``q1, q2``). The empty prefix has depth 0
+    and digest 0."""
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    order = [F.col("turn").asc_nulls_first(), F.col("d1"), F.col("d2"), F.col("n")]
+    numbered = running(turn_digests(conversations).withColumn("one", one), order, {"number": ("one", "sum")})
+    h = (F.crc32(F.col("c").cast("string").cast("binary")) % HEADS).alias("h")
+    turns = numbered.select("c", (F.col("number") - 1).alias("pos"), "d1", "d2", "n", h)
+    # The first turns of bases, at most HEADS - 1 each, and the conversations.
     turn = F.struct("pos", "d1", "d2", "n")
-    rows = rows.withColumn("head", F.array_sort(F.collect_list(F.when(first, turn)).over(W.partitionBy("b"))))
-    rows = rows.withColumn("head", F.slice("head", 1, F.col("h")))
-    own = F.struct(
-        (F.col("pos") - F.col("h") + F.size("head") + 1).alias("depth"), "d1", "d2", "n",
+    heads = turns.where((F.col("c") % GROUP == 0) & (F.col("pos") < HEADS - 1)).groupBy(F.col("c").alias("b")).agg(
+        F.array_sort(F.collect_list(turn)).alias("head")
     )
-    root = F.struct(F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("d1"), F.lit(0).cast("bigint").alias("d2"), F.lit(0).cast("bigint").alias("n"))
+    own = turns.groupBy("c", "h").agg(F.count(F.lit(1)).alias("own"))
+    whole = own.withColumn("b", F.col("c") - F.col("c") % GROUP).join(heads, "b", "left")
+    head = F.coalesce(F.slice("head", 1, F.col("h").cast("int")), F.array().cast(heads.schema["head"].dataType))
+    whole = whole.select("c", head.alias("head"), F.greatest(F.col("own") - F.col("h"), zero).alias("rest"))
+    whole, _ = saved(whole.withColumn("size", F.size("head") + F.col("rest")), "trie-conversations")
+    root = F.array(F.struct(zero.alias("depth"), zero.alias("d1"), zero.alias("d2"), zero.alias("n")))
     taken = F.transform("head", lambda x: F.struct((x["pos"] + 1).alias("depth"), x["d1"], x["d2"], x["n"]))
-    nothing = F.slice(F.array(root), 1, 0)
-    every = F.concat(
-        F.when(F.col("pos") == 0, F.concat(F.array(root), taken)).otherwise(nothing),
-        F.when(F.col("pos") >= F.col("h"), F.array(own)).otherwise(nothing),
+    fronts = whole.select("c", "size", F.explode(F.concat(root, taken)).alias("t")).select("c", "t.depth", "t.d1", "t.d2", "t.n", "size")
+    rests = turns.where(F.col("pos") >= F.col("h")).join(whole.select("c", "size", F.size("head").alias("from")), "c").select(
+        "c", (F.col("pos") - F.col("h") + F.col("from") + 1).cast("bigint").alias("depth"), "d1", "d2", "n", "size"
     )
-    turns = rows.select("b", "c", F.explode(every).alias("t")).select("b", "c", "t.depth", "t.d1", "t.d2", "t.n")
-    along = W.partitionBy("b", "c").orderBy("depth")
-    whole = W.partitionBy("b", "c")
-    zero = F.lit(0).cast("bigint")
-    mixed = [F.xxhash64("depth", "d1", "d2"), F.xxhash64("d2", "d1", "depth")]
-    lanes = turns.withColumns({f"m{i}": F.when(F.col("depth") == 0, zero).otherwise(m) for i, m in enumerate(mixed, 1)})
-    return lanes.withColumns(
-        {f"p{i}": F.bit_xor(f"m{i}").over(along) for i in (1, 2)}
-        | {f"f{i}": F.bit_xor(f"m{i}").over(whole) for i in (1, 2)}
-        | {"size": F.max("depth").over(whole)}
-    ).select(
-        "c", F.col("depth").cast("bigint").alias("depth"), "n", F.col("size").cast("bigint").alias("size"), "p1", "p2",
-        F.col("p1").bitwiseXOR(F.col("m1")).alias("q1"), F.col("p2").bitwiseXOR(F.col("m2")).alias("q2"), "f1", "f2",
+    rows = fronts.unionByName(rests)
+    mixed = {"m1": F.xxhash64("depth", "d1", "d2"), "m2": F.xxhash64("d2", "d1", "depth")}
+    rows = rows.withColumns({k: F.when(F.col("depth") == 0, zero).otherwise(m) for k, m in mixed.items()})
+    along = running(rows.select("c", "depth", "n", "size", "m1", "m2"), [F.col("depth")], {"p1": ("m1", "xor"), "p2": ("m2", "xor")})
+    return along.select(
+        "c", "depth", "n", "size", "p1", "p2",
+        F.col("p1").bitwiseXOR(F.col("m1")).alias("q1"), F.col("p2").bitwiseXOR(F.col("m2")).alias("q2"),
     )
 
 
@@ -192,9 +247,8 @@ def sketch(prefixes: DataFrame, width: int) -> bytes:
 
 
 def screened(rows: DataFrame, cells: bytes, width: int) -> DataFrame:
-    """``rows`` with ``single``, ``single_parent`` and ``single_end``: whether the
-    sketch proves that the prefix, its parent and the whole conversation's
-    node have one member."""
+    """``rows`` with ``single`` and ``single_parent``: whether the sketch proves that
+    the prefix and its parent have one member."""
     shared = rows.sparkSession.sparkContext.broadcast(cells)
     names = rows.columns
 
@@ -210,14 +264,11 @@ def screened(rows: DataFrame, cells: bytes, width: int) -> DataFrame:
 
         for b in batches:
             depth = b.column("depth").to_numpy(zero_copy_only=False)
-            more = [
-                single(b, "p1", "p2", depth), single(b, "q1", "q2", depth - 1),
-                single(b, "f1", "f2", b.column("size").to_numpy(zero_copy_only=False)),
-            ]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, "single", "single_parent", "single_end"])
+            more = [single(b, "p1", "p2", depth), single(b, "q1", "q2", depth - 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, "single", "single_parent"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, single boolean, single_parent boolean, single_end boolean")
+    return rows.mapInArrow(run, f"{fields}, single boolean, single_parent boolean")
 
 
 def sketch_width(n: int) -> int:
@@ -307,7 +358,7 @@ def ends_hashes(ends: DataFrame) -> DataFrame:
 def nodes(conversations: DataFrame) -> DataFrame:
     """A row for each node: ``conv_id`` (smallest member), ``depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256``."""
-    rows, _ = saved(paths(conversations), "trie-paths")
+    rows = paths(conversations)
     width = sketch_width(rows.count())
     cells = sketch(rows.where("depth > 0"), width)
     seen = screened(rows, cells, width)
@@ -327,17 +378,15 @@ def nodes(conversations: DataFrame) -> DataFrame:
     # smallest member's row, and along that member's path.
     zero = F.lit(0).cast("bigint")
     leaf = (F.col("longest") == F.col("depth")).cast("bigint")
-    own = groups.select(
-        F.col("conv_id").alias("c"), "depth", leaf.alias("leaf"), ((F.col("n_convs") - 1) * F.col("n")).alias("saved"),
-        F.lit(None).cast("bigint").alias("p1"), F.lit(None).cast("bigint").alias("p2"), zero.alias("tail"),
-    )
-    places = shared.select(
-        "c", "depth", zero.alias("leaf"), zero.alias("saved"), "p1", "p2", F.col("single_end").cast("bigint").alias("tail"),
-    )
-    below = W.partitionBy("c").orderBy(F.col("depth").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
-    sums = own.unionByName(places).select(
-        "p1", "p2", (F.sum("leaf").over(below) + F.col("tail")).alias("leaf"), F.sum("saved").over(below).alias("saved"),
-    ).where("p1 is not null")
+    own = groups.select(F.col("conv_id").alias("c"), "depth", leaf.alias("leaf"), ((F.col("n_convs") - 1) * F.col("n")).alias("saved"))
+    # A single leaf, written where it lies, is one more leaf for all above it.
+    ends = seen.where("single and depth = size").select("c", "depth", F.lit(1).cast("bigint").alias("leaf"), zero.alias("saved"))
+    nothing = F.lit(None).cast("bigint")
+    places = shared.select("c", "depth", zero.alias("leaf"), zero.alias("saved"), "p1", "p2", F.lit(1).alias("shared"))
+    gains = own.unionByName(ends).withColumns({"p1": nothing, "p2": nothing, "shared": F.lit(0)})
+    sums = running(
+        gains.unionByName(places), [F.col("depth").desc(), F.col("shared")], {"leaves": ("leaf", "sum"), "savings": ("saved", "sum")}
+    ).where("shared = 1").select("p1", "p2", F.col("leaves").alias("leaf"), F.col("savings").alias("saved"))
     children = groups.where("depth > 0 and not single_parent").select("q1", "q2").unionByName(entries.select("q1", "q2"))
     totals = sums.withColumn("child", zero).unionByName(
         children.select(F.col("q1").alias("p1"), F.col("q2").alias("p2"), zero.alias("leaf"), zero.alias("saved"), F.lit(1).cast("bigint").alias("child"))

@@ -79,6 +79,37 @@ def test_odd_rows(spark, monkeypatch, cells):
     assert found(df) == plain_nodes([r for r in ODD])
 
 
+def test_running_totals_carry_over_partitions(spark):
+    """A conversation over many partitions, and partitions with many conversations."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(1)
+    rows = [(c, i, rnd.randrange(100), rnd.getrandbits(62)) for c, k in ((5, 400), (6, 1), (7, 3), (9, 200), (-1, 2)) for i in range(k)]
+    want, total, mix = set(), defaultdict(int), defaultdict(int)
+    for c, i, x, y in rows:
+        total[c] += x
+        mix[c] ^= y
+        want.add((c, i, total[c], mix[c]))
+    df = spark.createDataFrame(rows, "c bigint, i int, x bigint, y bigint").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        out = trie.running(df, [F.col("i")], {"sum": ("x", "sum"), "mix": ("y", "xor")})
+        assert {tuple(r) for r in out.select("c", "i", "sum", "mix").collect()} == want
+        assert trie.running(df.where("false"), [F.col("i")], {"sum": ("x", "sum")}).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_one_conversation_with_a_third_of_all_turns(spark):
+    rows = [(0, t, "user", f"turn {t % 50}") for t in range(300)] + [(c, t, "user", f"turn {t}") for c in range(50, 110) for t in range(10)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    assert found(df) == plain_nodes(rows)
+
+
 def test_no_rows_no_root(spark):
     assert found(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")) == []
 
