@@ -219,7 +219,7 @@ FROM lineitem WHERE l_orderkey % {M.CUT_LINE_PERIOD} = 0""",
     "csv_parsed_whole_rows": """
 SELECT concat_ws('|', iucr, primary_type, description, arrest, district, year) AS line FROM crimes""",
     "split_points_sample": f"""
-SELECT i - 1 AS point, year, iucr
+SELECT CAST(i - 1 AS INTEGER) AS point, year, iucr
 FROM (SELECT row_number() OVER (ORDER BY year NULLS FIRST, iucr) AS i, year, iucr
       FROM (SELECT DISTINCT s.year, s.iucr FROM range(1, 9) p(i) JOIN ({_SAMPLE.format(rows='facts', key='row_key')}) s
             ON s.r = CAST(ceil(p.i * s.m / 9.0) AS BIGINT)))""",
