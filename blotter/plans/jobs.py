@@ -8,8 +8,8 @@ previous output. Command line::
                                              [--counters] [--rejects DIR]
     python -m blotter.plans.jobs count-join  IN CODES OUT [--how left|inner]
                                              [--strategy auto|broadcast|merge]
-                                             [--clean] [--normalize whitespace|full] [--lines]
-                                             [--single-file]
+                                             [--clean] [--normalize whitespace|full]
+                                             [--lines [--one-scan]] [--single-file]
     python -m blotter.plans.jobs arrest-rate IN OUT [--exact] [--partitions N [--split-points FILE]]
                                              [--text] [--lines] [--single-file]
     python -m blotter.plans.jobs drop-columns IN OUT [--single-file]
@@ -151,6 +151,7 @@ def count_join(
     lines: bool = False,
     single_file: bool = False,
     fmt: str | None = None,
+    one_scan: bool = False,
 ) -> None:
     """Count on the code (input without descriptions), join the lookup's
     description, sort after the join, write ``district;description;count``.
@@ -158,10 +159,14 @@ def count_join(
     ``lines=True``: the line form -- counts from the raw lines of the
     extract (dirty rows removed), joined to the lookup file's lines on
     whitespace-free codes (inner, reduce-side); output
-    records ``district;<TAB>description;count``.
+    records ``district;<TAB>description;count``. ``one_scan`` reads both inputs in
+    one scan and joins them by one exchange of tagged records.
     """
     if lines:
-        joined = TP.tagged_cogroup_join(spark, TP.line_code_counts(spark, src), codes_path)
+        if one_scan:
+            joined = TP.one_scan_join(spark, src, codes_path)
+        else:
+            joined = TP.tagged_cogroup_join(spark, TP.line_code_counts(spark, src), codes_path)
         write_lines(joined.select(record_line().alias("value")), dst)
         return
     facts = load_incidents(spark, src, with_description=False, fmt=fmt)
@@ -261,7 +266,7 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--strategy", choices=["auto", "broadcast", "merge"])
     j.add_argument("--clean", action="store_true")
     j.add_argument("--normalize", choices=["whitespace", "full"])
-    j.add_argument("--lines", action="store_true")
+    j.add_argument("--lines", action="store_true"), j.add_argument("--one-scan", action="store_true")
     a = job("arrest-rate", "src", "dst")
     a.add_argument("--exact", action="store_true"), a.add_argument("--partitions", type=int)
     a.add_argument("--text", action="store_true"), a.add_argument("--lines", action="store_true")
@@ -295,6 +300,8 @@ def _check(p: argparse.ArgumentParser, args: argparse.Namespace) -> None:
                     p.error(f"--{name.replace('_', '-')} has no effect with --{given}")
     if args.job == "arrest-rate" and not (args.exact or args.lines) and (args.text or args.partitions or args.split_points):
         p.error("--text, --partitions and --split-points need --exact or --lines")
+    if args.job == "count-join" and args.one_scan and not args.lines:
+        p.error("--one-scan needs --lines")
     if args.job == "count" and args.partitions and not args.lines:
         p.error("--partitions needs --lines")
 
@@ -319,7 +326,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "count-join":
             count_join(
                 spark, args.src, args.codes, args.dst, args.how or "left", args.strategy or "auto",
-                args.clean, args.normalize, args.lines, args.single_file, args.format,
+                args.clean, args.normalize, args.lines, args.single_file, args.format, args.one_scan,
             )
         elif args.job == "arrest-rate":
             arrest_rate(

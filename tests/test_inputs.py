@@ -123,6 +123,10 @@ def test_one_scan_join_of_one_folder_equals_the_join(spark, fixture_files, tmp_p
     want = TP.tagged_cogroup_join(spark, TP.line_code_counts(spark, str(d / "crimes.csv")), str(d / "codes.csv"))
     got = TP.one_scan_join(spark, str(d), str(d / "codes.csv"))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()] and got.count() == 5
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    jobs.count_join(spark, str(d / "crimes.csv"), str(d / "codes.csv"), a, lines=True)
+    jobs.count_join(spark, str(d), str(d / "codes.csv"), b, lines=True, one_scan=True)
+    assert rows(spark.read.text(a)) == rows(spark.read.text(b)) and spark.read.text(a).count() == 5
 
 
 def test_tagged_union_equals_the_inner_join(spark):
@@ -203,3 +207,31 @@ def test_kept_files_go_with_the_session_release(spark):
     assert os.path.isdir(local(path))
     release_kept(spark)
     assert not os.path.exists(local(path))
+
+
+@pytest.mark.parametrize("argv", [
+    ["count", "a", "b", "--partitions", "3"], ["count", "a", "b", "--lines", "--rejects", "c"],
+    ["count", "a", "b", "--lines", "--counters"], ["count", "a", "b", "--rejects", "c", "--strict"],
+    ["count-join", "a", "c", "b", "--one-scan"], ["arrest-rate", "a", "b", "--split-points", "p"], ["arrest-rate", "a", "b", "--lines", "--split-points", "p"],
+    ["arrest-rate", "a", "b", "--exact", "--split-points", "p", "--single-file"],
+])
+def test_new_options_without_effect_are_rejected(argv, capsys):
+    with pytest.raises(SystemExit):
+        jobs.main(argv)
+    assert "--" in capsys.readouterr().err
+
+
+def test_carried_forward_equals_joins_of_random_tables(spark):
+    import random
+
+    rnd = random.Random(11)
+    for _ in range(3):
+        keys = [None, *map(str, range(rnd.randint(1, 9)))]
+        counts = [(rnd.choice(keys), rnd.choice("ab"), i) for i in range(rnd.randint(0, 60))]
+        lookup = [(rnd.choice(keys), rnd.choice(["x", "y", None])) for _ in range(rnd.randint(0, 25))]
+        left = spark.createDataFrame(counts, "iucr string, district string, cnt long").repartition(3)
+        right = spark.createDataFrame(lookup, "iucr string, description string").repartition(2)
+        want = sorted(
+            ((k, d, n, text) for k, d, n in counts for c, text in lookup if k is not None and k == c), key=str
+        )
+        assert rows(tagged_union_join(left, right)) == want
