@@ -126,15 +126,25 @@ class Trie:
             EliasFano.of(key), codes, table,
         )
 
-    def lookup(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 probabilities, not a number where the n-gram is not held."""
+    def lookup(
+        self, context: np.ndarray, word: np.ndarray, times: np.ndarray | None = None, number: np.ndarray | None = None
+    ) -> np.ndarray:
+        """log10 probabilities, not a number where the n-gram is not held.
+
+        With ``times`` each context stands for that many n-grams that follow each
+        other, with ``number`` each of these names its word by a place in ``word``;
+        so contexts and words are looked up once each."""
         c, w = self.contexts.find(context), self.names.find(word)
-        held = (c >= 0) & (w >= 0)
-        key = np.maximum(c, 0).astype(np.uint64) * np.uint64(max(1, self.names.n)) + np.maximum(w, 0).astype(np.uint64)
         if not len(self.codes):
-            return np.full(len(held), np.nan)
+            return np.full(len(context) if times is None else int(times.sum()), np.nan)
         # The successors of a context lie between its pointer and the next one.
         begin, stop = (self.pointers[np.maximum(c, 0) + k].astype(np.int64) for k in (0, 1))
+        if times is not None:
+            c, begin, stop = (np.repeat(x, times) for x in (c, begin, stop))
+        if number is not None:
+            w = w[number]
+        held = (c >= 0) & (w >= 0)
+        key = np.maximum(c, 0).astype(np.uint64) * np.uint64(max(1, self.names.n)) + np.maximum(w, 0).astype(np.uint64)
         at = np.minimum(self.level.successor(key, begin, stop), len(self.codes) - 1)
         held &= (at < stop) & (self.level[at] == key)
         return np.where(held, self.table[self.codes[at]], np.nan)

@@ -253,9 +253,14 @@ def _probes(shared):
             is_hot = hot >= 0
             both_hot = is_hot[v] & is_hot[w]
             at = np.flatnonzero(both_hot)
-            log10p = hot_pairs.lookup(block.words[v[at]], _name(block.words[w[at]]))
-            log10p = np.where(np.isnan(log10p), np.log10(MU * uni[w[at]] / (c[v[at]] + MU)), log10p)
-            score += block.by_doc(log10p - log_uni[w[at]], at)
+            # Each pair of hot words once.
+            pair, back = np.unique(hot[v[at]] * len(corpus.hot) + hot[w[at]], return_inverse=True)
+            first = np.empty(len(pair), np.int64)
+            first[back] = at
+            x, y = v[first], w[first]
+            log10p = hot_pairs.lookup(block.words[x], _name(block.words[y]))
+            log10p = np.where(np.isnan(log10p), np.log10(MU * uni[y] / (c[x] + MU)), log10p) - log_uni[y]
+            score += block.by_doc(log10p[back], at)
             unseen = (c[v] == 0) | (c[w] == 0)
             at = np.flatnonzero(unseen & ~both_hot)
             score += block.by_doc(np.log10(MU / (c[v[at]] + MU)), at)
@@ -323,8 +328,8 @@ def _answers(shard: pa.Table) -> pa.Table:
             asked.append((block, from_blob(body[1:])))
     trie = _trie([a for _, a in asked]) if asked else None
     for block, a in asked:
-        context, c, word, uni = _pairs(a)
-        log10p = trie.lookup(context, word)
+        _, c, _, uni = _pairs(a)
+        log10p = trie.lookup(a[0].astype(np.uint64), _words(a), a[2], a[6])
         log10p = np.where(np.isnan(log10p), np.log10(MU * uni / (c + MU)), log10p)
         sums = np.bincount(a[9], weights=np.repeat(log10p, a[8]) * a[10])
         docs = np.unique(a[9])
@@ -334,9 +339,12 @@ def _answers(shard: pa.Table) -> pa.Table:
 
 def _pairs(a: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Context, its count, next word and unigram probability of each pair."""
-    word = a[3].astype(np.uint64) | a[4].astype(np.uint64) << np.uint64(32)
     uni = 10.0 ** (-_UNI_STEP * a[5])
-    return np.repeat(a[0], a[2]).astype(np.uint64), np.repeat(a[1], a[2]), word[a[6]], uni[a[6]]
+    return np.repeat(a[0], a[2]).astype(np.uint64), np.repeat(a[1], a[2]), _words(a)[a[6]], uni[a[6]]
+
+
+def _words(a: list[np.ndarray]) -> np.ndarray:
+    return a[3].astype(np.uint64) | a[4].astype(np.uint64) << np.uint64(32)
 
 
 def _trie(asked: list[list[np.ndarray]]) -> Trie:

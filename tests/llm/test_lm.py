@@ -107,6 +107,10 @@ def test_trie_holds_its_bigrams_and_opens_from_a_mapped_file(tmp_path):
     trie = Trie.from_buffer(np.memmap(tmp_path / "trie", np.uint8, "r"))
     assert np.abs(trie.lookup(context, word) - p).max() <= 6 / 255 / 2 + 1e-6
     assert np.isnan(trie.lookup(context, word + np.uint64(1000))).all()
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    names, number = np.unique(word, return_inverse=True)
+    by_run = trie.lookup(context[first], names, np.diff(np.r_[first, len(context)]), number)
+    assert (by_run == trie.lookup(context, word)).all()
     assert np.isnan(trie.lookup(context + np.uint64(1), word)).all()
     for c in set(context.tolist()):
         assert sorted(trie.successors(c).tolist()) == [b for a, b in grams if a == c]
