@@ -15,7 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from blotter.plans.catalog import HEADLINE, QUERIES  # noqa: E402
 from blotter.session import build_session  # noqa: E402
 
-EXTRA = ("type_count_by_district_csv", "tagged_cogroup_join", "arrest_pct_range_sorted")
+EXTRA = (
+    "type_count_by_district_csv", "type_count_mixed_headers", "tagged_cogroup_join", "tagged_union_join", "one_scan_join",
+    "arrest_pct_range_sorted", "split_points_sample", "split_point_partitions", "natural_key_layout",
+)
 
 
 def main() -> None:
