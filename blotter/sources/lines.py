@@ -41,10 +41,12 @@ def read_routed(spark: SparkSession, inputs: dict[str, str | list[str]]) -> Data
     given = {_address(spark, p): (name, p) for name, paths in inputs.items() for p in ([paths] if isinstance(paths, str) else paths)}
     where = {address: name for address, (name, _) in given.items()}
     outer = [p for a, (_, p) in given.items() if not any(a.startswith(f"{b}/") for b in given)]
-    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-    name = None
+    path, name = F.col("_metadata.file_path"), None
     for address in sorted(where, key=len, reverse=True):
-        here = (path == address) | path.startswith(f"{address}/")
+        here = F.lit(False)
+        # The scan may write a local path with one slash or with three.
+        for written in {address, re.sub("^file:/", "file:///", address)}:
+            here = here | (path == written) | path.startswith(f"{written}/")
         name = F.when(here, where[address]) if name is None else name.when(here, where[address])
     return read_lines(spark, outer).select(name.alias("input"), "value")
 
