@@ -56,6 +56,23 @@ def test_building_a_query_leaves_no_file_and_release_removes_text_files(spark):
     assert not any(os.path.isdir(local(p)) for p in paths.values())
 
 
+def _text_files_of(spark, query):
+    """The text inputs that a query has written, by the names of their folders."""
+    from blotter.plans.catalog import QUERIES
+
+    tpch.release(spark)
+    base = local(scratch_dir(spark))
+    before = set(os.listdir(base))
+    QUERIES[query](spark, SMOKE_DIR)
+    return sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(base)) - before)
+
+
+@needs_tables
+@pytest.mark.parametrize("query", ["key_value_line_parse"])
+def test_line_counts_write_only_the_extract_they_read(spark, query):
+    assert _text_files_of(spark, query) == ["damaged", "extract_nodesc"]
+
+
 @needs_tables
 def test_lookup_has_every_part_and_unique_codes(spark):
     n = spark.read.parquet(f"{SMOKE_DIR}/part.parquet").count()
