@@ -73,6 +73,12 @@ def test_line_counts_write_only_the_extract_they_read(spark, query):
     assert _text_files_of(spark, query) == ["damaged", "extract_nodesc"]
 
 
+@needs_tables
+@pytest.mark.parametrize("query", ["one_scan_join", "tagged_cogroup_join", "tagged_union_join"])
+def test_line_joins_write_only_the_extract_and_the_lookup(spark, query):
+    assert _text_files_of(spark, query) == ["codes", "damaged", "extract_nodesc"]
+
+
 @needs_tables
 def test_lookup_has_every_part_and_unique_codes(spark):
     n = spark.read.parquet(f"{SMOKE_DIR}/part.parquet").count()
