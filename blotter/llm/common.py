@@ -106,14 +106,16 @@ def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return [r[0] for r in counts.where(F.col("n") > F.lit(max(total * share, HOT_ROWS))).collect()]
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, how: str = "left") -> DataFrame:
+def salted_join(
+    rows: DataFrame, lookup: DataFrame, key: str, spread: Column, how: str = "left", hot: list | None = None
+) -> DataFrame:
     """Join ``rows`` to ``lookup`` (one row for each key) without a hot task.
 
     The rows of each hot key are dealt over ``HOT_PARTS`` parts by ``spread``
     and the key's one lookup row is repeated for each part; all other keys
-    have one part.
+    have one part. A caller that knows the hot keys gives them as ``hot``.
     """
-    hot = hot_values(rows, key)
+    hot = hot_values(rows, key) if hot is None else hot
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     is_hot = F.coalesce(is_hot, F.lit(False))
     left = rows.withColumn("_part", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(HOT_PARTS))).otherwise(F.lit(0)))

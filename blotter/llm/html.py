@@ -11,14 +11,17 @@ an article inside another one is dropped by the same names.
 Pages are ordered by host and URL path and each is paired with that neighbour
 of its host whose path shares the longer beginning. The lines of the two are
 aligned by longest common subsequence; what they share is template and is
-deleted. Lines inside an article element are not deleted, since pages may
-share article text in full, and if a page has such lines they are its text.
-A page all of whose lines are shared (a copy) keeps them.
+deleted, on every page, with or without an article. The structure then checks
+what is left (:func:`kept_lines`): shared lines inside an article come back, since
+pages may share article text in full, and lines outside it stay only where the
+pair has shown its template there. A page without an article all of whose lines
+are shared (a copy) keeps them.
 
-Each page is parsed once. A page with an article has its text then; of another
-page the lines are kept for the deletion. The pairing works on line hashes: rows are numbered over range partitions by
+The pairing works on line hashes: rows are numbered over range partitions by
 host and path, so a host with a third of all pages is spread by path, and
-neighbours meet in an equi-join on consecutive numbers.
+neighbours meet in an equi-join on consecutive numbers. Pages are parsed once
+for the hashes and once for the lines, which are then joined to the positions of
+the shared ones; equal pages that are many are dealt over many tasks there.
 
 Defined cases: null or empty html gives empty text; a null url is a host of
 its own; rows with equal content have equal results; an empty table gives an
@@ -37,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import numbered, saved, slices
+from blotter.llm.common import HOT_ROWS, HOT_SHARE, numbered, salted_join, saved, slices
 
 #: Elements without content, elements that break lines, elements
 #: that are never main text, elements and roles that hold it.
@@ -226,53 +229,70 @@ def common_lines(a: list, b: list) -> list[int]:
     return sorted(out)
 
 
-def own_lines(found: list[tuple[str, bool]]) -> list[str]:
-    """The lines of a page's article: its text, whatever other pages share."""
-    return [line for line, main in found if main]
+def kept_lines(found: list[tuple[str, bool]], shared: list[int]) -> list[str]:
+    """The lines that are the page's text, by the positions of those it shares.
 
-
-def left_lines(found: list[str], shared: list[int]) -> list[str]:
-    """The lines that are not shared; all of them if all are."""
+    What is shared goes. Then the structure has its say: the lines of an article
+    are text also if they are shared, and outside of one a line is text only if
+    others there are shared (else the neighbour has another template, or there is
+    none, and says nothing). Without an article all lines stay if all are shared."""
     gone = set(shared)
-    return [line for i, line in enumerate(found) if i not in gone] or found
+    left = [i not in gone for i in range(len(found))]
+    if not any(main for _, main in found):
+        return [line for (line, _), own in zip(found, left) if own or not any(left)]
+    told = any(not main and not own for (_, main), own in zip(found, left))
+    return [line for (line, main), own in zip(found, left) if main or told and own]
 
 
 def main_text(html: str, shared: list[int]) -> str:
-    found = lines(html)
-    return "\n".join(own_lines(found) or left_lines([line for line, _ in found], shared))
+    return "\n".join(kept_lines(lines(html), shared))
+
+
+def keyed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, row, host, path, html``; ``row`` is equal for equal pages."""
+    url, html = F.col("url").cast("string"), F.col("html").cast("string")
+    address = F.coalesce(url, F.lit(""))
+    host = F.lower(F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
+    path = F.regexp_replace(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", "")
+    return pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"), url.alias("url"),
+        F.xxhash64(address, F.coalesce(html, F.lit(""))).alias("row"), host.alias("host"), path.alias("path"), html.alias("html"),
+    )
+
+
+def marked(pages: DataFrame) -> DataFrame:
+    """``row, host, path, marks`` of :func:`keyed` pages: the hashes of their lines."""
+
+    def run(batches):
+        for b in slices(batches):
+            marks = [
+                b"".join(xxhash.xxh3_64_digest(line)[:MARK] for line, _ in lines(h or "")) for h in b.column("html").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in ("row", "host", "path")), pa.array(marks, pa.binary())], ["row", "host", "path", "marks"]
+            )
+
+    return pages.select("row", "host", "path", "html").mapInArrow(run, "row bigint, host string, path string, marks binary")
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, row, host, path, text, lines, marks``: the text of a page
-    with an article, the lines of another one, and the hashes of all lines."""
+    """``page_id, url, row, lines, inside`` of :func:`keyed` pages; ``inside`` has a
+    byte for each line, 1 if it lies in an article."""
 
     def run(batches):
         for b in slices(batches):
-            texts, others, marks = [], [], []
-            for h in b.column("html").to_pylist():
-                found = lines(h or "")
-                own = own_lines(found)
-                texts.append("\n".join(own) if own else None)
-                others.append(None if own else [line for line, _ in found])
-                marks.append(b"".join(xxhash.xxh3_64_digest(line)[:MARK] for line, _ in found))
+            found = [lines(h or "") for h in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(b.column(c) for c in ("page_id", "url", "row", "host", "path")), pa.array(texts, pa.string()),
-                    pa.array(others, pa.list_(pa.string())), pa.array(marks, pa.binary()),
+                    *(b.column(c) for c in ("page_id", "url", "row")),
+                    pa.array([[line for line, _ in page] for page in found], pa.list_(pa.string())),
+                    pa.array([bytes(main for _, main in page) for page in found], pa.binary()),
                 ],
-                ["page_id", "url", "row", "host", "path", "text", "lines", "marks"],
+                ["page_id", "url", "row", "lines", "inside"],
             )
 
-    url, html = F.col("url").cast("string"), F.col("html").cast("string")
-    address = F.coalesce(url, F.lit(""))
-    host = F.lower(F.regexp_extract(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
-    path = F.regexp_replace(address, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", "")
-    keyed = pages.select(
-        F.col("page_id").cast("bigint").alias("page_id"), url.alias("url"),
-        F.xxhash64(address, F.coalesce(html, F.lit(""))).alias("row"), host.alias("host"), path.alias("path"), html.alias("html"),
-    )
-    return keyed.mapInArrow(
-        run, "page_id bigint, url string, row bigint, host string, path string, text string, lines array<string>, marks binary"
+    return pages.select("page_id", "url", "row", "html").mapInArrow(
+        run, "page_id bigint, url string, row bigint, lines array<string>, inside binary"
     )
 
 
@@ -282,20 +302,26 @@ def _shared_start(a, b):
     return F.array_position(F.transform(at, lambda i: F.substring(a, F.lit(1), i) != F.substring(b, F.lit(1), i)), True)
 
 
-def shared_lines(pages: DataFrame) -> DataFrame:
-    """``row, shared``: positions of the lines that a page without an article (in
-    :func:`parsed` pages) has in common with the page of nearest URL path of
-    its host."""
-    bare = F.col("text").isNull().alias("bare")
-    order = numbered(pages.select("row", "host", "path", "marks", bare).dropDuplicates(["row"]), "host", "path", "row")
-    order, _ = saved(order, "html-order")
+def url_order(pages: DataFrame) -> DataFrame:
+    """``pos, row, copies, host, path, marks``: the different pages in the order of
+    their URLs, and how many equal ones there are of each."""
+    rows = marked(pages).groupBy("row").agg(
+        F.count(F.lit(1)).alias("copies"), F.first(F.struct("host", "path", "marks")).alias("m")
+    )
+    order, _ = saved(numbered(rows.select("row", "copies", "m.*"), "host", "path", "row"), "html-order")
+    return order
+
+
+def shared_lines(order: DataFrame) -> DataFrame:
+    """``row, shared``: positions of the lines that a page (of :func:`url_order`) has
+    in common with the page of nearest URL path of its host."""
     mates = None
     for step in (-1, 1):
         other = order.select(
             (F.col("pos") - step).alias("pos"), F.col("host").alias("o_host"), F.col("path").alias("o_path"),
             F.col("marks").alias("o_marks"),
         )
-        pair = order.where("bare").join(other, "pos").where("host = o_host").select(
+        pair = order.join(other, "pos").where("host = o_host").select(
             "row", "marks", "o_marks", _shared_start(F.col("path"), F.col("o_path")).alias("near"), F.lit(step).alias("step")
         )
         mates = pair if mates is None else mates.union(pair)
@@ -313,20 +339,22 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
-    found, _ = saved(parsed(pages), "html-parsed")
+    rows = keyed(pages)
+    order = url_order(rows)
+    # Fewer than 1 / HOT_SHARE pages, whatever the input.
+    total = order.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    hot = [r[0] for r in order.where(F.col("copies") > max(total * HOT_SHARE, HOT_ROWS)).select("row").collect()]
 
     def run(batches):
         for b in slices(batches):
-            texts = [
-                "\n".join(left_lines(own, shared or []))
-                for own, shared in zip(b.column("lines").to_pylist(), b.column("shared").to_pylist())
-            ]
+            found = zip(b.column("lines").to_pylist(), b.column("inside").to_pylist(), b.column("shared").to_pylist())
+            texts = ["\n".join(kept_lines(list(zip(own, map(bool, inside))), shared or [])) for own, inside, shared in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
-    # Only pages without an article meet their shared lines.
-    bare = found.where("text is null").select("page_id", "url", "lines", "row").join(shared_lines(found), "row", "left")
-    rest = bare.select("page_id", "url", "lines", "shared").mapInArrow(run, "page_id bigint, url string, text string")
-    texts = found.where("text is not null").select("page_id", "url", "text").unionByName(rest)
+    # The positions are the small side; the lines are not sorted for the join.
+    shared = shared_lines(order).hint("shuffle_hash")
+    joined = salted_join(parsed(rows), shared, "row", F.monotonically_increasing_id(), hot=hot)
+    texts = joined.select("page_id", "url", "lines", "inside", "shared").mapInArrow(run, "page_id bigint, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -96,6 +96,36 @@ def test_pages_with_and_without_an_article_side_by_side(spark):
     ]
 
 
+def test_every_page_is_differenced_and_the_structure_checks_the_result(spark):
+    template = "<div>Home</div>{}<article><p>Shared start</p><p>{}</p></article><div>Imprint</div>"
+    rows = [
+        (1, "http://h.example/a", template.format("<p>Lede of one</p>", "One")),
+        (2, "http://h.example/b", template.format("<p>Lede of two</p>", "Two")),
+        (3, "http://alone.example/a", template.format("<p>Lede</p>", "Alone")),
+        (4, "http://other.example/a", template.format("", "Four")),
+        (5, "http://other.example/b", "<div>Another</div><article><p>Five</p></article><div>Site</div>"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    order = html.url_order(html.keyed(frame))
+    row_of = {r["row"]: r["path"] for r in order.where("host = 'h.example'").collect()}
+    shared = {row_of[r["row"]]: r["shared"] for r in html.shared_lines(order).collect() if r["row"] in row_of}
+    assert shared == {"/a": [0, 2, 4], "/b": [0, 2, 4]}
+    got = {r["page_id"]: r["text"] for r in html.extracted(frame).collect()}
+    assert got == {
+        1: "Lede of one\nShared start\nOne", 2: "Lede of two\nShared start\nTwo", 3: "Shared start\nAlone",
+        4: "Shared start\nFour", 5: "Five",
+    }
+
+
+def test_many_equal_pages_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(html, "HOT_ROWS", 3)
+    rows = [(i, "http://h.example/a", "<div>Home</div><p>Same</p>") for i in range(20)]
+    rows += [(20, "http://h.example/b", "<div>Home</div><p>Other</p>"), (20, "http://h.example/b", "<div>Home</div><p>Other</p>")]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = html.extracted(frame)
+    assert sorted((r["page_id"], r["text"]) for r in got.collect()) == [(i, "Same") for i in range(20)] + [(20, "Other")] * 2
+
+
 def test_common_lines_of_long_pages_in_bounded_memory():
     import tracemalloc
 
